@@ -1,65 +1,83 @@
-"""Small column expressions shared by checks, rules and reports."""
+"""Small SQL expressions shared by checks, rules and reports.
+
+Expressions are SQL text: one call hands Spark a whole expression, where the Column
+API needs a call to the JVM for each operator in it.
+"""
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterable
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 MINUTE_US = 60_000_000
+HOUR_US = 60 * MINUTE_US
+DAY_US = 24 * HOUR_US
+
+
+def quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def missing(name: str, is_text: bool = True) -> Column:
+def timestamp(at: dt.datetime | None = None) -> str:
+    """A fixed point in time, or the start of the query when none is given."""
+    if at is None:
+        return "current_timestamp()"
+    at = at if at.tzinfo else at.replace(tzinfo=dt.timezone.utc)
+    micros = round((at - dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)) / dt.timedelta(microseconds=1))
+    return f"timestamp_micros({micros})"
+
+
+def missing(name: str, is_text: bool = True) -> str:
     """NULL or, for text, the empty string."""
-    c = F.col(name)
-    return c.isNull() | (c == "") if is_text else c.isNull()
+    return f"({name} IS NULL OR {name} = '')" if is_text else f"({name} IS NULL)"
+
+
+def listed(values: Iterable[str]) -> str:
+    return ", ".join(quoted(v) for v in values)
 
 
-def lookup(values: dict[str, str], key: Column) -> Column:
+def lookup(values: dict[str, str], key: str) -> str:
     """A small constant map as an expression; NULL for keys it lacks."""
-    pairs = [F.lit(x) for pair in values.items() for x in pair]
-    return F.try_element_at(F.create_map(*pairs), key)
+    return f"CASE {key} " + " ".join(f"WHEN {quoted(k)} THEN {quoted(v)}" for k, v in values.items()) + " END"
 
 
-def pick(values: Iterable[str], index: Column) -> Column:
+def pick(values: Iterable[str], index: str) -> str:
     """The value at a zero-based position of a constant list."""
-    return F.get(F.array(*[F.lit(v) for v in values]), index.cast("int"))
+    return f"get(array({listed(values)}), CAST({index} AS INT))"
 
 
-def int_div(a: Column, b: Column | int) -> Column:
-    """Exact whole quotient of non-negative whole numbers."""
-    return ((a - a % b) / b).cast("bigint")
+def text(*parts: str) -> str:
+    """The expressions joined as text; constants come ``quoted``."""
+    return f"concat({', '.join(parts)})"
 
 
-def padded(prefix: str, number: Column, width: int) -> Column:
+def padded(prefix: str, number: str, width: int) -> str:
     """``prefix`` and the number, zero-filled to at least ``width`` digits."""
-    digits = number.cast("string")
-    return F.concat(F.lit(prefix), F.lpad(digits, F.greatest(F.length(digits), F.lit(width)), F.lit("0")))
+    digits = f"CAST({number} AS STRING)"
+    return text(quoted(prefix), f"lpad({digits}, greatest(length({digits}), {width}), '0')")
 
 
-def cents(amount: Column) -> Column:
+def cents(amount: str) -> str:
     """A decimal amount as whole cents, half up."""
-    return (amount.cast("decimal(30,2)") * 100).cast("bigint")
+    return f"CAST(CAST({amount} AS DECIMAL(30,2)) * 100 AS BIGINT)"
 
 
-def cents_text(whole_cents: Column) -> Column:
+def cents_text(whole_cents: str) -> str:
     """Whole cents as text with two decimals."""
-    return (whole_cents.cast("decimal(36,0)") / F.lit(100).cast("decimal(3,0)")).cast("decimal(38,2)").cast("string")
+    return f"CAST(CAST(CAST({whole_cents} AS DECIMAL(36,0)) / 100 AS DECIMAL(38,2)) AS STRING)"
 
 
-def mean_cents(total: Column, n: Column) -> Column:
+def mean_cents(total: str, n: str) -> str:
     """Mean of ``n`` non-negative amounts summing to ``total``, in cents, half up."""
-    return int_div(cents(total) * 2 + n, n * 2)
+    return f"(({cents(total)} * 2 + {n}) div ({n} * 2))"
 
 
-def rounded_minutes(gap_us: Column) -> Column:
+def rounded_minutes(gap_us: str) -> str:
     """Microseconds to whole minutes, an exact half going to the even minute."""
-    whole, rest, half = int_div(gap_us, MINUTE_US), gap_us % MINUTE_US, MINUTE_US // 2
-    up = (rest > half) | ((rest == half) & (whole % 2 == 1))
-    return whole + F.when(up, 1).otherwise(0)
+    whole, rest, half = f"({gap_us} div {MINUTE_US})", f"({gap_us} % {MINUTE_US})", MINUTE_US // 2
+    return f"({whole} + CASE WHEN {rest} > {half} OR ({rest} = {half} AND {whole} % 2 = 1) THEN 1 ELSE 0 END)"
 
 
-def whole_minutes(gap_us: Column) -> Column:
+def whole_minutes(gap_us: str) -> str:
     """Microseconds to whole minutes, cut off."""
-    return int_div(gap_us, MINUTE_US)
+    return f"({gap_us} div {MINUTE_US})"

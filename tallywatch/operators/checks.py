@@ -1,17 +1,11 @@
-"""The check registry: each check is a predicate column or a key that must be unique."""
+"""The check registry: each check is a row condition or a key that must be unique."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass, replace
-from functools import reduce
-from operator import or_
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
 from tallywatch.config import HOME_CURRENCY, REQUIRED_FIELDS, VALID_CURRENCIES
-from tallywatch.functions.columns import lookup, missing
+from tallywatch.functions.columns import listed, lookup, missing
 
 CRITICAL, WARNING = "critical", "warning"
 TYPED_FIELDS = ("amount", "transaction_ts")
@@ -21,45 +15,38 @@ TYPED_FIELDS = ("amount", "transaction_ts")
 class Check:
     """A threshold-gated check.
 
-    ``predicate`` takes the run's point in time and returns a column that is true on
-    affected rows. A check without a predicate affects all copies of a repeated
+    ``condition`` is SQL text, true on affected rows; ``{now}`` in it stands for the
+    run's point in time. A check without a condition affects all copies of a repeated
     ``transaction_id``. ``shows`` names the columns worth seeing on an affected row.
     """
 
     name: str
     severity: str
     threshold_pct: float
-    predicate: Callable[[Column], Column] | None = None
+    condition: str | None = None
     shows: tuple[str, ...] = ()
 
     @property
     def dimension(self) -> str:
         return self.name.split(".")[0]
 
-
-def _any_required_missing(_: Column) -> Column:
-    return reduce(or_, [missing(f, f not in TYPED_FIELDS) for f in REQUIRED_FIELDS])
-
-
-def _bad_currency(_: Column) -> Column:
-    c = F.col("currency")
-    return ~F.upper(c).isin(*VALID_CURRENCIES) | (c != F.upper(c))
+    def on_row(self, now: str) -> str:
+        """True on affected rows, never NULL; repeated ids read ``is_duplicate``."""
+        condition = "is_duplicate" if self.condition is None else self.condition.replace("{now}", now)
+        return f"coalesce({condition}, false)"
 
 
 DEFAULT_CHECKS: tuple[Check, ...] = (
-    Check("completeness.missing_customer_id", CRITICAL, 2.0,
-          lambda _: missing("customer_id"), ("customer_id",)),
+    Check("completeness.missing_customer_id", CRITICAL, 2.0, missing("customer_id"), ("customer_id",)),
     Check("completeness.missing_required_fields", CRITICAL, 1.0,
-          _any_required_missing, REQUIRED_FIELDS[1:]),
+          " OR ".join(missing(f, f not in TYPED_FIELDS) for f in REQUIRED_FIELDS), REQUIRED_FIELDS[1:]),
     Check("uniqueness.duplicate_transaction_id", CRITICAL, 0.1),
-    Check("validity.negative_or_zero_amount", CRITICAL, 1.0,
-          lambda _: F.col("amount") <= 0, ("amount",)),
-    Check("validity.invalid_currency_code", WARNING, 0.5, _bad_currency, ("currency",)),
-    Check("consistency.future_dated_transaction", CRITICAL, 0.3,
-          lambda now: F.col("transaction_ts") > now, ("transaction_ts",)),
+    Check("validity.negative_or_zero_amount", CRITICAL, 1.0, "amount <= 0", ("amount",)),
+    Check("validity.invalid_currency_code", WARNING, 0.5,
+          f"upper(currency) NOT IN ({listed(VALID_CURRENCIES)}) OR currency <> upper(currency)", ("currency",)),
+    Check("consistency.future_dated_transaction", CRITICAL, 0.3, "transaction_ts > {now}", ("transaction_ts",)),
     Check("consistency.currency_country_mismatch", WARNING, 1.0,
-          lambda _: F.col("currency") != lookup(HOME_CURRENCY, F.col("country")),
-          ("currency", "country")),
+          f"currency <> {lookup(HOME_CURRENCY, 'country')}", ("currency", "country")),
 )
 
 
@@ -75,7 +62,11 @@ def by_name(name: str, checks: tuple[Check, ...] = DEFAULT_CHECKS) -> Check:
     return next(c for c in checks if c.name == name)
 
 
-def row_flag(check: Check, now: Column) -> Column:
-    """True on affected rows, never NULL; repeated ids read ``is_duplicate``."""
-    affected = F.col("is_duplicate") if check.predicate is None else check.predicate(now)
-    return F.coalesce(affected, F.lit(False))
+def fails_any(checks: tuple[Check, ...], severity: str, now: str, row_only: bool = False) -> str:
+    """Does the row fail a check of this severity (``row_only``: by itself)?"""
+    flags = [c.on_row(now) for c in checks if c.severity == severity and (c.condition or not row_only)]
+    return f"({' OR '.join(flags)})" if flags else "false"
+
+
+def watches_copies(checks: tuple[Check, ...], severity: str) -> bool:
+    return any(c.severity == severity and c.condition is None for c in checks)

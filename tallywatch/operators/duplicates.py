@@ -2,22 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallywatch.config import HOT_COPIES, SPREAD
 from tallywatch.functions.columns import missing
 
 ID = "transaction_id"
+HAS_ID = f"NOT {missing(ID)}"
 
 
-def has_id() -> Column:
-    return ~missing(ID)
-
-
-def copies_per_id(tx: DataFrame, *extra: Column) -> DataFrame:
+def copies_per_id(tx: DataFrame, *extra: str) -> DataFrame:
     """One row per present id with its number of copies; copies are combined map-side."""
-    return tx.filter(has_id()).groupBy(ID).agg(F.count(F.lit(1)).alias("copies"), *extra)
+    return tx.where(HAS_ID).groupBy(ID).agg(*map(F.expr, ("count(*) AS copies", *extra)))
 
 
 def mark(tx: DataFrame, ids: DataFrame, name: str, hot_copies: int = HOT_COPIES) -> DataFrame:
@@ -27,22 +24,19 @@ def mark(tx: DataFrame, ids: DataFrame, name: str, hot_copies: int = HOT_COPIES)
     broadcast. Their rows, and rows without an id, then join under a spread key that
     matches nothing, which keeps any one id from filling one task.
     """
-    hot = ids.filter(F.col("copies") > hot_copies).select(ID, F.lit(True).alias("_hot"))
-    cold = ids.filter(F.col("copies") <= hot_copies).select(
-        ID, F.lit(0).cast("bigint").alias("_spread"), F.lit(True).alias("_cold")
-    )
-    own_key = F.pmod(F.xxhash64("ingest_seq"), F.lit(SPREAD)) + 1
+    hot = ids.where(f"copies > {hot_copies}").selectExpr(ID, "true AS _hot")
+    cold = ids.where(f"copies <= {hot_copies}").selectExpr(ID, "0L AS _spread", "true AS _cold")
+    own_key = f"CASE WHEN {HAS_ID} AND _hot IS NULL THEN 0L ELSE pmod(xxhash64(ingest_seq), {SPREAD}) + 1 END"
     return (
         tx.join(F.broadcast(hot), ID, "left")
-        .withColumn("_spread", F.when(has_id() & F.col("_hot").isNull(), 0).otherwise(own_key).cast("bigint"))
+        .selectExpr("*", f"{own_key} AS _spread")
         .join(cold, [ID, "_spread"], "left")
-        .withColumn(name, F.coalesce("_hot", "_cold", F.lit(False)))
-        .drop("_hot", "_cold", "_spread")
+        .selectExpr(*tx.columns, f"coalesce(_hot, _cold, false) AS {name}")
     )
 
 
 def repeated_ids(tx: DataFrame) -> DataFrame:
-    return copies_per_id(tx).filter(F.col("copies") > 1)
+    return copies_per_id(tx).where("copies > 1")
 
 
 def mark_duplicates(tx: DataFrame, hot_copies: int = HOT_COPIES) -> DataFrame:

@@ -2,83 +2,57 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from tallywatch.config import HOT_COPIES
-from tallywatch.functions.columns import missing
-from tallywatch.operators.checks import CRITICAL, DEFAULT_CHECKS, WARNING, Check, row_flag
-from tallywatch.operators.duplicates import copies_per_id, has_id, mark, mark_duplicates
-
+from tallywatch.functions.columns import missing, quoted
+from tallywatch.operators.checks import CRITICAL, DEFAULT_CHECKS, WARNING, Check, fails_any, watches_copies
+from tallywatch.operators.duplicates import copies_per_id, mark, mark_duplicates
 
-def failed_any(checks: tuple[Check, ...], severity: str, now: Column) -> Column:
-    """Does the row fail a check of this severity that looks at single rows?"""
-    flags = [row_flag(c, now) for c in checks if c.severity == severity and c.predicate]
-    return reduce(or_, flags, F.lit(False))
 
-
-def trusted(now: Column) -> Column:
+def trusted(now: str) -> str:
     """Customer present, amount above zero, not in the future; NULLs are not trusted."""
-    return ~missing("customer_id") & (F.col("amount") > 0) & (F.col("transaction_ts") <= now)
+    return f"(NOT {missing('customer_id')} AND amount > 0 AND transaction_ts <= {now})"
 
 
-def clean(raw: DataFrame, now: Column, hot_copies: int = HOT_COPIES) -> DataFrame:
+def clean(raw: DataFrame, now: str, hot_copies: int = HOT_COPIES) -> DataFrame:
     """Trusted rows whose id is not repeated anywhere in the load."""
-    return (
-        mark_duplicates(raw, hot_copies)
-        .filter(trusted(now) & ~F.col("is_duplicate"))
-        .drop("is_duplicate")
-    )
+    marked = mark_duplicates(raw, hot_copies)
+    return marked.where(f"{trusted(now)} AND NOT is_duplicate").drop("is_duplicate")
 
 
-def _severity_by_id(raw: DataFrame, now: Column, checks: tuple[Check, ...]) -> DataFrame:
-    per_id = copies_per_id(
-        raw,
-        F.max(failed_any(checks, CRITICAL, now)).alias("_critical"),
-        F.max(failed_any(checks, WARNING, now)).alias("_warning"),
-    )
-    repeats = [c.severity for c in checks if c.predicate is None]
-    repeated = F.col("copies") > 1
-    return per_id.select(
-        "transaction_id",
-        "copies",
-        (F.col("_critical") | (repeated if CRITICAL in repeats else F.lit(False))).alias(CRITICAL),
-        (F.col("_warning") | (repeated if WARNING in repeats else F.lit(False))).alias(WARNING),
-    )
+def _severity_by_id(raw: DataFrame, now: str, checks: tuple[Check, ...]) -> DataFrame:
+    by_row = [f"max({fails_any(checks, s, now, row_only=True)}) AS _{s}" for s in (CRITICAL, WARNING)]
+    by_id = [f"(_{s} OR {'copies > 1' if watches_copies(checks, s) else 'false'}) AS {s}" for s in (CRITICAL, WARNING)]
+    return copies_per_id(raw, *by_row).selectExpr("transaction_id", "copies", *by_id)
 
 
-def clean_by_id(raw: DataFrame, now: Column, checks: tuple[Check, ...] = DEFAULT_CHECKS,
+def clean_by_id(raw: DataFrame, now: str, checks: tuple[Check, ...] = DEFAULT_CHECKS,
                 hot_copies: int = HOT_COPIES) -> DataFrame:
     """Rows whose id fails no critical check; rows without an id always stay."""
-    bad = _severity_by_id(raw, now, checks).filter(CRITICAL).select("transaction_id", "copies")
-    return mark(raw, bad, "_bad", hot_copies).filter(~F.col("_bad")).drop("_bad")
+    bad = _severity_by_id(raw, now, checks).where(CRITICAL).select("transaction_id", "copies")
+    return mark(raw, bad, "_bad", hot_copies).where("NOT _bad").drop("_bad")
 
 
-def flagged_ids(raw: DataFrame, now: Column, checks: tuple[Check, ...] = DEFAULT_CHECKS) -> DataFrame:
+def flagged_ids(raw: DataFrame, now: str, checks: tuple[Check, ...] = DEFAULT_CHECKS) -> DataFrame:
     """Each id with each severity it fails."""
-    severities = F.array_compact(F.array(*[F.when(F.col(s), F.lit(s)) for s in (CRITICAL, WARNING)]))
-    return _severity_by_id(raw, now, checks).select("transaction_id", F.explode(severities).alias("severity"))
+    severities = ", ".join(f"CASE WHEN {s} THEN '{s}' END" for s in (CRITICAL, WARNING))
+    return _severity_by_id(raw, now, checks).selectExpr(
+        "transaction_id", f"explode(array_compact(array({severities}))) AS severity")
 
 
-def quarantine(raw: DataFrame, now: Column, checks: tuple[Check, ...] = DEFAULT_CHECKS) -> DataFrame:
+def quarantine(raw: DataFrame, now: str, checks: tuple[Check, ...] = DEFAULT_CHECKS) -> DataFrame:
     """Rows that fail a critical check, with all the checks they fail."""
-    failed = {s: [F.when(row_flag(c, now), F.lit(c.name)) for c in checks if c.severity == s]
-              for s in (CRITICAL, WARNING)}
-    names = F.array_sort(F.array_compact(F.array(*failed[CRITICAL], *failed[WARNING])))
-    critical = reduce(or_, [row_flag(c, now) for c in checks if c.severity == CRITICAL], F.lit(False))
+    names = ", ".join(f"CASE WHEN {c.on_row(now)} THEN {quoted(c.name)} END" for c in sorted(checks, key=lambda c: c.name))
     return (
         mark_duplicates(raw)
-        .filter(critical)
-        .withColumn("failed_checks", F.array_join(names, ";"))
-        .drop("is_duplicate")
+        .where(fails_any(checks, CRITICAL, now))
+        .selectExpr(*raw.columns, f"concat_ws(';', {names}) AS failed_checks")
     )
 
 
-def affected(raw: DataFrame, check: Check, now: Column) -> DataFrame:
+def affected(raw: DataFrame, check: Check, now: str) -> DataFrame:
     """The rows one check is about."""
-    marked = mark_duplicates(raw) if check.predicate is None else raw
-    rows = marked.filter(row_flag(check, now))
-    return rows.drop("is_duplicate") if check.predicate is None else rows
+    if check.condition:
+        return raw.where(check.on_row(now))
+    return mark_duplicates(raw).where("is_duplicate").drop("is_duplicate")

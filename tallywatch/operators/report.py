@@ -2,122 +2,112 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallywatch.operators.checks import CRITICAL, DEFAULT_CHECKS, Check
-from tallywatch.operators.duplicates import has_id
+from tallywatch.functions.columns import quoted
+from tallywatch.operators.checks import CRITICAL, DEFAULT_CHECKS, WARNING, Check, fails_any, watches_copies
+from tallywatch.operators.duplicates import HAS_ID, ID
+from tallywatch.operators.quarantine import trusted
 
 BATCH = "batch_date"
+BATCH_DATE = "to_date(transaction_ts)"
 RESULT = ("check_name", "severity", "affected_row_count", "total_row_count",
           "affected_pct", "threshold_pct", "passed")
 
 
-def batch_date() -> Column:
-    return F.to_date("transaction_ts")
+def aggregate(df: DataFrame, keys: list[str], *measures: str) -> DataFrame:
+    return df.groupBy(*keys).agg(*map(F.expr, measures))
 
 
-def _counts(raw: DataFrame, checks: tuple[Check, ...], now: Column, keys: list[str]) -> DataFrame:
-    """All counts side by side: one scan for the predicates, one id aggregate for
+def _counts(raw: DataFrame, checks: tuple[Check, ...], now: str, keys: list[str]) -> DataFrame:
+    """All counts side by side: one scan for the conditions, one aggregate by id for
     repeated ids, united and added up, so neither side waits on a join."""
-    total = F.count(F.lit(1)).alias("total")
-    by_row = [F.count_if(c.predicate(now)).alias(f"a{i}") for i, c in enumerate(checks) if c.predicate]
-    parts = raw.groupBy(*keys).agg(total, *by_row)
-    for i, check in enumerate(checks):
-        if check.predicate is None:
-            per_id = raw.filter(has_id()).groupBy(*keys, "transaction_id").agg(F.count(F.lit(1)).alias("copies"))
-            repeated = per_id.filter(F.col("copies") > 1).groupBy(*keys).agg(F.sum("copies").alias(f"a{i}"))
-            parts = parts.unionByName(repeated, allowMissingColumns=True)
-    added = [F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in ["total", *(f"a{i}" for i in range(len(checks)))]
-             if c in parts.columns]
-    return parts.groupBy(*keys).agg(*added)
+    by_row = {i: c for i, c in enumerate(checks) if c.condition}
+    parts = aggregate(raw, keys, "count(*) AS total", *[f"count_if({c.on_row(now)}) AS a{i}" for i, c in by_row.items()])
+    copies = [f"sum(copies) AS a{i}" for i, c in enumerate(checks) if c.condition is None]
+    if copies:
+        per_id = aggregate(raw.where(HAS_ID), [*keys, ID], "count(*) AS copies").where("copies > 1")
+        parts = parts.unionByName(aggregate(per_id, keys, *copies), allowMissingColumns=True)
+    names = ["total", *(f"a{i}" for i in range(len(checks)))]
+    return aggregate(parts, keys, *[f"CAST(coalesce(sum({n}), 0) AS BIGINT) AS {n}" for n in names])
 
 
 def results(counts: DataFrame, checks: tuple[Check, ...], keys: list[str]) -> DataFrame:
     """Counts side by side to one row per check. An empty batch has 0 % and passes."""
     rows = [
-        F.struct(
-            F.lit(c.name).alias("check_name"),
-            F.lit(c.severity).alias("severity"),
-            F.col(f"a{i}").alias("affected_row_count"),
-            F.col("total").alias("total_row_count"),
-            F.lit(float(c.threshold_pct)).alias("threshold_pct"),
-        )
+        f"struct({quoted(c.name)} AS check_name, {quoted(c.severity)} AS severity, a{i} AS affected_row_count,"
+        f" total AS total_row_count, CAST({float(c.threshold_pct)} AS DOUBLE) AS threshold_pct)"
         for i, c in enumerate(checks)
     ]
-    total = F.col("total_row_count")
-    pct = F.when(total > 0, F.col("affected_row_count") * F.lit(100.0) / total).otherwise(F.lit(0.0))
+    pct = "CASE WHEN total_row_count > 0 THEN 100D * affected_row_count / total_row_count ELSE 0D END"
     return (
-        counts.select(*keys, F.inline(F.array(*rows)))
-        .withColumn("affected_pct", F.round(pct, 3))
-        .withColumn("passed", pct <= F.col("threshold_pct"))
+        counts.selectExpr(*keys, f"inline(array({', '.join(rows)}))")
+        .selectExpr("*", f"round({pct}, 3) AS affected_pct", f"{pct} <= threshold_pct AS passed")
         .select(*keys, *RESULT)
     )
 
 
-def report(raw: DataFrame, now: Column, checks: tuple[Check, ...] = DEFAULT_CHECKS) -> DataFrame:
+def report(raw: DataFrame, now: str, checks: tuple[Check, ...] = DEFAULT_CHECKS) -> DataFrame:
     return results(_counts(raw, checks, now, []), checks, [])
 
 
-def report_by_batch(raw: DataFrame, now: Column, checks: tuple[Check, ...] = DEFAULT_CHECKS) -> DataFrame:
+def report_by_batch(raw: DataFrame, now: str, checks: tuple[Check, ...] = DEFAULT_CHECKS) -> DataFrame:
     """The report of each transaction date; ids repeat only within their date."""
-    dated = raw.withColumn(BATCH, batch_date())
+    dated = raw.selectExpr("*", f"{BATCH_DATE} AS {BATCH}")
     return results(_counts(dated, checks, now, [BATCH]), checks, [BATCH])
 
 
 def gate(issues: DataFrame) -> DataFrame:
     """One row: may the batch be scored? Closed when there is no critical result."""
-    passed = F.coalesce(F.bool_and("passed"), F.lit(False))
-    return (
-        issues.filter(F.col("severity") == CRITICAL)
-        .agg(
-            passed.alias("all_critical_passed"),
-            F.count_if("passed").alias("critical_passed"),
-            F.count(F.lit(1)).alias("critical_total"),
-        )
-        .withColumn("next_step", F.when(F.col("all_critical_passed"), "run_fraud_scoring").otherwise("dq_fail_alert"))
+    passed = "coalesce(bool_and(passed), false)"
+    return aggregate(
+        issues.where(f"severity = '{CRITICAL}'"), [],
+        f"{passed} AS all_critical_passed",
+        "count_if(passed) AS critical_passed",
+        "count(*) AS critical_total",
+        f"CASE WHEN {passed} THEN 'run_fraud_scoring' ELSE 'dq_fail_alert' END AS next_step",
     )
 
 
 def alerts(issues: DataFrame) -> DataFrame:
     """The critical checks that breached."""
-    return issues.filter((F.col("severity") == CRITICAL) & ~F.col("passed")).select(
-        "check_name", "affected_pct", "threshold_pct"
-    )
+    return issues.where(f"severity = '{CRITICAL}' AND NOT passed").select("check_name", "affected_pct", "threshold_pct")
 
 
 def check_results(issues: DataFrame) -> DataFrame:
     return issues.select("check_name", "severity", "affected_pct", "threshold_pct", "passed").orderBy("check_name")
 
 
-def sanity(raw: DataFrame, now: Column) -> DataFrame:
+def sanity(raw: DataFrame, now: str) -> DataFrame:
     """Counts to look at right after a load."""
-    return raw.agg(
-        F.count(F.lit(1)).alias("total_rows"),
-        F.count_if(F.col("customer_id").isNull()).alias("missing_customer_id"),
-        F.count_if(F.col("amount") <= 0).alias("bad_amounts"),
-        F.count_if(F.col("transaction_ts") > now).alias("future_dated"),
+    return aggregate(
+        raw, [],
+        "count(*) AS total_rows",
+        "count_if(customer_id IS NULL) AS missing_customer_id",
+        "count_if(amount <= 0) AS bad_amounts",
+        f"count_if(transaction_ts > {now}) AS future_dated",
     )
 
 
-def summary(raw: DataFrame, now: Column, checks: tuple[Check, ...] = DEFAULT_CHECKS) -> DataFrame:
+def summary(raw: DataFrame, now: str, checks: tuple[Check, ...] = DEFAULT_CHECKS) -> DataFrame:
     """Run totals, from one aggregate by id."""
-    from tallywatch.operators.quarantine import failed_any, trusted
-
-    has_copies = any(c.predicate is None for c in checks)
-    per_id = raw.groupBy("transaction_id").agg(
-        F.count(F.lit(1)).alias("copies"),
-        F.max(failed_any(checks, CRITICAL, now)).alias("critical"),
-        F.max(failed_any(checks, "warning", now)).alias("warning"),
-        F.count_if(trusted(now)).alias("trusted"),
+    per_id = aggregate(
+        raw, [ID],
+        "count(*) AS copies",
+        f"max({fails_any(checks, CRITICAL, now, row_only=True)}) AS critical",
+        f"max({fails_any(checks, WARNING, now, row_only=True)}) AS warning",
+        f"count_if({trusted(now)}) AS trusted",
     )
-    repeated = has_id() & (F.col("copies") > 1)
-    critical = F.col("critical") | (repeated if has_copies else F.lit(False))
-    return per_id.agg(
-        F.coalesce(F.sum("copies"), F.lit(0)).alias("total_rows"),
-        F.lit(len(checks)).cast("bigint").alias("checks_run"),
-        F.lit(len({c.dimension for c in checks})).cast("bigint").alias("dimensions_run"),
-        F.count_if(has_id() & critical).alias("quarantined_ids"),
-        F.count_if(has_id() & F.col("warning") & ~critical).alias("warning_only_ids"),
-        F.coalesce(F.sum(F.when(~repeated, F.col("trusted"))), F.lit(0)).alias("clean_rows"),
+    repeated = f"({HAS_ID} AND copies > 1)"
+    critical, warning = (
+        f"({s} OR {repeated if watches_copies(checks, s) else 'false'})" for s in (CRITICAL, WARNING))
+    return aggregate(
+        per_id, [],
+        "coalesce(sum(copies), 0) AS total_rows",
+        f"{len(checks)}L AS checks_run",
+        f"{len({c.dimension for c in checks})}L AS dimensions_run",
+        f"count_if({HAS_ID} AND {critical}) AS quarantined_ids",
+        f"count_if({HAS_ID} AND {warning} AND NOT {critical}) AS warning_only_ids",
+        f"coalesce(sum(CASE WHEN NOT {repeated} THEN trusted END), 0) AS clean_rows",
     )

@@ -1,8 +1,8 @@
-"""The fraud rules, as columns over a customer's ordered history.
+"""The fraud rules, as expressions over a customer's ordered history.
 
 A rule says what it needs from the history, how many flags it puts on a row and the
-reason text of each. Rules of any other shape are ``FlagRule``: a function from the
-transactions to one row per flag.
+reason text of each, all as SQL text. Rules of any other shape are ``FlagRule``: a
+function from the transactions to one row per flag.
 """
 
 from __future__ import annotations
@@ -10,12 +10,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from tallywatch.config import RuleLimits
 from tallywatch.functions.columns import (
-    MINUTE_US, cents, cents_text, mean_cents, rounded_minutes, whole_minutes,
+    MINUTE_US, cents, cents_text, mean_cents, quoted, rounded_minutes, text, whole_minutes,
 )
 
 VELOCITY, BASELINE, NEIGHBOURS, RUNS, WINDOWED = "velocity", "baseline", "neighbours", "runs", "windowed"
@@ -26,8 +25,8 @@ class Rule:
     """``flags`` counts the row's flags; ``reasons`` are texts, NULL where not flagged."""
 
     name: str
-    flags: Callable[[RuleLimits], Column]
-    reasons: Callable[[RuleLimits], list[Column]]
+    flags: Callable[[RuleLimits], str]
+    reasons: Callable[[RuleLimits], list[str]]
     needs: tuple[str, ...] = ()
 
 
@@ -39,148 +38,132 @@ class FlagRule:
     detect: Callable[[DataFrame], DataFrame]
 
 
-def _text(*parts: str | Column) -> Column:
-    return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
+def one_if(condition: str) -> str:
+    return f"CAST(coalesce({condition}, false) AS BIGINT)"
 
 
-def _one_if(condition: Column) -> Column:
-    return F.when(condition, 1).otherwise(0)
+def text_if(condition: str, *parts: str) -> str:
+    return f"CASE WHEN {condition} THEN {text(*parts)} END"
 
 
 # -- velocity ----------------------------------------------------------------------
-def too_fast(limits: RuleLimits) -> Column:
-    return F.col("n_velocity") > limits.velocity_over
+def too_fast(limits: RuleLimits) -> str:
+    return f"(n_velocity > {limits.velocity_over})"
 
 
-def _velocity_reasons(limits: RuleLimits) -> list[Column]:
-    text = _text(F.col("n_velocity"), " transactions by ", F.col("customer_id"),
-                 f" within {limits.velocity_minutes} min (threshold: >{limits.velocity_over})")
-    return [F.when(too_fast(limits), text)]
+def _velocity_reasons(limits: RuleLimits) -> list[str]:
+    limit = f" within {limits.velocity_minutes} min (threshold: >{limits.velocity_over})"
+    return [text_if(too_fast(limits), "n_velocity", quoted(" transactions by "), "customer_id", quoted(limit))]
 
 
 # -- amount anomaly ----------------------------------------------------------------
-def z_score() -> Column:
-    spread = F.when(F.col("sd_prior") > 0, F.col("sd_prior"))
-    return (F.col("amount").cast("double") - F.col("mean_prior")) / spread
+Z_SCORE = "((CAST(amount AS DOUBLE) - mean_prior) / nullif(sd_prior, 0D))"
 
 
-def unusual_amount(limits: RuleLimits) -> Column:
-    return (F.col("n_prior") >= limits.min_history) & (z_score() > limits.sigma_over)
+def unusual_amount(limits: RuleLimits) -> str:
+    return f"(n_prior >= {limits.min_history} AND {Z_SCORE} > {limits.sigma_over})"
 
 
-def _amount_reasons(limits: RuleLimits) -> list[Column]:
-    text = _text(
-        "amount ", cents_text(cents(F.col("amount"))), " is ", z_score().cast("decimal(18,1)"),
-        " std devs above ", F.col("customer_id"), "'s rolling average of ",
-        cents_text(mean_cents(F.col("sum_prior"), F.col("n_prior"))),
-        " (n=", F.col("n_prior"), " prior txns)",
-    )
-    return [F.when(unusual_amount(limits), text)]
+def _amount_reasons(limits: RuleLimits) -> list[str]:
+    return [text_if(
+        unusual_amount(limits),
+        quoted("amount "), cents_text(cents("amount")), quoted(" is "), f"CAST({Z_SCORE} AS DECIMAL(18,1))",
+        quoted(" std devs above "), "customer_id", quoted("'s rolling average of "),
+        cents_text(mean_cents("sum_prior", "n_prior")), quoted(" (n="), "n_prior", quoted(" prior txns)"),
+    )]
 
 
 # -- impossible travel ---------------------------------------------------------------
-def gap_before() -> Column:
-    return F.col("key") - F.col("prev.key")
+GAP_BEFORE, GAP_AFTER = "(key - prev.key)", "(next.key - key)"
 
 
-def gap_after() -> Column:
-    return F.col("next.key") - F.col("key")
+def travelled(other: str, gap: str, limits: RuleLimits) -> str:
+    """Is the neighbour in another country, too close in time?"""
+    return f"({other}.country <> country AND {gap} < {limits.travel_under_minutes * MINUTE_US})"
 
 
-def travelled(other: str, gap: Column, limits: RuleLimits) -> Column:
-    """Is the neighbour in another country, too close in time?"""
-    apart = F.col(f"{other}.country") != F.col("country")
-    return F.coalesce(apart & (gap < limits.travel_under_minutes * MINUTE_US), F.lit(False))
+def arrived(limits: RuleLimits) -> str:
+    return travelled("prev", GAP_BEFORE, limits)
 
 
-def travel_flags(limits: RuleLimits) -> Column:
-    return _one_if(travelled("prev", gap_before(), limits)) + _one_if(travelled("next", gap_after(), limits))
+def left(limits: RuleLimits) -> str:
+    return travelled("next", GAP_AFTER, limits)
 
 
-def _travel_reasons(limits: RuleLimits) -> list[Column]:
-    def text(first: str, second: str, gap: Column) -> Column:
-        return _text(F.col("customer_id"), " transacted in ", F.col(first), " then ", F.col(second), " only ",
-                     whole_minutes(gap), f" min apart (threshold: <{limits.travel_under_minutes} min)")
+def travel_flags(limits: RuleLimits) -> str:
+    return f"({one_if(arrived(limits))} + {one_if(left(limits))})"
 
-    return [
-        F.when(travelled("prev", gap_before(), limits), text("prev.country", "country", gap_before())),
-        F.when(travelled("next", gap_after(), limits), text("country", "next.country", gap_after())),
-    ]
 
+def _travel_reasons(limits: RuleLimits) -> list[str]:
+    def trip(condition: str, first: str, second: str, gap: str) -> str:
+        limit = f" min apart (threshold: <{limits.travel_under_minutes} min)"
+        return text_if(condition, "customer_id", quoted(" transacted in "), first, quoted(" then "), second,
+                       quoted(" only "), whole_minutes(gap), quoted(limit))
 
-# -- repeated failures, as runs of adjacent failures ----------------------------------
-def in_run(limits: RuleLimits) -> Column:
-    return F.col("run_size") >= limits.min_failures
+    return [trip(arrived(limits), "prev.country", "country", GAP_BEFORE),
+            trip(left(limits), "country", "next.country", GAP_AFTER)]
 
 
-def after_run(limits: RuleLimits) -> Column:
-    return F.col("follows_run") >= limits.min_failures
+# -- repeated failures, as runs of adjacent failures ----------------------------------
+def in_run(limits: RuleLimits) -> str:
+    return f"(run_size >= {limits.min_failures})"
 
 
-def _failed_text(n: Column, limits: RuleLimits) -> Column:
-    return _text(n, " failed transactions by ", F.col("customer_id"),
-                 f" within {limits.failure_minutes} min windows (card-testing pattern, threshold: >={limits.min_failures})")
+def after_run(limits: RuleLimits) -> str:
+    return f"(follows_run >= {limits.min_failures})"
 
 
-def _run_reasons(limits: RuleLimits) -> list[Column]:
-    followed = _text("success followed a ", F.col("follows_run"), "-failure card-testing cluster within ",
-                     rounded_minutes(F.col("follows_us")), " min")
-    return [F.when(in_run(limits), _failed_text(F.col("run_size"), limits)), F.when(after_run(limits), followed)]
+def _failed_text(condition: str, n: str, limits: RuleLimits) -> str:
+    limit = f" within {limits.failure_minutes} min windows (card-testing pattern, threshold: >={limits.min_failures})"
+    return text_if(condition, n, quoted(" failed transactions by "), "customer_id", quoted(limit))
 
 
-# -- repeated failures, as windows ----------------------------------------------------
-def in_cluster(limits: RuleLimits) -> Column:
-    return F.col("n_failures") >= limits.min_failures
+def _run_reasons(limits: RuleLimits) -> list[str]:
+    followed = text_if(after_run(limits), quoted("success followed a "), "follows_run",
+                       quoted("-failure card-testing cluster within "), rounded_minutes("follows_us"), quoted(" min"))
+    return [_failed_text(in_run(limits), "run_size", limits), followed]
 
 
-def _window_flags(limits: RuleLimits) -> Column:
-    return _one_if(in_cluster(limits)) + F.coalesce(F.col("n_clusters"), F.lit(0))
+# -- repeated failures, as windows ----------------------------------------------------
+def in_cluster(limits: RuleLimits) -> str:
+    return f"(n_failures >= {limits.min_failures})"
 
 
-def _window_reasons(limits: RuleLimits) -> list[Column]:
-    followed = _text("success followed a card-testing failure cluster by ", F.col("customer_id"),
-                     f" within {limits.failure_minutes} min")
-    return [F.when(in_cluster(limits), _failed_text(F.col("n_failures"), limits)),
-            F.when(F.col("n_clusters") > 0, followed)]
+def _window_reasons(limits: RuleLimits) -> list[str]:
+    followed = text_if("n_clusters > 0", quoted("success followed a card-testing failure cluster by "), "customer_id",
+                       quoted(f" within {limits.failure_minutes} min"))
+    return [_failed_text(in_cluster(limits), "n_failures", limits), followed]
 
 
 # -- odd hour --------------------------------------------------------------------------
-def hour_of(limits: RuleLimits) -> Column:
+def hour_of(limits: RuleLimits) -> str:
     """The UTC hour, or the hour on the clock as written where the load kept it."""
-    if limits.wall_clock_hours:
-        return F.coalesce(F.col("wall_clock_hour"), F.hour("transaction_ts"))
-    return F.hour("transaction_ts")
+    utc = "hour(transaction_ts)"
+    return f"coalesce(wall_clock_hour, {utc})" if limits.wall_clock_hours else utc
 
 
-def at_odd_hour(limits: RuleLimits) -> Column:
-    return hour_of(limits).between(limits.odd_hour_first, limits.odd_hour_last)
+def at_odd_hour(limits: RuleLimits) -> str:
+    return f"({hour_of(limits)} BETWEEN {limits.odd_hour_first} AND {limits.odd_hour_last})"
 
 
-def _hour_reasons(dash: str) -> Callable[[RuleLimits], list[Column]]:
-    def reasons(limits: RuleLimits) -> list[Column]:
-        text = _text(
-            "transaction at ", F.lpad(hour_of(limits).cast("string"), 2, "0"),
-            f":00 local (odd-hour window: {limits.odd_hour_first}-{limits.odd_hour_last}am) {dash} "
-            "weak signal, contributing factor only",
-        )
-        return [F.when(at_odd_hour(limits), text)]
+def _odd_hour(dash: str) -> Rule:
+    def reasons(limits: RuleLimits) -> list[str]:
+        window = f"{limits.odd_hour_first}-{limits.odd_hour_last}am"
+        return [text_if(
+            at_odd_hour(limits), quoted("transaction at "), f"lpad(CAST({hour_of(limits)} AS STRING), 2, '0')",
+            quoted(f":00 local (odd-hour window: {window}) {dash} weak signal, contributing factor only"))]
 
-    return reasons
+    return Rule("odd_hour", lambda m: one_if(at_odd_hour(m)), reasons)
 
 
-_VELOCITY = Rule("velocity", lambda m: _one_if(too_fast(m)), _velocity_reasons, (VELOCITY,))
-_AMOUNT = Rule("amount_anomaly", lambda m: _one_if(unusual_amount(m)), _amount_reasons, (BASELINE,))
+_VELOCITY = Rule("velocity", lambda m: one_if(too_fast(m)), _velocity_reasons, (VELOCITY,))
+_AMOUNT = Rule("amount_anomaly", lambda m: one_if(unusual_amount(m)), _amount_reasons, (BASELINE,))
 _TRAVEL = Rule("geo_impossible_travel", travel_flags, _travel_reasons, (NEIGHBOURS,))
-_RUNS = Rule("repeated_failure_cardtesting", lambda m: _one_if(in_run(m) | after_run(m)), _run_reasons,
+_RUNS = Rule("repeated_failure_cardtesting", lambda m: one_if(f"{in_run(m)} OR {after_run(m)}"), _run_reasons,
              (NEIGHBOURS, RUNS))
-_WINDOWS = Rule("repeated_failure_cardtesting", _window_flags, _window_reasons, (WINDOWED,))
+_WINDOWS = Rule("repeated_failure_cardtesting", lambda m: f"{one_if(in_cluster(m))} + coalesce(n_clusters, 0L)",
+                _window_reasons, (WINDOWED,))
 
-DEFAULT_RULES: tuple[Rule, ...] = (
-    _VELOCITY, _AMOUNT, _TRAVEL, _RUNS,
-    Rule("odd_hour", lambda m: _one_if(at_odd_hour(m)), _hour_reasons("—")),
-)
+DEFAULT_RULES: tuple[Rule, ...] = (_VELOCITY, _AMOUNT, _TRAVEL, _RUNS, _odd_hour("—"))
 # Failures counted in windows, each success flagged once per cluster it follows.
-WINDOWED_RULES: tuple[Rule, ...] = (
-    _VELOCITY, _AMOUNT, _TRAVEL, _WINDOWS,
-    Rule("odd_hour", lambda m: _one_if(at_odd_hour(m)), _hour_reasons("--")),
-)
+WINDOWED_RULES: tuple[Rule, ...] = (_VELOCITY, _AMOUNT, _TRAVEL, _WINDOWS, _odd_hour("--"))

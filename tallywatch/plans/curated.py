@@ -2,38 +2,40 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallywatch.config import BUCKETS
 from tallywatch.operators.checks import CRITICAL
+from tallywatch.operators.report import aggregate
 
 
-def health_trend(issues: DataFrame, run_date: Column) -> DataFrame:
+def health_trend(issues: DataFrame, run_date: str) -> DataFrame:
     """Share of passed checks per run date."""
-    return issues.groupBy(run_date.alias("run_date")).agg(
-        F.try_divide(F.count_if("passed"), F.count(F.lit(1))).alias("pass_rate"))
+    dated = issues.selectExpr(f"{run_date} AS run_date", "passed")
+    return aggregate(dated, ["run_date"], "try_divide(count_if(passed), count(*)) AS pass_rate")
 
 
-def bucket_distribution(scores: DataFrame, run_date: Column) -> DataFrame:
-    return scores.groupBy(run_date.alias("run_date"), "risk_bucket").agg(F.count(F.lit(1)).alias("n"))
+def bucket_distribution(scores: DataFrame, run_date: str) -> DataFrame:
+    dated = scores.selectExpr(f"{run_date} AS run_date", "risk_bucket")
+    return aggregate(dated, ["run_date", "risk_bucket"], "count(*) AS n")
 
 
 def bucket_counts(scores: DataFrame) -> DataFrame:
-    return scores.groupBy("risk_bucket").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "risk_bucket")
+    return aggregate(scores, ["risk_bucket"], "count(*) AS n").orderBy(F.desc("n"), "risk_bucket")
 
 
 def bucket_distribution_filled(scores: DataFrame) -> DataFrame:
     """All three buckets in order, with zeros."""
-    counts = scores.agg(*[F.count_if(F.col("risk_bucket") == b).alias(b) for b in BUCKETS])
-    rows = [F.struct(F.lit(b).alias("risk_bucket"), F.col(b).alias("n")) for b in BUCKETS]
-    return counts.select(F.inline(F.array(*rows)))
+    counts = aggregate(scores, [], *[f"count_if(risk_bucket = '{b}') AS {b}" for b in BUCKETS])
+    rows = ", ".join(f"struct('{b}' AS risk_bucket, {b} AS n)" for b in BUCKETS)
+    return counts.selectExpr(f"inline(array({rows}))")
 
 
 def top_flagged(scores: DataFrame, rows: int = 25, min_score: int = 25) -> DataFrame:
     """The highest scores; equal scores in ingest order."""
     return (
-        scores.filter(F.col("fraud_risk_score") >= min_score)
+        scores.where(f"fraud_risk_score >= {int(min_score)}")
         .orderBy(F.desc("fraud_risk_score"), "ingest_seq")
         .limit(rows)
     )
@@ -41,24 +43,21 @@ def top_flagged(scores: DataFrame, rows: int = 25, min_score: int = 25) -> DataF
 
 def latest(issues: DataFrame) -> DataFrame:
     """The results of the latest run."""
-    newest = issues.agg(F.max("run_ts").alias("run_ts"))
+    newest = aggregate(issues, [], "max(run_ts) AS run_ts")
     return issues.join(F.broadcast(newest), "run_ts", "left_semi")
 
 
 def kpis(issues: DataFrame, scores: DataFrame) -> DataFrame:
     """One row of headline numbers; with no critical results the status is PASS."""
-    checks = issues.filter(F.col("severity") == CRITICAL).agg(
-        F.bool_and("passed").alias("passed"),
-        F.count_if("passed").alias("critical_passing"),
-        F.count(F.lit(1)).alias("critical_total"),
-    )
-    scored = scores.agg(
-        F.count(F.lit(1)).alias("transactions_scored"),
-        F.count_if(F.col("risk_bucket") == "High").alias("high_risk"),
-        F.max("fraud_risk_score").alias("max_score"),
-    )
-    both = checks.unionByName(scored, allowMissingColumns=True)
-    return both.agg(
-        F.when(F.coalesce(F.bool_and("passed"), F.lit(True)), "PASS").otherwise("FAIL").alias("overall_status"),
-        *[F.max(c).alias(c) for c in ("transactions_scored", "high_risk", "critical_passing", "critical_total", "max_score")],
-    )
+    checks = aggregate(
+        issues.where(f"severity = '{CRITICAL}'"), [],
+        "bool_and(passed) AS passed", "count_if(passed) AS critical_passing", "count(*) AS critical_total")
+    scored = aggregate(
+        scores, [],
+        "count(*) AS transactions_scored", "count_if(risk_bucket = 'High') AS high_risk",
+        "max(fraud_risk_score) AS max_score")
+    numbers = ("transactions_scored", "high_risk", "critical_passing", "critical_total", "max_score")
+    return aggregate(
+        checks.unionByName(scored, allowMissingColumns=True), [],
+        "CASE WHEN coalesce(bool_and(passed), true) THEN 'PASS' ELSE 'FAIL' END AS overall_status",
+        *[f"max({n}) AS {n}" for n in numbers])

@@ -2,25 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
+from tallywatch.functions.columns import quoted
+from tallywatch.operators.report import aggregate
 
-def label_eval(rows: DataFrame, patterns: dict[str, tuple[Column, Column]]) -> DataFrame:
+
+def label_eval(rows: DataFrame, patterns: dict[str, tuple[str, str]]) -> DataFrame:
     """Per pattern, from a (flagged, injected) pair of row conditions: true positives,
     flagged, injected, precision and recall. One aggregate for all patterns."""
-    counts = []
-    for i, (flagged, injected) in enumerate(patterns.values()):
-        counts += [F.count_if(flagged & injected).alias(f"tp_{i}"), F.count_if(flagged).alias(f"fl_{i}"),
-                   F.count_if(injected).alias(f"in_{i}")]
-    added = rows.agg(*counts)
-    result = [
-        F.struct(
-            F.lit(name).alias("pattern"), F.col(f"tp_{i}").alias("true_positive"), F.col(f"fl_{i}").alias("flagged"),
-            F.col(f"in_{i}").alias("injected"),
-            F.round(F.try_divide(F.col(f"tp_{i}").cast("double"), F.col(f"fl_{i}")), 4).alias("precision"),
-            F.round(F.try_divide(F.col(f"tp_{i}").cast("double"), F.col(f"in_{i}")), 4).alias("recall"),
-        )
-        for i, name in enumerate(patterns)
-    ]
-    return added.select(F.inline(F.array(*result)))
+    counts, result = [], []
+    for i, (name, (flagged, injected)) in enumerate(patterns.items()):
+        counts += [f"count_if(({flagged}) AND ({injected})) AS tp_{i}", f"count_if({flagged}) AS fl_{i}",
+                   f"count_if({injected}) AS in_{i}"]
+        result.append(
+            f"struct({quoted(name)} AS pattern, tp_{i} AS true_positive, fl_{i} AS flagged, in_{i} AS injected,"
+            f" round(try_divide(CAST(tp_{i} AS DOUBLE), fl_{i}), 4) AS precision,"
+            f" round(try_divide(CAST(tp_{i} AS DOUBLE), in_{i}), 4) AS recall)")
+    return aggregate(rows, [], *counts).selectExpr(f"inline(array({', '.join(result)}))")

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallywatch.config import HotKeyPolicy, RuleLimits
@@ -22,31 +22,40 @@ from tallywatch.plans.hot import Split, find_split
 # from the velocity window, a failure's exit from the failure window, and from the
 # failure window of the rows that exit there.
 ROW, OUT_OF_VELOCITY, OUT_OF_FAILURES, OUT_TWICE = 0, 1, 2, 3
-BEFORE = (Window.unboundedPreceding, -1)
-UP_TO = (Window.unboundedPreceding, Window.currentRow)
 
+IS_ROW = f"kind = {ROW}"
+HERE = "struct(key, ingest_seq, transaction_id, country, status)"
+FAILURE = f"CAST({IS_ROW} AND coalesce(status = 'failed', false) AS BIGINT)"
+X, EXACT = "CAST(amount AS DOUBLE)", "CAST(amount AS DECIMAL(28,9))"
+ZERO = "CAST(0 AS DECIMAL(38,9))"
 
-def _mark_array(limits: RuleLimits, velocity: bool, windowed: bool) -> Column:
-    at = F.unix_micros("transaction_ts")
-    failed = F.col("status") == "failed"
-    step = limits.failure_minutes * MINUTE_US
+BLOCK_BEFORE = "(PARTITION BY customer_id ORDER BY block ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+BLOCK_AFTER = "(PARTITION BY customer_id ORDER BY block DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
 
-    def mark(kind: int, key: Column) -> Column:
-        return F.struct(F.lit(kind).alias("kind"), key.alias("key"))
 
-    marks = [mark(ROW, at)]
-    if velocity:
-        marks.append(mark(OUT_OF_VELOCITY, at + limits.velocity_minutes * MINUTE_US))
-    if windowed:
-        marks.append(F.when(failed, mark(OUT_OF_FAILURES, at + step)))
-        marks.append(F.when(failed, mark(OUT_TWICE, at + 2 * step)))
-    return F.array_compact(F.array(*marks)) if windowed else F.array(*marks)
+def _is(kind: int) -> str:
+    return f"CAST(kind = {kind} AS BIGINT)"
+
+
+def _marks(limits: RuleLimits, velocity: bool, windowed: bool) -> str:
+    """The entries of one transaction, as rows of (kind, key)."""
+    at, step = "unix_micros(transaction_ts)", limits.failure_minutes * MINUTE_US
+
+    def mark(kind: int, later: int) -> str:
+        return f"named_struct('kind', {kind}, 'key', {at} + {later}L)"
+
+    always = [mark(ROW, 0)] + ([mark(OUT_OF_VELOCITY, limits.velocity_minutes * MINUTE_US)] if velocity else [])
+    if not windowed:
+        return f"inline(array({', '.join(always)}))"
+    failed = [mark(OUT_OF_FAILURES, step), mark(OUT_TWICE, 2 * step)]
+    return (f"inline(CASE WHEN status = 'failed' THEN array({', '.join(always + failed)})"
+            f" ELSE array({', '.join(always)}) END)")
 
 
 def split_for(tx: DataFrame, policy: HotKeyPolicy | None = None, limits: RuleLimits = RuleLimits()) -> Split | None:
     """The split of hot customers for these transactions (one count when there are few)."""
-    marks = tx.select("customer_id", "ingest_seq", F.inline(_mark_array(limits, True, True)))
-    return find_split(tx, marks, policy or HotKeyPolicy())
+    return find_split(tx, lambda rows: rows.selectExpr("customer_id", "ingest_seq", _marks(limits, True, True)),
+                      policy or HotKeyPolicy())
 
 
 @dataclass(frozen=True)
@@ -60,110 +69,104 @@ class History:
 
     # -- windows ---------------------------------------------------------------
     @property
-    def _keys(self) -> list[str]:
-        return ["customer_id", "block"] if self.split else ["customer_id"]
+    def _by(self) -> str:
+        return f"PARTITION BY customer_id{', block' if self.split else ''}"
+
+    @property
+    def _in_order(self) -> str:
+        return f"{self._by} ORDER BY key, kind, ingest_seq"
 
-    def in_order(self, *rows: int) -> WindowSpec:
-        spec = Window.partitionBy(*self._keys).orderBy("key", "kind", "ingest_seq")
-        return spec.rowsBetween(*rows) if rows else spec
+    @property
+    def _up_to(self) -> str:
+        return f"({self._in_order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
 
-    def with_peers(self) -> WindowSpec:
-        """Up to the current time, rows at the same time included."""
-        return Window.partitionBy(*self._keys).orderBy("key").rangeBetween(*UP_TO)
+    @property
+    def _before(self) -> str:
+        return f"({self._in_order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+
+    @property
+    def _with_peers(self) -> str:
+        return f"({self._by} ORDER BY key RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
 
-    def carried(self, name: str, default: Column | None = None) -> Column:
+    def _carried(self, name: str, default: str = "NULL") -> str:
         """A value from other blocks of the customer; the default when there are none."""
-        default = F.lit(None) if default is None else default
-        return F.coalesce(F.col(name), default) if self.split else default
+        return f"coalesce({name}, {default})" if self.split else default
 
-    def _add(self, **columns: Column) -> History:
-        return replace(self, df=self.df.withColumns(columns))
+    def _add(self, *columns: str) -> History:
+        return replace(self, df=self.df.selectExpr("*", *columns))
 
-    def _total_with_peers(self, name: str, measure: Column) -> Column:
+    def _total(self, name: str, measure: str) -> str:
+        """Running total in row order, the current row included."""
+        return f"(sum({measure}) OVER {self._up_to} + {self._carried(f'c_{name}', '0L')})"
+
+    def _total_with_peers(self, name: str, measure: str) -> str:
         """Running total including all peers, also those in later blocks."""
-        total = F.coalesce(F.sum(measure).over(self.with_peers()), F.lit(0))
+        total = f"sum({measure}) OVER {self._with_peers}"
         if not self.split:
-            return total
-        later = F.when(F.col("key") == F.col("_next_key"), self.carried(f"t_{name}", F.lit(0))).otherwise(0)
-        return total + self.carried(f"c_{name}", F.lit(0)) + later
-
-    def _total(self, name: str, measure: Column) -> Column:
-        """Running total in row order, the current row included."""
-        total = F.coalesce(F.sum(measure).over(self.in_order(*UP_TO)), F.lit(0))
-        return total + self.carried(f"c_{name}", F.lit(0))
+            return f"({total})"
+        later = f"CASE WHEN key = _next_key THEN {self._carried(f't_{name}', '0L')} ELSE 0L END"
+        return f"({total} + {self._carried(f'c_{name}', '0L')} + {later})"
 
     # -- steps -----------------------------------------------------------------
     def add_velocity(self) -> History:
         """``n_velocity``: transactions in the last minutes, peers included;
         ``n_velocity_seq``: the same without later peers."""
         row = _is(ROW)
-        h = self._add(_gone=self._total("gone", _is(OUT_OF_VELOCITY)), _nth=self._total("rows", row))
-        return h._add(
-            n_velocity=h._total_with_peers("rows", row) - F.col("_gone"),
-            n_velocity_seq=F.col("_nth") - F.col("_gone"),
+        return self._add(
+            f"{self._total('gone', _is(OUT_OF_VELOCITY))} AS _gone", f"{self._total('rows', row)} AS _nth",
+        )._add(
+            f"{self._total_with_peers('rows', row)} - _gone AS n_velocity", "_nth - _gone AS n_velocity_seq",
         )
 
     def add_failure_windows(self) -> History:
         """``n_failures``: failures in the last minutes, on failed rows;
         ``n_clusters``: how many of the failures in the last minutes reached the
         limit at their own time, on successful rows."""
-        failure, out = _failure(), _is(OUT_OF_FAILURES)
-        h = self._add(_out=self._total("out", out), _out_twice=self._total("out_twice", _is(OUT_TWICE)))
-        h = h._add(
-            n_failures=F.when(failure == 1, h._total_with_peers("failures", failure) - F.col("_out")),
+        out, limit = _is(OUT_OF_FAILURES), self.limits.min_failures
+        h = self._add(
+            f"{self._total('out', out)} AS _out", f"{self._total('out_twice', _is(OUT_TWICE))} AS _out_twice",
+        )._add(
+            f"CASE WHEN {FAILURE} = 1 THEN {self._total_with_peers('failures', FAILURE)} - _out END AS n_failures",
             # The same count, seen again at the time the failure leaves the window.
-            _n_left=F.when(out == 1, h._total_with_peers("out", out) - F.col("_out_twice")),
-        )
-        limit = self.limits.min_failures
-        reached = F.coalesce((F.col("n_failures") >= limit).cast("bigint"), F.lit(0))
-        left = F.coalesce((F.col("_n_left") >= limit).cast("bigint"), F.lit(0))
-        h = h._add(_reached=reached, _left=left)
-        h = h._with_block_totals({"reached": F.col("_reached"), "left": F.col("_left")}, {"reached": F.col("_reached")})
-        h = h._add(_all_left=h._total("left", F.col("_left")))
-        success = _is_row() & (F.col("status") == "success")
-        return h._add(
-            n_clusters=F.when(success, h._total_with_peers("reached", F.col("_reached")) - F.col("_all_left"))
+            f"CASE WHEN {out} = 1 THEN {self._total_with_peers('out', out)} - _out_twice END AS _n_left",
+        )._add(
+            f"CAST(coalesce(n_failures >= {limit}, false) AS BIGINT) AS _reached",
+            f"CAST(coalesce(_n_left >= {limit}, false) AS BIGINT) AS _left",
         )
+        h = h._with_cluster_carry()
+        return h._add(f"{h._total('left', '_left')} AS _all_left")._add(
+            f"CASE WHEN {IS_ROW} AND status = 'success' THEN {h._total_with_peers('reached', '_reached')} - _all_left END"
+            " AS n_clusters")
 
     def rows_only(self) -> History:
-        return replace(self, df=self.df.filter(_is_row()), marked=False) if self.marked else self
+        return replace(self, df=self.df.where(IS_ROW), marked=False) if self.marked else self
 
     def add_neighbours(self) -> History:
         """``prev`` and ``next``: the customer's transaction before and after."""
-        here = _row_struct()
         return self._add(
-            prev=F.coalesce(F.lag(here).over(self.in_order()), self.carried("c_prev")),
-            next=F.coalesce(F.lead(here).over(self.in_order()), self.carried("c_next")),
-        )
+            *[f"coalesce({f}({HERE}) OVER ({self._in_order}), {self._carried(c)}) AS {name}" if self.split
+              else f"{f}({HERE}) OVER ({self._in_order}) AS {name}"
+              for f, c, name in (("lag", "c_prev", "prev"), ("lead", "c_next", "next"))])
 
     def add_baseline(self) -> History:
         """``n_prior``, ``sum_prior``, ``mean_prior`` and ``sd_prior`` over strictly
         earlier rows; ``sd_prior`` is the sample deviation."""
-        w, x = self.in_order(*BEFORE), F.col("amount").cast("double")
-        n, total = F.count("amount").over(w), F.sum(F.col("amount").cast("decimal(28,9)")).over(w)
-        zero = F.lit(0).cast("decimal(38,9)")
+        w = self._before
+        n, total = f"count(amount) OVER {w}", f"coalesce(sum({EXACT}) OVER {w}, {ZERO})"
         if not self.split:
-            return self._add(
-                n_prior=n, sum_prior=F.coalesce(total, zero),
-                mean_prior=F.avg(x).over(w), sd_prior=F.stddev_samp(x).over(w),
-            )
-        h = self._add(
-            _n=n, _sum=F.coalesce(total, zero), _mean=F.coalesce(F.avg(x).over(w), F.lit(0.0)),
-            _m2=F.coalesce(F.var_pop(x).over(w), F.lit(0.0)) * n,
-            _least=F.least(F.min(x).over(w), F.col("c_least")),
-            _most=F.greatest(F.max(x).over(w), F.col("c_most")),
-        )
-        # Means and squared deviations of two parts put together.
-        n0, mean0, m0 = (h.carried(c, F.lit(0.0)) for c in ("c_n", "c_mean", "c_m2"))
-        n1, all_n = F.col("_n"), F.col("_n") + h.carried("c_n", F.lit(0))
-        gap = F.col("_mean") - mean0
-        m2 = m0 + F.col("_m2") + gap * gap * n0 * n1 / all_n
-        sd = F.when(F.col("_least") == F.col("_most"), F.lit(0.0)).otherwise(F.sqrt(m2 / (all_n - 1)))
-        return h._add(
-            n_prior=all_n,
-            sum_prior=(F.col("_sum") + h.carried("c_sum", zero)).cast("decimal(38,9)"),
-            mean_prior=F.when(all_n > 0, mean0 + gap * n1 / all_n),
-            sd_prior=F.when(all_n > 1, sd),
+            return self._add(f"{n} AS n_prior", f"{total} AS sum_prior",
+                             f"avg({X}) OVER {w} AS mean_prior", f"stddev_samp({X}) OVER {w} AS sd_prior")
+        # Means and squared deviations of this block's rows and those before, put together.
+        n0, mean0, m0 = (self._carried(c, zero) for c, zero in (("c_n", "0L"), ("c_mean", "0D"), ("c_m2", "0D")))
+        m2 = f"({m0} + _m2 + _gap * _gap * {n0} * _n / n_prior)"
+        return self._add(
+            f"{n} AS _n", f"{total} AS _sum", f"coalesce(avg({X}) OVER {w}, 0D) AS _mean",
+            f"coalesce(var_pop({X}) OVER {w}, 0D) * ({n}) AS _m2",
+            f"least(min({X}) OVER {w}, c_least) AS _least", f"greatest(max({X}) OVER {w}, c_most) AS _most",
+        )._add(f"_n + {n0} AS n_prior", f"_mean - {mean0} AS _gap")._add(
+            f"CAST(_sum + {self._carried('c_sum', ZERO)} AS DECIMAL(38,9)) AS sum_prior",
+            f"CASE WHEN n_prior > 0 THEN {mean0} + _gap * _n / n_prior END AS mean_prior",
+            f"CASE WHEN n_prior > 1 THEN CASE WHEN _least = _most THEN 0D ELSE sqrt({m2} / (n_prior - 1)) END END AS sd_prior",
         )
 
     def add_failure_runs(self) -> History:
@@ -171,136 +174,100 @@ class History:
         ``follows_run`` and ``follows_us``: on a success right after a run, the run's
         length and the time since its last failure. Needs neighbours."""
         step, follow = (m * MINUTE_US for m in (self.limits.failure_minutes, self.limits.success_minutes))
-        failed, key = F.col("status") == "failed", F.col("key")
 
-        def joined(other: str, gap: Column) -> Column:
-            return F.coalesce((F.col(f"{other}.status") == "failed") & (gap <= step), F.lit(False))
+        def apart(other: str, gap: str) -> str:
+            return f"NOT coalesce({other}.status = 'failed' AND {gap} <= {step}, false)"
 
-        h = self._add(_nth_failure=self._total("failures", _failure()))
-        nth = F.col("_nth_failure")
-        h = h._add(
-            _first=F.when(failed & ~joined("prev", key - F.col("prev.key")), nth),
-            _last=F.when(failed & ~joined("next", F.col("next.key") - key), nth),
-        )
-        h = h._with_run_ends()
-        ahead = F.expr("lead(_last) ignore nulls").over(h.in_order())
-        h = h._add(
-            _run_first=F.coalesce(F.max("_first").over(h.in_order(*UP_TO)), h.carried("r_first")),
-            _run_last=F.coalesce(F.col("_last"), ahead, h.carried("r_last")),
-        )
-        since = key - F.col("prev.key")
-        after = (F.col("status") == "success") & (F.col("prev.status") == "failed") & (since <= follow)
+        h = self._add(f"{self._total('failures', FAILURE)} AS _nth_failure")._add(
+            f"CASE WHEN status = 'failed' AND {apart('prev', 'key - prev.key')} THEN _nth_failure END AS _first",
+            f"CASE WHEN status = 'failed' AND {apart('next', 'next.key - key')} THEN _nth_failure END AS _last",
+        )._with_run_carry()
+        after = f"status = 'success' AND prev.status = 'failed' AND key - prev.key <= {follow}"
         return h._add(
-            run_size=F.when(failed, F.col("_run_last") - F.col("_run_first") + 1),
-            follows_run=F.when(after, nth - F.col("_run_first") + 1),
-            follows_us=F.when(after, since),
+            f"coalesce(max(_first) OVER {h._up_to}, {h._carried('r_first')}) AS _run_first",
+            f"coalesce(_last, lead(_last) IGNORE NULLS OVER ({h._in_order}), {h._carried('r_last')}) AS _run_last",
+        )._add(
+            "CASE WHEN status = 'failed' THEN _run_last - _run_first + 1 END AS run_size",
+            f"CASE WHEN {after} THEN _nth_failure - _run_first + 1 END AS follows_run",
+            f"CASE WHEN {after} THEN key - prev.key END AS follows_us",
         )
 
     # -- values from other blocks ----------------------------------------------
-    def _blocks(self) -> DataFrame:
-        return self.df.filter(F.col("block").isNotNull()).groupBy("customer_id", "block")
+    def _per_block(self, *measures: str) -> DataFrame:
+        """One row per block of a hot customer: a few times max_blocks rows in all."""
+        return self.df.where("block IS NOT NULL").groupBy("customer_id", "block").agg(*map(F.expr, measures))
 
     def _join_blocks(self, carried: DataFrame) -> History:
-        """The summary has one row per block of a hot customer, a few times max_blocks."""
         return replace(self, df=self.df.join(F.broadcast(carried), ["customer_id", "block"], "left"))
 
-    def _with_block_totals(self, totals: dict[str, Column], peers: dict[str, Column]) -> History:
+    def _with_cluster_carry(self) -> History:
         if not self.split:
             return self
-        ends = [F.max("_start_key").alias("_start_key"), F.max("_next_key").alias("_next_key")]
-        per_block = self._blocks().agg(*ends, *_sums(totals, peers))
+        totals, peers = {"reached": "_reached", "left": "_left"}, {"reached": "_reached"}
+        per_block = self._per_block(*_sums(totals, peers))
         return self._join_blocks(_carry_totals(per_block, totals, peers).select(
-            "customer_id", "block", *[f"c_{n}" for n in totals], *[f"t_{n}" for n in peers]))
+            "customer_id", "block", "c_reached", "c_left", "t_reached"))
 
-    def _with_run_ends(self) -> History:
+    def _with_run_carry(self) -> History:
         if not self.split:
             return self
-        per_block = self._blocks().agg(F.max("_first").alias("_first"), F.min("_last").alias("_last"))
-        by_block = Window.partitionBy("customer_id").orderBy("block").rowsBetween(*BEFORE)
-        from_end = Window.partitionBy("customer_id").orderBy(F.desc("block")).rowsBetween(*BEFORE)
-        return self._join_blocks(per_block.select(
-            "customer_id", "block",
-            F.max("_first").over(by_block).alias("r_first"),
-            F.min("_last").over(from_end).alias("r_last"),
-        ))
+        per_block = self._per_block("max(_first) AS _first", "min(_last) AS _last")
+        return self._join_blocks(per_block.selectExpr(
+            "customer_id", "block", f"max(_first) OVER {BLOCK_BEFORE} AS r_first", f"min(_last) OVER {BLOCK_AFTER} AS r_last"))
 
     def _with_base_carry(self) -> History:
         """Everything that follows from the entries alone, in one summary."""
-        row, failure, out = _is(ROW), _failure(), _is(OUT_OF_FAILURES)
-        totals = {"rows": row, "gone": _is(OUT_OF_VELOCITY), "failures": failure,
-                  "out": out, "out_twice": _is(OUT_TWICE)}
-        peers = {"rows": row, "failures": failure, "out": out}
-        x = F.when(_is_row(), F.col("amount").cast("double"))
-        exact = F.when(_is_row(), F.col("amount").cast("decimal(28,9)"))
-        here = F.when(_is_row(), _row_struct())
-        per_block = self._blocks().agg(
-            F.max("_start_key").alias("_start_key"), F.max("_next_key").alias("_next_key"),
+        if not self.split:
+            return self
+        totals = {"rows": _is(ROW), "gone": _is(OUT_OF_VELOCITY), "failures": FAILURE,
+                  "out": _is(OUT_OF_FAILURES), "out_twice": _is(OUT_TWICE)}
+        peers = {n: totals[n] for n in ("rows", "failures", "out")}
+        only_rows = f"FILTER (WHERE {IS_ROW})"
+        per_block = self._per_block(
             *_sums(totals, peers),
-            F.min(here).alias("_head"), F.max(here).alias("_tail"),
-            F.count(x).alias("_n"), F.coalesce(F.avg(x), F.lit(0.0)).alias("_mean"),
-            F.coalesce(F.var_pop(x), F.lit(0.0)).alias("_var"), F.sum(exact).alias("_sum"),
-            F.min(x).alias("_least"), F.max(x).alias("_most"),
+            f"min({HERE}) {only_rows} AS _head", f"max({HERE}) {only_rows} AS _tail",
+            f"count(amount) {only_rows} AS _n", f"coalesce(avg({X}) {only_rows}, 0D) AS _mean",
+            f"coalesce(var_pop({X}) {only_rows}, 0D) AS _var", f"sum({EXACT}) {only_rows} AS _sum",
+            f"min({X}) {only_rows} AS _least", f"max({X}) {only_rows} AS _most",
         )
-        customer = Window.partitionBy("customer_id")
-        before = customer.orderBy("block").rowsBetween(*BEFORE)
-        after = customer.orderBy(F.desc("block")).rowsBetween(*BEFORE)
-        n, mean = F.col("_n"), F.col("_mean")
-        centre = F.try_divide(F.sum(n * mean).over(customer), F.sum(n).over(customer))
-        blocks = _carry_totals(per_block, totals, peers).withColumn("_centre", F.coalesce(centre, F.lit(0.0)))
-        off = mean - F.col("_centre")
-        blocks = blocks.withColumns({
-            "c_prev": F.last("_tail", ignorenulls=True).over(before),
-            "c_next": F.last("_head", ignorenulls=True).over(after),
-            "c_n": F.coalesce(F.sum(n).over(before), F.lit(0)),
-            "_off": F.coalesce(F.try_divide(F.sum(n * off).over(before), F.sum(n).over(before)), F.lit(0.0)),
-            "_squares": F.coalesce(F.sum(n * F.col("_var") + n * off * off).over(before), F.lit(0.0)),
-            "c_sum": F.sum("_sum").over(before),
-            "c_least": F.min("_least").over(before),
-            "c_most": F.max("_most").over(before),
-        }).withColumns({
-            "c_mean": F.col("_centre") + F.col("_off"),
-            "c_m2": F.greatest(F.col("_squares") - F.col("c_n") * F.col("_off") * F.col("_off"), F.lit(0.0)),
-        })
-        return self._join_blocks(blocks.select(
+        all_blocks, before = "(PARTITION BY customer_id)", BLOCK_BEFORE
+        blocks = _carry_totals(per_block, totals, peers).selectExpr(
+            "*", f"_mean - coalesce(try_divide(sum(_n * _mean) OVER {all_blocks}, sum(_n) OVER {all_blocks}), 0D) AS _off",
+        ).selectExpr(
+            "*",
+            f"last(_tail, true) OVER {before} AS c_prev", f"last(_head, true) OVER {BLOCK_AFTER} AS c_next",
+            f"coalesce(sum(_n) OVER {before}, 0L) AS c_n",
+            f"coalesce(try_divide(sum(_n * _off) OVER {before}, sum(_n) OVER {before}), 0D) AS _mean_off",
+            f"coalesce(sum(_n * _var + _n * _off * _off) OVER {before}, 0D) AS _squares",
+            f"sum(_sum) OVER {before} AS c_sum", f"min(_least) OVER {before} AS c_least", f"max(_most) OVER {before} AS c_most",
+        )
+        return self._join_blocks(blocks.selectExpr(
             "customer_id", "block", *[f"c_{n}" for n in totals], *[f"t_{n}" for n in peers],
-            "c_prev", "c_next", "c_n", "c_mean", "c_m2", "c_sum", "c_least", "c_most"))
-
-
-def _is_row() -> Column:
-    return F.col("kind") == ROW
-
-
-def _is(kind: int) -> Column:
-    return (F.col("kind") == kind).cast("bigint")
-
-
-def _failure() -> Column:
-    return F.coalesce((_is_row() & (F.col("status") == "failed")).cast("bigint"), F.lit(0))
-
-
-def _row_struct() -> Column:
-    return F.struct("key", "ingest_seq", "transaction_id", "country", "status")
+            "c_prev", "c_next", "c_n", "_mean - _off + _mean_off AS c_mean",
+            "greatest(_squares - c_n * _mean_off * _mean_off, 0D) AS c_m2", "c_sum", "c_least", "c_most"))
 
 
-def _sums(totals: dict[str, Column], peers: dict[str, Column]) -> list[Column]:
+def _sums(totals: dict[str, str], peers: dict[str, str]) -> list[str]:
     """Totals of a block, and of its rows at the very time the block starts."""
-    at_start = F.col("key") == F.col("_start_key")
-    return [F.sum(m).alias(f"_s_{n}") for n, m in totals.items()] + [
-        F.coalesce(F.sum(F.when(at_start, m)), F.lit(0)).alias(f"_h_{n}") for n, m in peers.items()
+    return [
+        "max(_start_key) AS _start_key", "max(_next_key) AS _next_key",
+        *[f"sum({m}) AS _s_{n}" for n, m in totals.items()],
+        *[f"coalesce(sum({m}) FILTER (WHERE key = _start_key), 0L) AS _h_{n}" for n, m in peers.items()],
     ]
 
 
-def _carry_totals(per_block: DataFrame, totals: dict[str, Column], peers: dict[str, Column]) -> DataFrame:
+def _carry_totals(per_block: DataFrame, totals: dict[str, str], peers: dict[str, str]) -> DataFrame:
     """``c_*``: totals of earlier blocks. ``t_*``: totals of the rows in later blocks
     that share the time at which the next block starts."""
-    in_order = Window.partitionBy("customer_id").orderBy("block")
-    same_time = Window.partitionBy("customer_id", "_start_key").orderBy(F.desc("block")).rowsBetween(*UP_TO)
-    onward = per_block.withColumns({f"_o_{n}": F.sum(f"_h_{n}").over(same_time) for n in peers})
-    shared = F.lead("_start_key").over(in_order) == F.col("_next_key")
-    return onward.withColumns({
-        **{f"c_{n}": F.coalesce(F.sum(f"_s_{n}").over(in_order.rowsBetween(*BEFORE)), F.lit(0)) for n in totals},
-        **{f"t_{n}": F.when(shared, F.lead(f"_o_{n}").over(in_order)).otherwise(0) for n in peers},
-    })
+    in_order = "(PARTITION BY customer_id ORDER BY block)"
+    same_time = "(PARTITION BY customer_id, _start_key ORDER BY block DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    onward = per_block.selectExpr("*", *[f"sum(_h_{n}) OVER {same_time} AS _o_{n}" for n in peers])
+    return onward.selectExpr(
+        "*",
+        *[f"coalesce(sum(_s_{n}) OVER {BLOCK_BEFORE}, 0L) AS c_{n}" for n in totals],
+        *[f"CASE WHEN lead(_start_key) OVER {in_order} = _next_key THEN lead(_o_{n}) OVER {in_order} ELSE 0L END AS t_{n}"
+          for n in peers],
+    )
 
 
 def start(tx: DataFrame, limits: RuleLimits = RuleLimits(), split: Split | None = None,
@@ -308,10 +275,9 @@ def start(tx: DataFrame, limits: RuleLimits = RuleLimits(), split: Split | None
     """Put clean transactions in order; ask for the expiry marks the steps will need."""
     marked = velocity or windowed
     if marked:
-        entries = tx.select("*", F.inline(_mark_array(limits, velocity, windowed)))
-        payload = [F.when(_is_row(), F.col(c)).alias(c) for c in tx.columns if c not in ("customer_id", "ingest_seq")]
-        entries = entries.select("customer_id", "ingest_seq", "kind", "key", *payload)
+        payload = [c for c in tx.columns if c not in ("customer_id", "ingest_seq")]
+        entries = tx.selectExpr("*", _marks(limits, velocity, windowed)).selectExpr(
+            "customer_id", "ingest_seq", "kind", "key", *[f"CASE WHEN {IS_ROW} THEN {c} END AS {c}" for c in payload])
     else:
-        entries = tx.withColumns({"kind": F.lit(ROW), "key": F.unix_micros("transaction_ts")})
-    history = History(split.assign(entries) if split else entries, limits, split, marked)
-    return history._with_base_carry() if split else history
+        entries = tx.selectExpr("*", f"{ROW} AS kind", "unix_micros(transaction_ts) AS key")
+    return History(split.assign(entries) if split else entries, limits, split, marked)._with_base_carry()

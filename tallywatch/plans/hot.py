@@ -10,10 +10,11 @@ cut is the same on every retry, and where they fall never changes a result.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallywatch.config import HotKeyPolicy
@@ -28,17 +29,16 @@ class Split:
     kinds: np.ndarray
     seqs: np.ndarray
 
-    def assign(self, marks: DataFrame) -> DataFrame:
+    def assign(self, entries: DataFrame) -> DataFrame:
         """Add ``block``, ``_start_key`` and ``_next_key``; all NULL for other customers."""
-        spark = marks.sparkSession
-        hot = spark.createDataFrame(self.customers, "customer_id string, _lo bigint, _hi bigint")
+        hot = entries.sparkSession.createDataFrame(self.customers, "customer_id string, _lo bigint, _hi bigint")
         lo, hi, block = F.col("_lo"), F.col("_hi"), F.col("block")
+        key, kind, seq = F.col("key"), F.col("kind"), F.col("ingest_seq")
         keys, kinds, seqs = F.lit(self.keys), F.lit(self.kinds), F.lit(self.seqs)
 
         def reached(i: Column) -> Column:
             k, q, s = (F.get(a, i.cast("int")) for a in (keys, kinds, seqs))
-            later_kind = (q < F.col("kind")) | ((q == F.col("kind")) & (s <= F.col("ingest_seq")))
-            return (k < F.col("key")) | ((k == F.col("key")) & later_kind)
+            return (k < key) | ((k == key) & ((q < kind) | ((q == kind) & (s <= seq))))
 
         # Binary search for the number of split points at or before the row.
         widest = max(end - first for _, first, end in self.customers)
@@ -48,19 +48,21 @@ class Split:
             lambda at, step: F.when((at + step <= hi) & reached(at + step - 1), at + step).otherwise(at),
         )
         return (
-            marks.join(F.broadcast(hot), "customer_id", "left")
+            entries.join(F.broadcast(hot), "customer_id", "left")
             .withColumn("block", F.when(lo.isNotNull(), found))
-            .withColumn("_start_key", F.when(block > lo, F.get(keys, (block - 1).cast("int"))))
-            .withColumn("_next_key", F.when(block < hi, F.get(keys, block.cast("int"))))
+            .withColumns({
+                "_start_key": F.when(block > lo, F.get(keys, (block - 1).cast("int"))),
+                "_next_key": F.when(block < hi, F.get(keys, block.cast("int"))),
+            })
             .drop("_lo", "_hi")
         )
 
 
-def find_split(rows: DataFrame, marks: DataFrame, policy: HotKeyPolicy) -> Split | None:
+def find_split(rows: DataFrame, to_entries: Callable[[DataFrame], DataFrame], policy: HotKeyPolicy) -> Split | None:
     """Split points for the customers that need them, or None.
 
-    ``rows`` are the transactions, counted only (a superset of what is scored is
-    fine); ``marks`` are the entries to be ordered, with customer_id, key, kind and
+    ``rows`` are the transactions, or any superset of them that is cheaper to count;
+    ``to_entries`` gives the entries to be ordered, with customer_id, key, kind and
     ingest_seq. At most a few times ``max_blocks`` split points reach the driver.
     """
     total = rows.count()
@@ -68,19 +70,17 @@ def find_split(rows: DataFrame, marks: DataFrame, policy: HotKeyPolicy) -> Split
         return None
     limit = max(policy.min_rows, -(-total // policy.max_blocks))
     hot = (
-        rows.filter(F.col("customer_id").isNotNull())
-        .groupBy("customer_id").agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > limit)
-        .select("customer_id")
+        rows.where("customer_id IS NOT NULL").groupBy("customer_id")
+        .agg(F.expr("count(*) AS _n")).where(f"_n > {limit}").select("customer_id")
     )
     every = max(1, limit // policy.samples_per_block)
     per_block = max(1, limit // every)
-    in_order = Window.partitionBy("customer_id").orderBy("key", "kind", "ingest_seq")
     points = (
-        marks.join(F.broadcast(hot), "customer_id", "left_semi")
-        .filter(F.pmod(F.xxhash64("kind", "ingest_seq"), F.lit(every)) == 0)
-        .select("customer_id", "key", "kind", "ingest_seq", F.row_number().over(in_order).alias("_at"))
-        .filter(F.col("_at") % per_block == 0)
+        to_entries(rows.join(F.broadcast(hot), "customer_id", "left_semi"))
+        .where(f"pmod(xxhash64(kind, ingest_seq), {every}) = 0")
+        .selectExpr("customer_id", "key", "CAST(kind AS BIGINT) AS kind", "ingest_seq",
+                    "row_number() OVER (PARTITION BY customer_id ORDER BY key, kind, ingest_seq) AS _at")
+        .where(f"_at % {per_block} = 0")
         .orderBy("customer_id", "key", "kind", "ingest_seq")
         .collect()
     )
@@ -88,9 +88,8 @@ def find_split(rows: DataFrame, marks: DataFrame, policy: HotKeyPolicy) -> Split
         return None
     customers: list[tuple[str, int, int]] = []
     for i, point in enumerate(points):
-        if customers and customers[-1][0] == point.customer_id:
-            customers[-1] = (point.customer_id, customers[-1][1], i + 1)
-        else:
-            customers.append((point.customer_id, i, i + 1))
-    column = lambda name: np.array([p[name] for p in points], dtype=np.int64)
-    return Split(customers, column("key"), column("kind"), column("ingest_seq"))
+        first = customers.pop()[1] if customers and customers[-1][0] == point.customer_id else i
+        customers.append((point.customer_id, first, i + 1))
+    keys, kinds, seqs = (
+        np.array([p[name] for p in points], dtype=np.int64) for name in ("key", "kind", "ingest_seq"))
+    return Split(customers, keys, kinds, seqs)

@@ -2,22 +2,24 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import add
-
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from tallywatch.config import RuleLimits, ScoringPolicy
+from tallywatch.functions.columns import quoted
+from tallywatch.operators.report import aggregate
 from tallywatch.operators.rules import (
     BASELINE, DEFAULT_RULES, NEIGHBOURS, RUNS, VELOCITY, WINDOWED, FlagRule, Rule,
 )
 from tallywatch.plans import history
 from tallywatch.plans.hot import Split
 
+Rules = tuple[Rule | FlagRule, ...]
+
 
 def features(tx: DataFrame, needs: set[str], limits: RuleLimits = RuleLimits(), split: Split | None = None) -> DataFrame:
     """Clean transactions with the history columns the named parts provide."""
+    if not needs:
+        return tx
     h = history.start(tx, limits, split, velocity=VELOCITY in needs, windowed=WINDOWED in needs)
     if VELOCITY in needs:
         h = h.add_velocity()
@@ -33,93 +35,85 @@ def features(tx: DataFrame, needs: set[str], limits: RuleLimits = RuleLimits(),
     return h.df
 
 
-def flagged(tx: DataFrame, rules: tuple[Rule | FlagRule, ...] = DEFAULT_RULES, limits: RuleLimits = RuleLimits(),
+def flagged(tx: DataFrame, rules: Rules = DEFAULT_RULES, limits: RuleLimits = RuleLimits(),
             split: Split | None = None) -> DataFrame:
     """Each transaction with ``n_i`` flags and sorted distinct reasons ``r_i`` of the
-    i-th rule. Column rules add no shuffle; each ``FlagRule`` adds one aggregate and
-    one join on the unique ingest sequence."""
-    by_column = [r for r in rules if isinstance(r, Rule)]
-    df = features(tx, {n for r in by_column for n in r.needs}, limits, split)
-    columns: dict[str, Column] = {}
-    for i, rule in enumerate(rules):
-        if isinstance(rule, Rule):
-            columns[f"n_{i}"] = F.coalesce(rule.flags(limits), F.lit(0)).cast("bigint")
-            texts = F.array_compact(F.array(*rule.reasons(limits)))
-            columns[f"r_{i}"] = F.array_sort(F.array_distinct(texts))
-    keep = [c for c in (*tx.columns, "key") if c in df.columns]
-    df = df.select(*keep, *[c.alias(name) for name, c in columns.items()])
+    i-th rule. Expression rules add no shuffle; each ``FlagRule`` adds one aggregate
+    and one join on the unique ingest sequence."""
+    written = {i: r for i, r in enumerate(rules) if isinstance(r, Rule)}
+    df = features(tx, {n for r in written.values() for n in r.needs}, limits, split)
+    flags = [f"CAST({r.flags(limits)} AS BIGINT) AS n_{i}" for i, r in written.items()]
+    reasons = [f"array_sort(array_distinct(array_compact(array({', '.join(r.reasons(limits))})))) AS r_{i}"
+               for i, r in written.items()]
+    df = df.selectExpr(*tx.columns, *flags, *reasons)
     for i, rule in enumerate(rules):
         if isinstance(rule, FlagRule):
-            found = rule.detect(tx).groupBy("ingest_seq").agg(
-                F.count(F.lit(1)).alias(f"n_{i}"), F.array_sort(F.collect_set("reason")).alias(f"r_{i}"))
-            none = F.array().cast("array<string>")
-            df = df.join(found, "ingest_seq", "left").withColumns(
-                {f"n_{i}": F.coalesce(f"n_{i}", F.lit(0)), f"r_{i}": F.coalesce(f"r_{i}", none)})
+            found = aggregate(rule.detect(tx), ["ingest_seq"], f"count(*) AS n_{i}",
+                              f"array_sort(collect_set(reason)) AS r_{i}")
+            rest = df.columns
+            df = df.join(found, "ingest_seq", "left").selectExpr(
+                *rest, f"coalesce(n_{i}, 0L) AS n_{i}", f"coalesce(r_{i}, CAST(array() AS ARRAY<STRING>)) AS r_{i}")
     return df
 
 
-def bucket(score: Column, policy: ScoringPolicy = ScoringPolicy()) -> Column:
-    return F.when(score >= policy.high_from, "High").when(score >= policy.medium_from, "Medium").otherwise("Low")
+def bucket(score: str, policy: ScoringPolicy = ScoringPolicy()) -> str:
+    return f"CASE WHEN {score} >= {policy.high_from} THEN 'High' WHEN {score} >= {policy.medium_from} THEN 'Medium' ELSE 'Low' END"
 
 
-def score(tx: DataFrame, rules: tuple[Rule | FlagRule, ...] = DEFAULT_RULES, policy: ScoringPolicy = ScoringPolicy(),
+def score(tx: DataFrame, rules: Rules = DEFAULT_RULES, policy: ScoringPolicy = ScoringPolicy(),
           limits: RuleLimits = RuleLimits(), split: Split | None = None) -> DataFrame:
     """Score, bucket, triggered rules and reasons of every transaction. A rule's
     weight counts once per flag; the columns of ``tx`` are kept."""
-    df = flagged(tx, rules, limits, split)
-    total = reduce(add, [F.col(f"n_{i}") * F.lit(policy.weights[r.name]) for i, r in enumerate(rules)], F.lit(0))
-    names = F.array(*[F.when(F.col(f"n_{i}") > 0, F.lit(r.name)) for i, r in enumerate(rules)])
-    reasons = F.flatten(F.array(*[F.col(f"r_{i}") for i in range(len(rules))]))
-    return df.select(
+    total = " + ".join(f"n_{i} * {int(policy.weights[r.name])}L" for i, r in enumerate(rules)) or "0L"
+    names = ", ".join(f"CASE WHEN n_{i} > 0 THEN {quoted(r.name)} END" for i, r in enumerate(rules))
+    reasons = ", ".join(f"r_{i}" for i in range(len(rules)))
+    return flagged(tx, rules, limits, split).selectExpr(
         *tx.columns,
-        total.cast("bigint").alias("fraud_risk_score"),
-        F.array_join(F.array_sort(F.array_distinct(F.array_compact(names))), ";").alias("triggered_rules"),
-        F.array_join(reasons, " | ").alias("reasons"),
-    ).withColumn("risk_bucket", bucket(F.col("fraud_risk_score"), policy))
+        f"{total} AS fraud_risk_score",
+        f"{bucket(f'({total})', policy)} AS risk_bucket",
+        f"array_join(array_sort(array_distinct(array_compact(array({names})))), ';') AS triggered_rules",
+        f"array_join(flatten(array({reasons})), ' | ') AS reasons",
+    )
 
 
-def all_flags(tx: DataFrame, rules: tuple[Rule | FlagRule, ...] = DEFAULT_RULES, policy: ScoringPolicy = ScoringPolicy(),
+def all_flags(tx: DataFrame, rules: Rules = DEFAULT_RULES, policy: ScoringPolicy = ScoringPolicy(),
               limits: RuleLimits = RuleLimits(), split: Split | None = None) -> DataFrame:
     """One row per flag, with the rule's name and weight."""
-    df = flagged(tx, rules, limits, split)
-    per_rule = [
-        F.struct(F.lit(r.name).alias("rule_name"), F.lit(policy.weights[r.name]).cast("bigint").alias("weight"),
-                 F.col(f"n_{i}").alias("n_flags"))
-        for i, r in enumerate(rules)
-    ]
+    per_rule = ", ".join(
+        f"struct({quoted(r.name)} AS rule_name, {int(policy.weights[r.name])}L AS weight, n_{i} AS _n)"
+        for i, r in enumerate(rules))
     return (
-        df.select(*tx.columns, F.inline(F.array(*per_rule)))
-        .filter(F.col("n_flags") > 0)
-        .select(*tx.columns, "rule_name", "weight", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("n_flags"))).alias("_nth"))
+        flagged(tx, rules, limits, split)
+        .selectExpr(*tx.columns, f"inline(array({per_rule}))")
+        .where("_n > 0")
+        .selectExpr(*tx.columns, "rule_name", "weight", "explode(sequence(1L, _n)) AS _nth")
         .drop("_nth")
     )
 
 
-def flag_reasons(tx: DataFrame, rules: tuple[Rule | FlagRule, ...] = DEFAULT_RULES,
-                 limits: RuleLimits = RuleLimits(), split: Split | None = None) -> DataFrame:
+def flag_reasons(tx: DataFrame, rules: Rules = DEFAULT_RULES, limits: RuleLimits = RuleLimits(),
+                 split: Split | None = None) -> DataFrame:
     """One row per distinct reason of a transaction."""
-    df = flagged(tx, rules, limits, split)
-    per_rule = [F.struct(F.lit(r.name).alias("rule_name"), F.col(f"r_{i}").alias("_texts")) for i, r in enumerate(rules)]
-    return df.select(*tx.columns, F.inline(F.array(*per_rule))).select(
-        *tx.columns, "rule_name", F.explode("_texts").alias("reason"))
+    per_rule = ", ".join(f"struct({quoted(r.name)} AS rule_name, r_{i} AS _texts)" for i, r in enumerate(rules))
+    return (
+        flagged(tx, rules, limits, split)
+        .selectExpr(*tx.columns, f"inline(array({per_rule}))")
+        .selectExpr(*tx.columns, "rule_name", "explode(_texts) AS reason")
+    )
 
 
-def trigger_counts(tx: DataFrame, rules: tuple[Rule | FlagRule, ...] = DEFAULT_RULES,
-                   limits: RuleLimits = RuleLimits(), split: Split | None = None) -> DataFrame:
+def trigger_counts(tx: DataFrame, rules: Rules = DEFAULT_RULES, limits: RuleLimits = RuleLimits(),
+                   split: Split | None = None) -> DataFrame:
     """Flags and flagged transactions per rule, added up before any exchange."""
-    df = flagged(tx, rules, limits, split)
-    added = df.agg(
-        *[F.coalesce(F.sum(f"n_{i}"), F.lit(0)).alias(f"f_{i}") for i in range(len(rules))],
-        *[F.count_if(F.col(f"n_{i}") > 0).alias(f"t_{i}") for i in range(len(rules))],
-    )
-    rows = [F.struct(F.lit(r.name).alias("rule_name"), F.col(f"f_{i}").alias("n_flags"),
-                     F.col(f"t_{i}").alias("n_transactions")) for i, r in enumerate(rules)]
-    return added.select(F.inline(F.array(*rows)))
+    measures = [m for i in range(len(rules))
+                for m in (f"coalesce(sum(n_{i}), 0L) AS f_{i}", f"count_if(n_{i} > 0) AS t_{i}")]
+    rows = ", ".join(f"struct({quoted(r.name)} AS rule_name, f_{i} AS n_flags, t_{i} AS n_transactions)"
+                     for i, r in enumerate(rules))
+    return aggregate(flagged(tx, rules, limits, split), [], *measures).selectExpr(f"inline(array({rows}))")
 
 
-def scores_table(scores: DataFrame, run_ts: Column) -> DataFrame:
+def scores_table(scores: DataFrame, run_ts: str) -> DataFrame:
     """Scores in the published layout."""
-    return scores.select(
+    return scores.selectExpr(
         "transaction_id", "customer_id", "amount", "fraud_risk_score", "risk_bucket", "triggered_rules", "reasons",
-        run_ts.alias("run_ts"),
-    )
+        f"{run_ts} AS run_ts")

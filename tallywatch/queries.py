@@ -4,24 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from tallywatch.config import HotKeyPolicy, RuleLimits, ScoringPolicy
-from tallywatch.functions.columns import cents, int_div, missing, whole_minutes
+from tallywatch.functions.columns import cents, missing, whole_minutes
 from tallywatch.operators import checks, quarantine, report, rules
 from tallywatch.plans import curated, evaluate, scoring
 from tallywatch.plans.history import split_for
 from tallywatch.plans.hot import Split
+from tallywatch.schemas import FIELDS
 from tallywatch.session import prepare
 from tallywatch.sources import events, synth
+from tallywatch.sources.events import NOW
 
 Query = Callable[[SparkSession, str], DataFrame]
-FIELDS = ("transaction_id", "customer_id", "amount", "currency", "merchant", "country", "transaction_ts", "status")
 LIMITS = RuleLimits()
 # Thresholds used by the variants.
-STRICT = {c.name: 0.6 for c in checks.DEFAULT_CHECKS}
-LOOSE = {c.name: 5.0 for c in checks.DEFAULT_CHECKS}
+STRICT = checks.with_thresholds(checks.DEFAULT_CHECKS, {c.name: 0.6 for c in checks.DEFAULT_CHECKS})
+LOOSE = checks.with_thresholds(checks.DEFAULT_CHECKS, {c.name: 5.0 for c in checks.DEFAULT_CHECKS})
 # Splits nearly every customer of the test tables, to run the hot-customer plan.
 SPLIT_ALL = HotKeyPolicy(min_rows=32, max_blocks=8_192, samples_per_block=8)
 
@@ -31,176 +31,134 @@ def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quarantine.clean(_raw(spark, sf_dir), events.as_of())
+    return quarantine.clean(_raw(spark, sf_dir), NOW)
 
 
 def _split(spark: SparkSession, sf_dir: str, policy: HotKeyPolicy | None = None) -> Split | None:
-    raw = _raw(spark, sf_dir)
-    return split_for(raw.filter(~missing("customer_id")), policy)
+    return split_for(_raw(spark, sf_dir).where(f"NOT {missing('customer_id')}"), policy)
 
 
-def _shown(name: str) -> Column:
+def _shown(*names: str) -> list[str]:
     """Amounts as double and times without zone, the same in every SQL engine."""
-    if name == "amount":
-        return F.col(name).cast("double").alias(name)
-    if name == "transaction_ts":
-        return F.col(name).cast("timestamp_ntz").alias(name)
-    return F.col(name)
+    types = {"amount": "DOUBLE", "transaction_ts": "TIMESTAMP_NTZ"}
+    return [f"CAST({n} AS {types[n]}) AS {n}" if n in types else n for n in names]
 
 
 def _rows(df: DataFrame) -> DataFrame:
-    return df.select("event_id", *[_shown(c) for c in FIELDS])
+    return df.selectExpr("event_id", *_shown(*FIELDS))
 
 
 def _report(raw: DataFrame, which: tuple[checks.Check, ...] = checks.DEFAULT_CHECKS) -> DataFrame:
-    return report.report(raw, events.as_of(), which)
+    return report.report(raw, NOW, which)
 
 
 def _affected(name: str) -> Query:
     check = checks.by_name(name)
-
-    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        rows = quarantine.affected(_raw(spark, sf_dir), check, events.as_of())
-        return rows.select("event_id", "transaction_id", *[_shown(c) for c in check.shows])
-
-    return query
+    return _from_raw(lambda raw: quarantine.affected(raw, check, NOW).selectExpr(
+        "event_id", "transaction_id", *_shown(*check.shows)))
 
 
 def _from_raw(build: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: build(_raw(spark, sf_dir))
 
 
-def _features(*needs: str, policy: HotKeyPolicy | None = None) -> Query:
-    return lambda spark, sf_dir: scoring.features(
-        _clean(spark, sf_dir), set(needs), LIMITS, _split(spark, sf_dir, policy))
-
+def _rule_rows(needs: tuple[str, ...], condition: str, *shown: str, policy: HotKeyPolicy | None = None) -> Query:
+    """Rows of a rule's history that meet a condition."""
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        split = _split(spark, sf_dir, policy) if needs else None
+        return scoring.features(_clean(spark, sf_dir), set(needs), LIMITS, split).where(condition).selectExpr(*shown)
 
-def _rule_rows(needs: tuple[str, ...], condition: Callable[[], Column], policy: HotKeyPolicy | None = None,
-               **shown: Callable[[], Column]) -> Query:
-    frame = _features(*needs, policy=policy)
-    return lambda spark, sf_dir: frame(spark, sf_dir).filter(condition()).select(
-        "event_id", "transaction_id", *[c().alias(name) for name, c in shown.items()])
+    return query
 
 
-def _scores(spark: SparkSession, sf_dir: str, which: tuple = rules.DEFAULT_RULES,
+def _scores(spark: SparkSession, sf_dir: str, which: scoring.Rules = rules.DEFAULT_RULES,
             policy: ScoringPolicy = ScoringPolicy(), hot: HotKeyPolicy | None = None) -> DataFrame:
     return scoring.score(_clean(spark, sf_dir), which, policy, LIMITS, _split(spark, sf_dir, hot))
 
 
 def _score_rows(scores: DataFrame) -> DataFrame:
-    return scores.select("event_id", "transaction_id", "customer_id", _shown("amount"), "fraud_risk_score",
-                         "risk_bucket", "triggered_rules", "reasons")
+    return scores.selectExpr("event_id", "transaction_id", "customer_id", *_shown("amount"), "fraud_risk_score",
+                             "risk_bucket", "triggered_rules", "reasons")
+
+
+def _score_query(**options: object) -> Query:
+    return lambda spark, sf_dir: _score_rows(_scores(spark, sf_dir, **options))
 
 
 def _from_scores(build: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: build(_scores(spark, sf_dir))
 
 
-# -- custom check and rules --------------------------------------------------------
-BIG_AMOUNT = checks.Check("validity.amount_over_limit", checks.WARNING, 1.0, lambda _: F.col("amount") > 400, ("amount",))
+def _from_clean(build: Callable[..., DataFrame], *shown: str) -> Query:
+    return lambda spark, sf_dir: build(_clean(spark, sf_dir), split=_split(spark, sf_dir)).select(*shown)
+
+
+# -- a custom check and custom rules --------------------------------------------------
+BIG_AMOUNT = checks.Check("validity.amount_over_limit", checks.WARNING, 1.0, "amount > 400", ("amount",))
 CUSTOM_POLICY = ScoringPolicy(weights={**ScoringPolicy().weights, "big_amount": 15, "failing_merchant": 5})
 
 
 def _failing_merchants(tx: DataFrame) -> DataFrame:
     """Flags each failed transaction at a merchant where over a fifth fail."""
-    failed = F.col("status") == "failed"
-    rates = tx.groupBy("merchant").agg(F.count_if(failed).alias("f"), F.count(F.lit(1)).alias("n"))
-    bad = rates.filter(F.col("f") * 5 > F.col("n")).select("merchant")
-    return tx.filter(failed).join(bad, "merchant", "left_semi").select(
-        "ingest_seq", F.concat(F.lit("failed at "), F.col("merchant")).alias("reason"))
+    rates = report.aggregate(tx, ["merchant"], "count_if(status = 'failed') AS f", "count(*) AS n")
+    bad = rates.where("f * 5 > n").select("merchant")
+    return tx.where("status = 'failed'").join(bad, "merchant", "left_semi").selectExpr(
+        "ingest_seq", "concat('failed at ', merchant) AS reason")
 
 
 CUSTOM_RULES = (
     *rules.DEFAULT_RULES,
-    rules.Rule("big_amount", lambda _: F.when(F.col("amount") > 400, 1).otherwise(0),
-               lambda _: [F.when(F.col("amount") > 400, F.lit("amount over 400"))]),
+    rules.Rule("big_amount", lambda _: rules.one_if("amount > 400"),
+               lambda _: ["CASE WHEN amount > 400 THEN 'amount over 400' END"]),
     rules.FlagRule("failing_merchant", _failing_merchants),
 )
 
 
-def _geo_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    frame = _features(rules.NEIGHBOURS)(spark, sf_dir)
-    return frame.filter(rules.travelled("prev", rules.gap_before(), LIMITS)).select(
-        int_div(F.col("prev.ingest_seq"), 2).alias("prev_event_id"),
-        F.col("event_id").alias("curr_event_id"),
-        "customer_id",
-        F.col("prev.country").alias("prev_country"),
-        F.col("country").alias("curr_country"),
-        whole_minutes(rules.gap_before()).alias("gap_minutes"),
-    )
-
-
-def _baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _features(rules.BASELINE)(spark, sf_dir).select(
-        "event_id", "n_prior", cents(F.col("sum_prior")).alias("sum_prior_cents"))
-
-
-def _runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    failure = rules.in_run(LIMITS)
-    return _features(rules.NEIGHBOURS, rules.RUNS)(spark, sf_dir).filter(failure | rules.after_run(LIMITS)).select(
-        "event_id", "transaction_id",
-        F.when(failure, "failure").otherwise("success").alias("role"),
-        F.when(failure, F.col("run_size")).otherwise(F.col("follows_run")).alias("cluster_size"),
-    )
-
-
 def _kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curated.kpis(_report(_raw(spark, sf_dir)), _scores(spark, sf_dir))
 
 
 def _gated_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores if the batch passes; the one-row gate is the only thing read here."""
-    issues = _report(_raw(spark, sf_dir), checks.with_thresholds(checks.DEFAULT_CHECKS, LOOSE))
+    passed = report.gate(_report(_raw(spark, sf_dir), LOOSE)).first().all_critical_passed
     scores = _score_rows(_scores(spark, sf_dir))
-    return scores if report.gate(issues).first().all_critical_passed else scores.filter(F.lit(False))
+    return scores if passed else scores.where("false")
 
 
 def _label_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
-    eid = F.col("event_id")
-    travelling, risky = F.col("triggered_rules").contains("geo_impossible_travel"), F.col("risk_bucket") != "Low"
-    moved = eid % 13 == 0
+    moved = "event_id % 13 = 0"
     fraud = evaluate.label_eval(_scores(spark, sf_dir), {
-        "geo_impossible_travel": (travelling, moved), "medium_or_high": (risky, moved)})
-    now = events.as_of()
+        "geo_impossible_travel": ("contains(triggered_rules, 'geo_impossible_travel')", moved),
+        "medium_or_high": ("risk_bucket <> 'Low'", moved),
+    })
 
-    def flag(name: str) -> Column:
-        return checks.row_flag(checks.by_name(name), now)
+    def flag(name: str) -> str:
+        return checks.by_name(name).on_row(NOW)
 
     defects = evaluate.label_eval(_raw(spark, sf_dir), {
-        "non_positive_amount": (flag("validity.negative_or_zero_amount"), eid % 199 == 3),
-        "future_dated": (flag("consistency.future_dated_transaction"), eid % 331 == 7),
-        "missing_customer": (flag("completeness.missing_customer_id"), (eid % 101 == 17) | (eid % 211 == 5)),
+        "non_positive_amount": (flag("validity.negative_or_zero_amount"), "event_id % 199 = 3"),
+        "future_dated": (flag("consistency.future_dated_transaction"), "event_id % 331 = 7"),
+        "missing_customer": (flag("completeness.missing_customer_id"), "event_id % 101 = 17 OR event_id % 211 = 5"),
     })
     return fraud.unionByName(defects)
 
 
-def _numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return events.events(prepare(spark), sf_dir).select((F.col("event_id") + 1).alias("n"))
-
-
 def _synth(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return synth.transactions(_numbers(spark, sf_dir), events.AS_OF).select(*[_shown(c) for c in FIELDS])
-
-
-def _synth_defects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    whole = synth.transactions(_numbers(spark, sf_dir), events.AS_OF)
-    return synth.with_defects(whole, events.AS_OF).select(*[_shown(c) for c in FIELDS])
-
-
-def _n(name: str) -> Callable[[], Column]:
-    return lambda: F.col(name)
+    """As many synthetic transactions as there are events."""
+    numbers = events.events(prepare(spark), sf_dir).selectExpr("event_id + 1 AS n")
+    return synth.transactions(numbers, events.AS_OF)
 
 
-def _velocity(condition: str, policy: HotKeyPolicy | None = None) -> Query:
-    return _rule_rows((rules.VELOCITY,), lambda: F.col(condition) > LIMITS.velocity_over, policy, n=_n(condition))
+def _velocity(count: str, policy: HotKeyPolicy | None = None) -> Query:
+    return _rule_rows((rules.VELOCITY,), f"{count} > {LIMITS.velocity_over}", "event_id", "transaction_id",
+                      f"{count} AS n", policy=policy)
 
 
 def queries() -> dict[str, Query]:
-    now = events.as_of  # columns need a running session, so build them late
-    kept = ("check_name", "severity", "affected_row_count", "total_row_count", "affected_pct", "threshold_pct", "passed")
+    in_run = rules.in_run(LIMITS)
     return {
         "transactions_raw": _from_raw(_rows),
-        "raw_sanity": _from_raw(lambda raw: report.sanity(raw, now())),
+        "raw_sanity": _from_raw(lambda raw: report.sanity(raw, NOW)),
         "dq_missing_customer_id": _affected("completeness.missing_customer_id"),
         "dq_missing_required_fields": _affected("completeness.missing_required_fields"),
         "dq_duplicate_transaction_id": _affected("uniqueness.duplicate_transaction_id"),
@@ -209,60 +167,62 @@ def queries() -> dict[str, Query]:
         "dq_future_dated": _affected("consistency.future_dated_transaction"),
         "dq_currency_country_mismatch": _affected("consistency.currency_country_mismatch"),
         "dq_report": _from_raw(_report),
-        "dq_report_strict": _from_raw(
-            lambda raw: _report(raw, checks.with_thresholds(checks.DEFAULT_CHECKS, STRICT))),
+        "dq_report_strict": _from_raw(lambda raw: _report(raw, STRICT)),
         "dq_custom_check": _from_raw(lambda raw: _report(raw, (*checks.DEFAULT_CHECKS, BIG_AMOUNT))),
-        "dq_report_by_batch": _from_raw(lambda raw: report.report_by_batch(raw, now()).select(report.BATCH, *kept)),
-        "dq_flagged_ids": _from_raw(lambda raw: quarantine.flagged_ids(raw, now())),
+        "dq_report_by_batch": _from_raw(lambda raw: report.report_by_batch(raw, NOW)),
+        "dq_flagged_ids": _from_raw(lambda raw: quarantine.flagged_ids(raw, NOW)),
         "dq_quarantine": _from_raw(
-            lambda raw: quarantine.quarantine(raw, now()).select("event_id", "transaction_id", "failed_checks")),
+            lambda raw: quarantine.quarantine(raw, NOW).select("event_id", "transaction_id", "failed_checks")),
         "dq_gate": _from_raw(lambda raw: report.gate(_report(raw))),
         "dq_alerts": _from_raw(lambda raw: report.alerts(_report(raw))),
-        "dq_summary": _from_raw(lambda raw: report.summary(raw, now())),
+        "dq_summary": _from_raw(lambda raw: report.summary(raw, NOW)),
         "dq_check_results": _from_raw(lambda raw: report.check_results(_report(raw))),
         "transactions_clean": lambda spark, sf_dir: _rows(_clean(spark, sf_dir)),
-        "transactions_clean_by_id": _from_raw(lambda raw: _rows(quarantine.clean_by_id(raw, now()))),
+        "transactions_clean_by_id": _from_raw(lambda raw: _rows(quarantine.clean_by_id(raw, NOW))),
         "rule_velocity": _velocity("n_velocity"),
         "velocity_range_join": _velocity("n_velocity", SPLIT_ALL),
         "rule_velocity_sequential": _velocity("n_velocity_seq"),
-        "amount_baseline": _baseline,
+        "amount_baseline": _rule_rows(
+            (rules.BASELINE,), "true", "event_id", "n_prior", f"{cents('sum_prior')} AS sum_prior_cents"),
         "rule_amount_anomaly": _rule_rows(
-            (rules.BASELINE,), lambda: rules.unusual_amount(LIMITS),
-            n_prior=_n("n_prior"), z=lambda: F.round(rules.z_score(), 3)),
-        "geo_pairs": _geo_pairs,
+            (rules.BASELINE,), rules.unusual_amount(LIMITS),
+            "event_id", "transaction_id", "n_prior", f"round({rules.Z_SCORE}, 3) AS z"),
+        "geo_pairs": _rule_rows(
+            (rules.NEIGHBOURS,), rules.arrived(LIMITS), "prev.ingest_seq div 2 AS prev_event_id",
+            "event_id AS curr_event_id", "customer_id", "prev.country AS prev_country", "country AS curr_country",
+            f"{whole_minutes(rules.GAP_BEFORE)} AS gap_minutes"),
         "rule_geo_impossible": _rule_rows(
-            (rules.NEIGHBOURS,), lambda: rules.travel_flags(LIMITS) > 0,
-            n_flags=lambda: rules.travel_flags(LIMITS).cast("bigint")),
-        "rule_repeated_failures": _runs,
-        "rule_failures_windowed": _rule_rows((rules.WINDOWED,), lambda: rules.in_cluster(LIMITS), n=_n("n_failures")),
+            (rules.NEIGHBOURS,), f"{rules.travel_flags(LIMITS)} > 0",
+            "event_id", "transaction_id", f"{rules.travel_flags(LIMITS)} AS n_flags"),
+        "rule_repeated_failures": _rule_rows(
+            (rules.NEIGHBOURS, rules.RUNS), f"{in_run} OR {rules.after_run(LIMITS)}", "event_id", "transaction_id",
+            f"CASE WHEN {in_run} THEN 'failure' ELSE 'success' END AS role",
+            f"CASE WHEN {in_run} THEN run_size ELSE follows_run END AS cluster_size"),
+        "rule_failures_windowed": _rule_rows(
+            (rules.WINDOWED,), rules.in_cluster(LIMITS), "event_id", "transaction_id", "n_failures AS n"),
         "rule_success_after_failures": _rule_rows(
-            (rules.WINDOWED,), lambda: F.col("n_clusters") > 0, n=_n("n_clusters")),
-        "rule_odd_hour": lambda spark, sf_dir: _clean(spark, sf_dir).filter(rules.at_odd_hour(LIMITS)).select(
-            "event_id", "transaction_id", rules.hour_of(LIMITS).cast("bigint").alias("hour")),
-        "flag_reasons": lambda spark, sf_dir: scoring.flag_reasons(
-            _clean(spark, sf_dir), split=_split(spark, sf_dir)).select("event_id", "rule_name", "reason"),
-        "all_flags": lambda spark, sf_dir: scoring.all_flags(
-            _clean(spark, sf_dir), split=_split(spark, sf_dir)).select("event_id", "transaction_id", "rule_name", "weight"),
-        "fraud_scores": _from_scores(_score_rows),
-        "fraud_scores_split": lambda spark, sf_dir: _score_rows(_scores(spark, sf_dir, hot=SPLIT_ALL)),
-        "fraud_scores_windowed": lambda spark, sf_dir: _score_rows(_scores(spark, sf_dir, rules.WINDOWED_RULES)),
-        "fraud_scores_windowed_split": lambda spark, sf_dir: _score_rows(
-            _scores(spark, sf_dir, rules.WINDOWED_RULES, hot=SPLIT_ALL)),
-        "custom_rule_scores": lambda spark, sf_dir: _score_rows(
-            _scores(spark, sf_dir, CUSTOM_RULES, CUSTOM_POLICY)),
+            (rules.WINDOWED,), "n_clusters > 0", "event_id", "transaction_id", "n_clusters AS n"),
+        "rule_odd_hour": _rule_rows(
+            (), rules.at_odd_hour(LIMITS), "event_id", "transaction_id", f"CAST({rules.hour_of(LIMITS)} AS BIGINT) AS hour"),
+        "flag_reasons": _from_clean(scoring.flag_reasons, "event_id", "rule_name", "reason"),
+        "all_flags": _from_clean(scoring.all_flags, "event_id", "transaction_id", "rule_name", "weight"),
+        "fraud_scores": _score_query(),
+        "fraud_scores_split": _score_query(hot=SPLIT_ALL),
+        "fraud_scores_windowed": _score_query(which=rules.WINDOWED_RULES),
+        "fraud_scores_windowed_split": _score_query(which=rules.WINDOWED_RULES, hot=SPLIT_ALL),
+        "custom_rule_scores": _score_query(which=CUSTOM_RULES, policy=CUSTOM_POLICY),
         "risk_bucket_counts": _from_scores(curated.bucket_counts),
         "bucket_distribution_filled": _from_scores(curated.bucket_distribution_filled),
         "fraud_bucket_distribution": _from_scores(
-            lambda scores: curated.bucket_distribution(scores, report.batch_date())),
-        "dq_health_trend": _from_raw(
-            lambda raw: curated.health_trend(report.report_by_batch(raw, now()), F.col(report.BATCH))),
-        "rule_trigger_counts": lambda spark, sf_dir: scoring.trigger_counts(
-            _clean(spark, sf_dir), split=_split(spark, sf_dir)),
+            lambda scores: curated.bucket_distribution(scores, report.BATCH_DATE)),
+        "dq_health_trend": _from_raw(lambda raw: curated.health_trend(report.report_by_batch(raw, NOW), report.BATCH)),
+        "rule_trigger_counts": _from_clean(scoring.trigger_counts, "rule_name", "n_flags", "n_transactions"),
         "top_flagged": _from_scores(lambda scores: _score_rows(curated.top_flagged(scores))),
         "top_flagged_10": _from_scores(lambda scores: _score_rows(curated.top_flagged(scores, 10, 0))),
         "dashboard_kpis": _kpis,
         "gated_scores": _gated_scores,
         "label_eval": _label_eval,
-        "synth_transactions": _synth,
-        "synth_defects": _synth_defects,
+        "synth_transactions": lambda spark, sf_dir: _synth(spark, sf_dir).selectExpr(*_shown(*FIELDS)),
+        "synth_defects": lambda spark, sf_dir: synth.with_defects(_synth(spark, sf_dir), events.AS_OF).selectExpr(
+            *_shown(*FIELDS)),
     }

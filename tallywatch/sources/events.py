@@ -8,21 +8,39 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from tallywatch.config import HOME_CURRENCY, MERCHANTS
-from tallywatch.functions.columns import int_div, lookup, padded, pick
-from tallywatch.schemas import AMOUNT
+from tallywatch.functions.columns import DAY_US, HOUR_US, lookup, padded, pick, timestamp
 
 AS_OF = dt.datetime(2024, 2, 1, 12, 0, 0, tzinfo=dt.timezone.utc)
+NOW = timestamp(AS_OF)
 COUNTRIES = (*HOME_CURRENCY, "BR")
-DAY_US = 86_400_000_000
-HOUR_US = 3_600_000_000
 
-
-def as_of() -> Column:
-    return F.timestamp_micros(F.lit(int(AS_OF.timestamp()) * 1_000_000))
+_US = "unix_micros(CAST(ts AS TIMESTAMP))"
+_DAY, _IN_DAY = f"({_US} div {DAY_US})", f"({_US} % {DAY_US})"
+_TIME = (
+    f"{_DAY} * {DAY_US} + (user_id * 7 + {_DAY} * 5) % 24 * {HOUR_US} + {_IN_DAY} div 240000000 * 1000000"
+    f" + CASE WHEN event_id % 331 = 7 THEN {60 * DAY_US} ELSE 0 END"
+)
+_COUNTRY = pick(COUNTRIES, f"(user_id + CASE WHEN event_id % 13 = 0 THEN 1 ELSE 0 END) % {len(COUNTRIES)}")
+_AMOUNT = "CAST(value AS DECIMAL(38,9))"
+_TRANSACTION = (
+    "event_id",
+    f"CASE WHEN event_id % 503 <> 1 THEN {padded('TXN', 'event_id', 9)} END AS transaction_id",
+    f"CASE WHEN event_id % 101 = 17 THEN NULL WHEN event_id % 211 = 5 THEN '' ELSE {padded('CUST', 'user_id', 6)} END"
+    " AS customer_id",
+    f"CAST(CASE WHEN event_id % 499 = 21 THEN NULL WHEN event_id % 199 = 3 THEN -{_AMOUNT} ELSE {_AMOUNT} END"
+    " AS DECIMAL(38,9)) AS amount",
+    "CASE WHEN event_id % 401 = 8 THEN NULL WHEN event_id % 409 = 6 THEN '' WHEN event_id % 167 = 9 THEN 'XYZ'"
+    " WHEN event_id % 173 = 4 THEN 'eur' WHEN event_id % 97 = 11 THEN 'EUR'"
+    f" ELSE coalesce({lookup(HOME_CURRENCY, _COUNTRY)}, 'USD') END AS currency",
+    f"{pick(MERCHANTS, f'event_id % {len(MERCHANTS)}')} AS merchant",
+    f"{_COUNTRY} AS country",
+    f"timestamp_micros({_TIME}) AS transaction_ts",
+    "CASE WHEN event_id % 307 = 2 THEN '' WHEN event_type = 'error' THEN 'failed' ELSE 'success' END AS status",
+    "event_id * 2 + copy AS ingest_seq",
+)
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,51 +49,5 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def transactions_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as raw transactions, with ``event_id`` and a unique ``ingest_seq``."""
-    eid, uid = F.col("event_id"), F.col("user_id")
-
-    def when_rest(modulus: int, rest: int) -> Column:
-        return eid % modulus == rest
-
-    us = F.unix_micros(F.col("ts").cast("timestamp"))
-    day, in_day = int_div(us, DAY_US), us % DAY_US
-    ts_us = (
-        day * DAY_US
-        + (uid * 7 + day * 5) % 24 * HOUR_US
-        + int_div(in_day, 240_000_000) * 1_000_000
-        + F.when(when_rest(331, 7), 60 * DAY_US).otherwise(0)
-    )
-    moved = F.when(when_rest(13, 0), 1).otherwise(0)
-    country = pick(COUNTRIES, (uid + moved) % len(COUNTRIES))
-    amount = F.col("value").cast(AMOUNT)
-
-    one_row = events(spark, sf_dir).select(
-        "event_id",
-        F.when(~when_rest(503, 1), padded("TXN", eid, 9)).alias("transaction_id"),
-        F.when(when_rest(101, 17), None)
-        .when(when_rest(211, 5), "")
-        .otherwise(padded("CUST", uid, 6))
-        .alias("customer_id"),
-        F.when(when_rest(499, 21), None)
-        .when(when_rest(199, 3), -amount)
-        .otherwise(amount)
-        .cast(AMOUNT)
-        .alias("amount"),
-        F.when(when_rest(401, 8), None)
-        .when(when_rest(409, 6), "")
-        .when(when_rest(167, 9), "XYZ")
-        .when(when_rest(173, 4), "eur")
-        .when(when_rest(97, 11), "EUR")
-        .otherwise(F.coalesce(lookup(HOME_CURRENCY, country), F.lit("USD")))
-        .alias("currency"),
-        pick(MERCHANTS, eid % len(MERCHANTS)).alias("merchant"),
-        country.alias("country"),
-        F.timestamp_micros(ts_us.cast("bigint")).alias("transaction_ts"),
-        F.when(when_rest(307, 2), "")
-        .when(F.col("event_type") == "error", "failed")
-        .otherwise("success")
-        .alias("status"),
-        F.explode(
-            F.when(when_rest(331, 13), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-        ).alias("copy"),
-    )
-    return one_row.withColumn("ingest_seq", F.col("event_id") * 2 + F.col("copy")).drop("copy")
+    copies = "explode(CASE WHEN event_id % 331 = 13 THEN array(0, 1) ELSE array(0) END) AS copy"
+    return events(spark, sf_dir).selectExpr("*", copies).selectExpr(*_TRANSACTION)

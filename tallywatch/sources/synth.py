@@ -8,12 +8,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallywatch.config import HOME_CURRENCY, MERCHANTS
-from tallywatch.functions.columns import lookup, padded, pick
-from tallywatch.schemas import AMOUNT
+from tallywatch.functions.columns import HOUR_US, MINUTE_US, lookup, padded, pick, timestamp
 
 PRIME = 2_147_483_647
 DAYS = 30
@@ -21,50 +20,47 @@ CUSTOMERS = 400
 COPIES = 15
 
 
-def draw(n: Column, stream: int, seed: int) -> Column:
+def draw(n: str, stream: int, seed: int) -> str:
     """A whole number in [0, PRIME) for each row number and stream."""
-    x = (n * 7_919 + (104_729 * stream + seed)) % PRIME
-    x = x * 48_271 % PRIME
-    x = x * (x % 65_521 + 1) % PRIME
-    return x * 69_621 % PRIME
+    x = f"(({n} * 7919 + {104_729 * stream + seed}) % {PRIME} * 48271 % {PRIME})"
+    return f"({x} * ({x} % 65521 + 1) % {PRIME} * 69621 % {PRIME})"
 
 
-def uniform(n: Column, stream: int, seed: int) -> Column:
-    return draw(n, stream, seed) / F.lit(float(PRIME))
+def uniform(n: str, stream: int, seed: int) -> str:
+    return f"({draw(n, stream, seed)} / {PRIME}D)"
 
 
 def transactions(numbers: DataFrame, as_of: dt.datetime, seed: int = 42, customers: int = CUSTOMERS) -> DataFrame:
     """One transaction per row number ``n`` (from 1), over the days before ``as_of``."""
-    n = F.col("n")
-    now_us = int(as_of.timestamp()) * 1_000_000
-    country = pick(HOME_CURRENCY, draw(n, 3, seed) % len(HOME_CURRENCY))
-    minutes = draw(n, 5, seed) % (DAYS * 24 * 60)
-    return numbers.select(
-        n.alias("ingest_seq"),
-        padded("TXN", n, 6).alias("transaction_id"),
-        padded("CUST", draw(n, 1, seed) % customers + 1, 4).alias("customer_id"),
-        F.round(F.exp(uniform(n, 2, seed) * 4 + 2), 2).cast(AMOUNT).alias("amount"),
-        lookup(HOME_CURRENCY, country).alias("currency"),
-        pick(MERCHANTS, draw(n, 4, seed) % len(MERCHANTS)).alias("merchant"),
-        country.alias("country"),
-        F.timestamp_micros(now_us - minutes * 60_000_000).alias("transaction_ts"),
-        F.when(uniform(n, 6, seed) < 0.05, "failed").otherwise("success").alias("status"),
+    now = f"unix_micros({timestamp(as_of)})"
+    country = pick(HOME_CURRENCY, f"{draw('n', 3, seed)} % {len(HOME_CURRENCY)}")
+    return numbers.selectExpr(
+        "n AS ingest_seq",
+        f"{padded('TXN', 'n', 6)} AS transaction_id",
+        f"{padded('CUST', f'({draw("n", 1, seed)} % {customers} + 1)', 4)} AS customer_id",
+        f"CAST(round(exp({uniform('n', 2, seed)} * 4 + 2), 2) AS DECIMAL(38,9)) AS amount",
+        f"{lookup(HOME_CURRENCY, country)} AS currency",
+        f"{pick(MERCHANTS, f'{draw("n", 4, seed)} % {len(MERCHANTS)}')} AS merchant",
+        f"{country} AS country",
+        f"timestamp_micros({now} - {draw('n', 5, seed)} % {DAYS * 24 * 60} * {MINUTE_US}) AS transaction_ts",
+        f"CASE WHEN {uniform('n', 6, seed)} < 0.05D THEN 'failed' ELSE 'success' END AS status",
     )
 
 
 def with_defects(tx: DataFrame, as_of: dt.datetime, seed: int = 42, copies: int = COPIES) -> DataFrame:
     """Inject defects: 1 % without customer, 0.5 % negative, 0.6 % with a bad currency,
     1 % with EUR, 0.3 % in the future, and ``copies`` rows loaded twice."""
-    n = F.col("ingest_seq")
-    now_us = int(as_of.timestamp()) * 1_000_000
-    hours = draw(n, 16, seed) % 500 + 1
-    bad = tx.withColumns({
-        "customer_id": F.when(uniform(n, 11, seed) >= 0.01, F.col("customer_id")),
-        "amount": F.when(uniform(n, 12, seed) < 0.005, -F.col("amount")).otherwise(F.col("amount")),
-        "currency": F.when(uniform(n, 13, seed) < 0.006, "XYZ").when(uniform(n, 14, seed) < 0.01, "EUR")
-        .otherwise(F.col("currency")),
-        "transaction_ts": F.when(uniform(n, 15, seed) < 0.003, F.timestamp_micros(now_us + hours * 3_600_000_000))
-        .otherwise(F.col("transaction_ts")),
-    })
-    twice = bad.orderBy(draw(n, 17, seed), n).limit(copies)
+    n = "ingest_seq"
+    later = f"timestamp_micros(unix_micros({timestamp(as_of)}) + ({draw(n, 16, seed)} % 500 + 1) * {HOUR_US})"
+    bad = tx.selectExpr(
+        n, "transaction_id",
+        f"CASE WHEN {uniform(n, 11, seed)} >= 0.01D THEN customer_id END AS customer_id",
+        f"CASE WHEN {uniform(n, 12, seed)} < 0.005D THEN -amount ELSE amount END AS amount",
+        f"CASE WHEN {uniform(n, 13, seed)} < 0.006D THEN 'XYZ' WHEN {uniform(n, 14, seed)} < 0.01D THEN 'EUR'"
+        " ELSE currency END AS currency",
+        "merchant", "country",
+        f"CASE WHEN {uniform(n, 15, seed)} < 0.003D THEN {later} ELSE transaction_ts END AS transaction_ts",
+        "status",
+    )
+    twice = bad.orderBy(F.expr(draw(n, 17, seed)), n).limit(copies)
     return bad.unionByName(twice)
