@@ -52,20 +52,26 @@ def _marks(limits: RuleLimits, velocity: bool, windowed: bool) -> str:
             f" ELSE array({', '.join(always)}) END)")
 
 
-def split_for(tx: DataFrame, policy: HotKeyPolicy | None = None, limits: RuleLimits = RuleLimits()) -> Split | None:
-    """The split of hot customers for these transactions (one count when there are few)."""
+def split_for(tx: DataFrame, policy: HotKeyPolicy | None = None, limits: RuleLimits = RuleLimits(),
+              at_most: int | None = None) -> Split | None:
+    """The split of hot customers for these transactions; ``at_most`` rows, if known."""
     return find_split(tx, lambda rows: rows.selectExpr("customer_id", "ingest_seq", _marks(limits, True, True)),
-                      policy or HotKeyPolicy())
+                      policy or HotKeyPolicy(), at_most)
 
 
 @dataclass(frozen=True)
 class History:
     """An ordered history under construction. Input rows must be clean."""
 
-    df: DataFrame
+    rows: DataFrame
     limits: RuleLimits
     split: Split | None
     marked: bool  # does it still hold expiry marks?
+    pending: tuple[str, ...] = ()  # columns to compute together
+
+    @property
+    def df(self) -> DataFrame:
+        return self.rows.selectExpr("*", *self.pending) if self.pending else self.rows
 
     # -- windows ---------------------------------------------------------------
     @property
@@ -92,8 +98,13 @@ class History:
         """A value from other blocks of the customer; the default when there are none."""
         return f"coalesce({name}, {default})" if self.split else default
 
-    def _add(self, *columns: str) -> History:
-        return replace(self, df=self.df.selectExpr("*", *columns))
+    def _and(self, *columns: str) -> History:
+        """Add columns next to the pending ones: same window, same pass."""
+        return replace(self, pending=self.pending + columns)
+
+    def _then(self, *columns: str) -> History:
+        """Add columns that read pending ones."""
+        return replace(self, rows=self.df, pending=columns)
 
     def _total(self, name: str, measure: str) -> str:
         """Running total in row order, the current row included."""
@@ -112,9 +123,9 @@ class History:
         """``n_velocity``: transactions in the last minutes, peers included;
         ``n_velocity_seq``: the same without later peers."""
         row = _is(ROW)
-        return self._add(
+        return self._and(
             f"{self._total('gone', _is(OUT_OF_VELOCITY))} AS _gone", f"{self._total('rows', row)} AS _nth",
-        )._add(
+        )._then(
             f"{self._total_with_peers('rows', row)} - _gone AS n_velocity", "_nth - _gone AS n_velocity_seq",
         )
 
@@ -123,27 +134,27 @@ class History:
         ``n_clusters``: how many of the failures in the last minutes reached the
         limit at their own time, on successful rows."""
         out, limit = _is(OUT_OF_FAILURES), self.limits.min_failures
-        h = self._add(
+        h = self._and(
             f"{self._total('out', out)} AS _out", f"{self._total('out_twice', _is(OUT_TWICE))} AS _out_twice",
-        )._add(
+        )._then(
             f"CASE WHEN {FAILURE} = 1 THEN {self._total_with_peers('failures', FAILURE)} - _out END AS n_failures",
             # The same count, seen again at the time the failure leaves the window.
             f"CASE WHEN {out} = 1 THEN {self._total_with_peers('out', out)} - _out_twice END AS _n_left",
-        )._add(
+        )._then(
             f"CAST(coalesce(n_failures >= {limit}, false) AS BIGINT) AS _reached",
             f"CAST(coalesce(_n_left >= {limit}, false) AS BIGINT) AS _left",
         )
         h = h._with_cluster_carry()
-        return h._add(f"{h._total('left', '_left')} AS _all_left")._add(
+        return h._then(f"{h._total('left', '_left')} AS _all_left")._then(
             f"CASE WHEN {IS_ROW} AND status = 'success' THEN {h._total_with_peers('reached', '_reached')} - _all_left END"
             " AS n_clusters")
 
     def rows_only(self) -> History:
-        return replace(self, df=self.df.where(IS_ROW), marked=False) if self.marked else self
+        return replace(self, rows=self.df.where(IS_ROW), marked=False, pending=()) if self.marked else self
 
     def add_neighbours(self) -> History:
         """``prev`` and ``next``: the customer's transaction before and after."""
-        return self._add(
+        return self._and(
             *[f"coalesce({f}({HERE}) OVER ({self._in_order}), {self._carried(c)}) AS {name}" if self.split
               else f"{f}({HERE}) OVER ({self._in_order}) AS {name}"
               for f, c, name in (("lag", "c_prev", "prev"), ("lead", "c_next", "next"))])
@@ -154,16 +165,16 @@ class History:
         w = self._before
         n, total = f"count(amount) OVER {w}", f"coalesce(sum({EXACT}) OVER {w}, {ZERO})"
         if not self.split:
-            return self._add(f"{n} AS n_prior", f"{total} AS sum_prior",
+            return self._and(f"{n} AS n_prior", f"{total} AS sum_prior",
                              f"avg({X}) OVER {w} AS mean_prior", f"stddev_samp({X}) OVER {w} AS sd_prior")
         # Means and squared deviations of this block's rows and those before, put together.
         n0, mean0, m0 = (self._carried(c, zero) for c, zero in (("c_n", "0L"), ("c_mean", "0D"), ("c_m2", "0D")))
         m2 = f"({m0} + _m2 + _gap * _gap * {n0} * _n / n_prior)"
-        return self._add(
+        return self._and(
             f"{n} AS _n", f"{total} AS _sum", f"coalesce(avg({X}) OVER {w}, 0D) AS _mean",
             f"coalesce(var_pop({X}) OVER {w}, 0D) * ({n}) AS _m2",
             f"least(min({X}) OVER {w}, c_least) AS _least", f"greatest(max({X}) OVER {w}, c_most) AS _most",
-        )._add(f"_n + {n0} AS n_prior", f"_mean - {mean0} AS _gap")._add(
+        )._then(f"_n + {n0} AS n_prior", f"_mean - {mean0} AS _gap")._then(
             f"CAST(_sum + {self._carried('c_sum', ZERO)} AS DECIMAL(38,9)) AS sum_prior",
             f"CASE WHEN n_prior > 0 THEN {mean0} + _gap * _n / n_prior END AS mean_prior",
             f"CASE WHEN n_prior > 1 THEN CASE WHEN _least = _most THEN 0D ELSE sqrt({m2} / (n_prior - 1)) END END AS sd_prior",
@@ -178,15 +189,15 @@ class History:
         def apart(other: str, gap: str) -> str:
             return f"NOT coalesce({other}.status = 'failed' AND {gap} <= {step}, false)"
 
-        h = self._add(f"{self._total('failures', FAILURE)} AS _nth_failure")._add(
+        h = self._and(f"{self._total('failures', FAILURE)} AS _nth_failure")._then(
             f"CASE WHEN status = 'failed' AND {apart('prev', 'key - prev.key')} THEN _nth_failure END AS _first",
             f"CASE WHEN status = 'failed' AND {apart('next', 'next.key - key')} THEN _nth_failure END AS _last",
         )._with_run_carry()
         after = f"status = 'success' AND prev.status = 'failed' AND key - prev.key <= {follow}"
-        return h._add(
+        return h._then(
             f"coalesce(max(_first) OVER {h._up_to}, {h._carried('r_first')}) AS _run_first",
             f"coalesce(_last, lead(_last) IGNORE NULLS OVER ({h._in_order}), {h._carried('r_last')}) AS _run_last",
-        )._add(
+        )._then(
             "CASE WHEN status = 'failed' THEN _run_last - _run_first + 1 END AS run_size",
             f"CASE WHEN {after} THEN _nth_failure - _run_first + 1 END AS follows_run",
             f"CASE WHEN {after} THEN key - prev.key END AS follows_us",
@@ -198,7 +209,8 @@ class History:
         return self.df.where("block IS NOT NULL").groupBy("customer_id", "block").agg(*map(F.expr, measures))
 
     def _join_blocks(self, carried: DataFrame) -> History:
-        return replace(self, df=self.df.join(F.broadcast(carried), ["customer_id", "block"], "left"))
+        joined = self.df.join(F.broadcast(carried), ["customer_id", "block"], "left")
+        return replace(self, rows=joined, pending=())
 
     def _with_cluster_carry(self) -> History:
         if not self.split:

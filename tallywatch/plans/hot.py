@@ -58,13 +58,17 @@ class Split:
         )
 
 
-def find_split(rows: DataFrame, to_entries: Callable[[DataFrame], DataFrame], policy: HotKeyPolicy) -> Split | None:
+def find_split(rows: DataFrame, to_entries: Callable[[DataFrame], DataFrame], policy: HotKeyPolicy,
+               at_most: int | None = None) -> Split | None:
     """Split points for the customers that need them, or None.
 
     ``rows`` are the transactions, or any superset of them that is cheaper to count;
     ``to_entries`` gives the entries to be ordered, with customer_id, key, kind and
-    ingest_seq. At most a few times ``max_blocks`` split points reach the driver.
+    ingest_seq; ``at_most`` is a bound on the number of rows, if one is known, which
+    spares small loads the count. At most a few times ``max_blocks`` split points reach the driver.
     """
+    if at_most is not None and at_most <= policy.min_rows:
+        return None
     total = rows.count()
     if total <= policy.min_rows:
         return None

@@ -38,24 +38,27 @@ def features(tx: DataFrame, needs: set[str], limits: RuleLimits = RuleLimits(),
 def flagged(tx: DataFrame, rules: Rules = DEFAULT_RULES, limits: RuleLimits = RuleLimits(),
             split: Split | None = None) -> DataFrame:
     """Each transaction with ``n_i`` flags and sorted distinct reasons ``r_i`` of the
-    i-th rule. Expression rules add no shuffle; each ``FlagRule`` adds one aggregate
+    i-th rule, NULL without flags. Expression rules add no shuffle; each ``FlagRule`` adds one aggregate
     and one join on the unique ingest sequence."""
     written = {i: r for i, r in enumerate(rules) if isinstance(r, Rule)}
     df = features(tx, {n for r in written.values() for n in r.needs}, limits, split)
     flags = [f"CAST({r.flags(limits)} AS BIGINT) AS n_{i}" for i, r in written.items()]
-    reasons = [f"array_sort(array_distinct(array_compact(array({', '.join(r.reasons(limits))})))) AS r_{i}"
-               for i, r in written.items()]
-    df = df.selectExpr(*tx.columns, *flags, *reasons)
+    reasons = [f"CASE WHEN n_{i} > 0 THEN {_distinct(r.reasons(limits))} END AS r_{i}" for i, r in written.items()]
+    rest = [c for c in df.columns if c not in tx.columns]
+    df = df.selectExpr(*tx.columns, *rest, *flags).selectExpr(*tx.columns, *[f"n_{i}" for i in written], *reasons)
     for i, rule in enumerate(rules):
         if isinstance(rule, FlagRule):
             found = aggregate(rule.detect(tx), ["ingest_seq"], f"count(*) AS n_{i}",
                               f"array_sort(collect_set(reason)) AS r_{i}")
-            rest = df.columns
-            df = df.join(found, "ingest_seq", "left").selectExpr(
-                *rest, f"coalesce(n_{i}, 0L) AS n_{i}", f"coalesce(r_{i}, CAST(array() AS ARRAY<STRING>)) AS r_{i}")
+            df = df.join(found, "ingest_seq", "left").selectExpr(*df.columns, f"coalesce(n_{i}, 0L) AS n_{i}", f"r_{i}")
     return df
 
 
+def _distinct(texts: list[str]) -> str:
+    listed = f"array({', '.join(texts)})"
+    return listed if len(texts) == 1 else f"array_sort(array_distinct(array_compact({listed})))"
+
+
 def bucket(score: str, policy: ScoringPolicy = ScoringPolicy()) -> str:
     return f"CASE WHEN {score} >= {policy.high_from} THEN 'High' WHEN {score} >= {policy.medium_from} THEN 'Medium' ELSE 'Low' END"
 
@@ -65,14 +68,16 @@ def score(tx: DataFrame, rules: Rules = DEFAULT_RULES, policy: ScoringPolicy = S
     """Score, bucket, triggered rules and reasons of every transaction. A rule's
     weight counts once per flag; the columns of ``tx`` are kept."""
     total = " + ".join(f"n_{i} * {int(policy.weights[r.name])}L" for i, r in enumerate(rules)) or "0L"
-    names = ", ".join(f"CASE WHEN n_{i} > 0 THEN {quoted(r.name)} END" for i, r in enumerate(rules))
+    by_name = {name: " OR ".join(f"n_{i} > 0" for i, r in enumerate(rules) if r.name == name)
+               for name in sorted({r.name for r in rules})}
+    names = ", ".join(f"CASE WHEN {fired} THEN {quoted(name)} END" for name, fired in by_name.items())
     reasons = ", ".join(f"r_{i}" for i in range(len(rules)))
     return flagged(tx, rules, limits, split).selectExpr(
         *tx.columns,
         f"{total} AS fraud_risk_score",
         f"{bucket(f'({total})', policy)} AS risk_bucket",
-        f"array_join(array_sort(array_distinct(array_compact(array({names})))), ';') AS triggered_rules",
-        f"array_join(flatten(array({reasons})), ' | ') AS reasons",
+        f"concat_ws(';', {names}) AS triggered_rules",
+        f"concat_ws(' | ', {reasons}) AS reasons",
     )
 
 

@@ -35,7 +35,8 @@ def _clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _split(spark: SparkSession, sf_dir: str, policy: HotKeyPolicy | None = None) -> Split | None:
-    return split_for(_raw(spark, sf_dir).where(f"NOT {missing('customer_id')}"), policy)
+    rows = _raw(spark, sf_dir).where(f"NOT {missing('customer_id')}")
+    return split_for(rows, policy, LIMITS, at_most=2 * events.events(spark, sf_dir).count())
 
 
 def _shown(*names: str) -> list[str]:
