@@ -30,10 +30,13 @@ class Check:
     def dimension(self) -> str:
         return self.name.split(".")[0]
 
+    def where(self, now: str) -> str:
+        """The condition as a filter, left plain so that it can reach the scan."""
+        return "is_duplicate" if self.condition is None else f"({self.condition.replace('{now}', now)})"
+
     def on_row(self, now: str) -> str:
-        """True on affected rows, never NULL; repeated ids read ``is_duplicate``."""
-        condition = "is_duplicate" if self.condition is None else self.condition.replace("{now}", now)
-        return f"coalesce({condition}, false)"
+        """True on affected rows and never NULL; repeated ids read ``is_duplicate``."""
+        return f"coalesce({self.where(now)}, false)"
 
 
 DEFAULT_CHECKS: tuple[Check, ...] = (
@@ -62,9 +65,14 @@ def by_name(name: str, checks: tuple[Check, ...] = DEFAULT_CHECKS) -> Check:
     return next(c for c in checks if c.name == name)
 
 
-def fails_any(checks: tuple[Check, ...], severity: str, now: str, row_only: bool = False) -> str:
-    """Does the row fail a check of this severity (``row_only``: by itself)?"""
-    flags = [c.on_row(now) for c in checks if c.severity == severity and (c.condition or not row_only)]
+def where_any(checks: tuple[Check, ...], severity: str, now: str) -> str:
+    """A filter for rows that fail a check of this severity."""
+    return " OR ".join(c.where(now) for c in checks if c.severity == severity) or "false"
+
+
+def fails_any(checks: tuple[Check, ...], severity: str, now: str) -> str:
+    """Does the row by itself fail a check of this severity? Never NULL."""
+    flags = [c.on_row(now) for c in checks if c.severity == severity and c.condition]
     return f"({' OR '.join(flags)})" if flags else "false"
 
 

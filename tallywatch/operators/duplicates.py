@@ -39,6 +39,6 @@ def repeated_ids(tx: DataFrame) -> DataFrame:
     return copies_per_id(tx).where("copies > 1")
 
 
-def mark_duplicates(tx: DataFrame, hot_copies: int = HOT_COPIES) -> DataFrame:
-    """Add ``is_duplicate``, true on every copy of a repeated id."""
-    return mark(tx, repeated_ids(tx), "is_duplicate", hot_copies)
+def mark_duplicates(tx: DataFrame, hot_copies: int = HOT_COPIES, repeated: DataFrame | None = None) -> DataFrame:
+    """Add ``is_duplicate``, true on every copy of a repeated id (``repeated``, if known)."""
+    return mark(tx, repeated_ids(tx) if repeated is None else repeated, "is_duplicate", hot_copies)

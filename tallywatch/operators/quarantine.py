@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 
 from tallywatch.config import HOT_COPIES
 from tallywatch.functions.columns import missing, quoted
-from tallywatch.operators.checks import CRITICAL, DEFAULT_CHECKS, WARNING, Check, fails_any, watches_copies
+from tallywatch.operators.checks import CRITICAL, DEFAULT_CHECKS, WARNING, Check, fails_any, watches_copies, where_any
 from tallywatch.operators.duplicates import copies_per_id, mark, mark_duplicates
 
 
@@ -15,14 +15,14 @@ def trusted(now: str) -> str:
     return f"(NOT {missing('customer_id')} AND amount > 0 AND transaction_ts <= {now})"
 
 
-def clean(raw: DataFrame, now: str, hot_copies: int = HOT_COPIES) -> DataFrame:
+def clean(raw: DataFrame, now: str, hot_copies: int = HOT_COPIES, repeated: DataFrame | None = None) -> DataFrame:
     """Trusted rows whose id is not repeated anywhere in the load."""
-    marked = mark_duplicates(raw, hot_copies)
+    marked = mark_duplicates(raw, hot_copies, repeated)
     return marked.where(f"{trusted(now)} AND NOT is_duplicate").drop("is_duplicate")
 
 
 def _severity_by_id(raw: DataFrame, now: str, checks: tuple[Check, ...]) -> DataFrame:
-    by_row = [f"max({fails_any(checks, s, now, row_only=True)}) AS _{s}" for s in (CRITICAL, WARNING)]
+    by_row = [f"max({fails_any(checks, s, now)}) AS _{s}" for s in (CRITICAL, WARNING)]
     by_id = [f"(_{s} OR {'copies > 1' if watches_copies(checks, s) else 'false'}) AS {s}" for s in (CRITICAL, WARNING)]
     return copies_per_id(raw, *by_row).selectExpr("transaction_id", "copies", *by_id)
 
@@ -41,12 +41,13 @@ def flagged_ids(raw: DataFrame, now: str, checks: tuple[Check, ...] = DEFAULT_CH
         "transaction_id", f"explode(array_compact(array({severities}))) AS severity")
 
 
-def quarantine(raw: DataFrame, now: str, checks: tuple[Check, ...] = DEFAULT_CHECKS) -> DataFrame:
+def quarantine(raw: DataFrame, now: str, checks: tuple[Check, ...] = DEFAULT_CHECKS,
+               repeated: DataFrame | None = None) -> DataFrame:
     """Rows that fail a critical check, with all the checks they fail."""
     names = ", ".join(f"CASE WHEN {c.on_row(now)} THEN {quoted(c.name)} END" for c in sorted(checks, key=lambda c: c.name))
     return (
-        mark_duplicates(raw)
-        .where(fails_any(checks, CRITICAL, now))
+        mark_duplicates(raw, repeated=repeated)
+        .where(where_any(checks, CRITICAL, now))
         .selectExpr(*raw.columns, f"concat_ws(';', {names}) AS failed_checks")
     )
 
@@ -54,5 +55,5 @@ def quarantine(raw: DataFrame, now: str, checks: tuple[Check, ...] = DEFAULT_CHE
 def affected(raw: DataFrame, check: Check, now: str) -> DataFrame:
     """The rows one check is about."""
     if check.condition:
-        return raw.where(check.on_row(now))
+        return raw.where(check.where(now))
     return mark_duplicates(raw).where("is_duplicate").drop("is_duplicate")

@@ -20,14 +20,17 @@ def aggregate(df: DataFrame, keys: list[str], *measures: str) -> DataFrame:
     return df.groupBy(*keys).agg(*map(F.expr, measures))
 
 
-def _counts(raw: DataFrame, checks: tuple[Check, ...], now: str, keys: list[str]) -> DataFrame:
+def _counts(raw: DataFrame, checks: tuple[Check, ...], now: str, keys: list[str],
+            repeated: DataFrame | None = None) -> DataFrame:
     """All counts side by side: one scan for the conditions, one aggregate by id for
     repeated ids, united and added up, so neither side waits on a join."""
     by_row = {i: c for i, c in enumerate(checks) if c.condition}
-    parts = aggregate(raw, keys, "count(*) AS total", *[f"count_if({c.on_row(now)}) AS a{i}" for i, c in by_row.items()])
+    parts = aggregate(raw, keys, "count(*) AS total", *[f"count_if({c.where(now)}) AS a{i}" for i, c in by_row.items()])
     copies = [f"sum(copies) AS a{i}" for i, c in enumerate(checks) if c.condition is None]
     if copies:
-        per_id = aggregate(raw.where(HAS_ID), [*keys, ID], "count(*) AS copies").where("copies > 1")
+        per_id = repeated
+        if repeated is None:
+            per_id = aggregate(raw.where(HAS_ID), [*keys, ID], "count(*) AS copies").where("copies > 1")
         parts = parts.unionByName(aggregate(per_id, keys, *copies), allowMissingColumns=True)
     names = ["total", *(f"a{i}" for i in range(len(checks)))]
     return aggregate(parts, keys, *[f"CAST(coalesce(sum({n}), 0) AS BIGINT) AS {n}" for n in names])
@@ -48,8 +51,10 @@ def results(counts: DataFrame, checks: tuple[Check, ...], keys: list[str]) -> Da
     )
 
 
-def report(raw: DataFrame, now: str, checks: tuple[Check, ...] = DEFAULT_CHECKS) -> DataFrame:
-    return results(_counts(raw, checks, now, []), checks, [])
+def report(raw: DataFrame, now: str, checks: tuple[Check, ...] = DEFAULT_CHECKS,
+           repeated: DataFrame | None = None) -> DataFrame:
+    """The report of a whole load; ``repeated`` are its repeated ids, if known."""
+    return results(_counts(raw, checks, now, [], repeated), checks, [])
 
 
 def report_by_batch(raw: DataFrame, now: str, checks: tuple[Check, ...] = DEFAULT_CHECKS) -> DataFrame:
@@ -95,8 +100,8 @@ def summary(raw: DataFrame, now: str, checks: tuple[Check, ...] = DEFAULT_CHECKS
     per_id = aggregate(
         raw, [ID],
         "count(*) AS copies",
-        f"max({fails_any(checks, CRITICAL, now, row_only=True)}) AS critical",
-        f"max({fails_any(checks, WARNING, now, row_only=True)}) AS warning",
+        f"max({fails_any(checks, CRITICAL, now)}) AS critical",
+        f"max({fails_any(checks, WARNING, now)}) AS warning",
         f"count_if({trusted(now)}) AS trusted",
     )
     repeated = f"({HAS_ID} AND copies > 1)"
