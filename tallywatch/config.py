@@ -63,7 +63,7 @@ class HotKeyPolicy:
     """
 
     min_rows: int = 1_000_000
-    max_blocks: int = 8_192
+    max_blocks: int = 65_536
     samples_per_block: int = 16
 
 

@@ -29,6 +29,7 @@ class Settings:
     policy: ScoringPolicy = ScoringPolicy()
     limits: RuleLimits = RuleLimits()
     hot: HotKeyPolicy = HotKeyPolicy()
+    all_loads: bool = False  # check and score everything loaded so far, not only this load
 
 
 @dataclass(frozen=True)
@@ -42,7 +43,8 @@ class Outcome:
 
 def run_day(tables: Tables, rows: DataFrame, run_date: dt.date, now: dt.datetime,
             settings: Settings = Settings()) -> Outcome:
-    """One daily run over the rows of ``run_date``'s load.
+    """One daily run: ``rows`` become ``run_date``'s load, and that load (or all loads
+    so far) is checked, split into clean and quarantined rows, and scored.
 
     ``now`` is the one point in time of the run: the bound for future-dated rows and
     the run_ts of every result. The load is written first, so that report, quarantine
@@ -52,14 +54,17 @@ def run_day(tables: Tables, rows: DataFrame, run_date: dt.date, now: dt.datetime
     at = timestamp(now)
     limits = settings.limits
     load = typed(rows, run_date, now, limits.wall_clock_hours)
-    raw = tables.write_dated(load, "transactions_raw", LOAD, run_date).drop("transaction_date")
+    raw = tables.write_dated(load, "transactions_raw", LOAD, run_date)
+    if settings.all_loads:
+        raw = tables.read("transactions_raw").where(f"{LOAD} <= DATE'{run_date.isoformat()}'").drop(LOAD)
+    raw = raw.drop("transaction_date")
 
     # Written once: then their real size decides how they are joined.
     repeated = tables.write(repeated_ids(raw), "repeated_ids", RUN, run_date)
     results = report.report(raw, at, settings.checks, repeated).selectExpr("*", f"{at} AS run_ts")
     issues = tables.write(results, "dq_issues", RUN, run_date)
     trusted = quarantine.clean(raw, at, repeated=repeated).drop("load_ts")
-    clean = tables.write_clustered(trusted, "transactions_clean", LOAD, run_date).drop("transaction_date")
+    clean = tables.write_clustered(trusted, "transactions_clean", RUN, run_date).drop("transaction_date")
     tables.write(quarantine.quarantine(raw, at, settings.checks, repeated), "transactions_quarantined", RUN, run_date)
 
     gate = report.gate(issues).first()

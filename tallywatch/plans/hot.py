@@ -65,11 +65,9 @@ def find_split(rows: DataFrame, to_entries: Callable[[DataFrame], DataFrame], po
     ``rows`` are the transactions, or any superset of them that is cheaper to count;
     ``to_entries`` gives the entries to be ordered, with customer_id, key, kind and
     ingest_seq; ``at_most`` is a bound on the number of rows, if one is known, which
-    spares small loads the count. At most a few times ``max_blocks`` split points reach the driver.
+    spares the count. At most a few times ``max_blocks`` split points reach the driver.
     """
-    if at_most is not None and at_most <= policy.min_rows:
-        return None
-    total = rows.count()
+    total = rows.count() if at_most is None else at_most
     if total <= policy.min_rows:
         return None
     limit = max(policy.min_rows, -(-total // policy.max_blocks))

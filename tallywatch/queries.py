@@ -23,7 +23,7 @@ LIMITS = RuleLimits()
 STRICT = checks.with_thresholds(checks.DEFAULT_CHECKS, {c.name: 0.6 for c in checks.DEFAULT_CHECKS})
 LOOSE = checks.with_thresholds(checks.DEFAULT_CHECKS, {c.name: 5.0 for c in checks.DEFAULT_CHECKS})
 # Splits nearly every customer of the test tables, to run the hot-customer plan.
-SPLIT_ALL = HotKeyPolicy(min_rows=32, max_blocks=8_192, samples_per_block=8)
+SPLIT_ALL = HotKeyPolicy(min_rows=32, samples_per_block=8)
 
 
 def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:

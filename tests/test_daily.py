@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import replace
 
 import pytest
 
@@ -96,6 +97,18 @@ def test_daily_runs(spark, tmp_path):
     assert newest.count() == 7 and newest.where("passed").count() < 7
 
 
+def test_all_loads_are_checked_together(spark, tmp_path):
+    """The same ids in two loads are no repeats within a load, but are across loads."""
+    tables, settings = Tables(spark, str(tmp_path)), replace(LOOSE, all_loads=True)
+    whole = _synthetic(spark, 50)[0].select(*schemas.FIELDS)
+    first = daily.run_day(tables, whole, DAY, NOW, settings)
+    second = daily.run_day(tables, whole, DAY + dt.timedelta(days=1), NOW + dt.timedelta(days=1), settings)
+    name = "uniqueness.duplicate_transaction_id"
+    found = [o.issues.where(f"check_name = '{name}'").first() for o in (first, second)]
+    assert [(r.affected_row_count, r.total_row_count) for r in found] == [(0, 50), (100, 100)]
+    assert first.passed and not second.passed and second.clean.count() == 0
+
+
 def test_failing_first_day_leaves_empty_distribution(spark, tmp_path):
     tables = Tables(spark, str(tmp_path))
     _, bad = _synthetic(spark, 500)
