@@ -6,6 +6,7 @@ import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from tallywatch import schemas
 from tallywatch.config import HotKeyPolicy, RuleLimits, ScoringPolicy
@@ -17,7 +18,7 @@ from tallywatch.operators.rules import DEFAULT_RULES
 from tallywatch.plans import curated, scoring
 from tallywatch.plans.history import split_for
 from tallywatch.session import prepare
-from tallywatch.sources.files import Tables, typed
+from tallywatch.sources.files import DATE, Tables, typed
 
 LOAD, RUN = "load_date", "run_date"
 
@@ -56,15 +57,16 @@ def run_day(tables: Tables, rows: DataFrame, run_date: dt.date, now: dt.datetime
     load = typed(rows, run_date, now, limits.wall_clock_hours)
     raw = tables.write_dated(load, "transactions_raw", LOAD, run_date)
     if settings.all_loads:
-        raw = tables.read("transactions_raw").where(f"{LOAD} <= DATE'{run_date.isoformat()}'").drop(LOAD)
-    raw = raw.drop("transaction_date")
+        schema = T.StructType([*raw.schema.fields, T.StructField(LOAD, T.DateType())])
+        raw = tables.read("transactions_raw", schema=schema).where(f"{LOAD} <= DATE'{run_date.isoformat()}'").drop(LOAD)
+    raw = raw.drop(DATE)
 
     # Written once: then their real size decides how they are joined.
     repeated = tables.write(repeated_ids(raw), "repeated_ids", RUN, run_date)
     results = report.report(raw, at, settings.checks, repeated).selectExpr("*", f"{at} AS run_ts")
     issues = tables.write(results, "dq_issues", RUN, run_date)
     trusted = quarantine.clean(raw, at, repeated=repeated).drop("load_ts")
-    clean = tables.write_clustered(trusted, "transactions_clean", RUN, run_date).drop("transaction_date")
+    clean = tables.write_clustered(trusted, "transactions_clean", RUN, run_date).drop(DATE)
     tables.write(quarantine.quarantine(raw, at, settings.checks, repeated), "transactions_quarantined", RUN, run_date)
 
     gate = report.gate(issues).first()

@@ -18,6 +18,7 @@ from tallywatch.schemas import FIELDS, TRANSACTION_TEXT
 # Ingest sequence: day of the load, input partition, row in the partition.
 PARTITION_BITS, ROW_BITS = 22, 24
 FIRST_DAY = "DATE'2000-01-01'"
+DATE = "transaction_date"
 
 
 def load_path(root: str, run_date: dt.date) -> str:
@@ -61,8 +62,11 @@ class Tables:
     def path(self, name: str, key: str = "", value: dt.date | None = None) -> str:
         return f"{self.root}/{name}" + (f"/{key}={value.isoformat()}" if value else "")
 
-    def read(self, name: str, key: str = "", value: dt.date | None = None) -> DataFrame:
-        return self.spark.read.parquet(self.path(name, key, value))
+    def read(self, name: str, key: str = "", value: dt.date | None = None, schema: T.StructType | None = None) -> DataFrame:
+        """A table, or one run's folder of it. A dated table may hold no files at all,
+        which only the ``schema`` makes readable."""
+        reader = self.spark.read.schema(schema) if schema else self.spark.read
+        return reader.parquet(self.path(name, key, value))
 
     def read_or_empty(self, name: str, schema: T.StructType) -> DataFrame:
         try:
@@ -79,18 +83,22 @@ class Tables:
 
     def write_dated(self, df: DataFrame, name: str, key: str, value: dt.date) -> DataFrame:
         """One run's folder, split by transaction date as it comes."""
-        dated = df.selectExpr("*", "to_date(transaction_ts) AS transaction_date")
-        dated.write.mode("overwrite").partitionBy("transaction_date").parquet(self.path(name, key, value))
-        return self.read(name, key, value)
+        return self._write_dates(_with_date(df), name, key, value)
 
     def write_clustered(self, df: DataFrame, name: str, key: str, value: dt.date) -> DataFrame:
         """The same, clustered by customer in time order. The ranges are sampled and
         end in the unique sequence, so a large date or customer spans several files."""
-        order = ("transaction_date", "customer_id", "transaction_ts", "ingest_seq")
-        dated = df.selectExpr("*", "to_date(transaction_ts) AS transaction_date")
-        clustered = dated.repartitionByRange(*order).sortWithinPartitions(*order)
-        clustered.write.mode("overwrite").partitionBy("transaction_date").parquet(self.path(name, key, value))
-        return self.read(name, key, value)
+        order = (DATE, "customer_id", "transaction_ts", "ingest_seq")
+        clustered = _with_date(df).repartitionByRange(*order).sortWithinPartitions(*order)
+        return self._write_dates(clustered, name, key, value)
+
+    def _write_dates(self, df: DataFrame, name: str, key: str, value: dt.date) -> DataFrame:
+        df.write.mode("overwrite").partitionBy(DATE).parquet(self.path(name, key, value))
+        return self.read(name, key, value, df.schema)
+
+
+def _with_date(df: DataFrame) -> DataFrame:
+    return df.selectExpr("*", f"to_date(transaction_ts) AS {DATE}")
 
 
 def write_csv(df: DataFrame, path: str) -> None:
