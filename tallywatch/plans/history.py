@@ -160,24 +160,25 @@ class History:
               for f, c, name in (("lag", "c_prev", "prev"), ("lead", "c_next", "next"))])
 
     def add_baseline(self) -> History:
-        """``n_prior``, ``sum_prior``, ``mean_prior`` and ``sd_prior`` over strictly
-        earlier rows; ``sd_prior`` is the sample deviation."""
+        """``n_prior``, ``sum_prior``, ``mean_prior``, ``sd_prior`` (sample deviation),
+        ``least_prior`` and ``most_prior`` over strictly earlier rows."""
         w = self._before
         n, total = f"count(amount) OVER {w}", f"coalesce(sum({EXACT}) OVER {w}, {ZERO})"
         if not self.split:
             return self._and(f"{n} AS n_prior", f"{total} AS sum_prior",
-                             f"avg({X}) OVER {w} AS mean_prior", f"stddev_samp({X}) OVER {w} AS sd_prior")
+                             f"avg({X}) OVER {w} AS mean_prior", f"stddev_samp({X}) OVER {w} AS sd_prior",
+                             f"min({X}) OVER {w} AS least_prior", f"max({X}) OVER {w} AS most_prior")
         # Means and squared deviations of this block's rows and those before, put together.
         n0, mean0, m0 = (self._carried(c, zero) for c, zero in (("c_n", "0L"), ("c_mean", "0D"), ("c_m2", "0D")))
         m2 = f"({m0} + _m2 + _gap * _gap * {n0} * _n / n_prior)"
         return self._and(
             f"{n} AS _n", f"{total} AS _sum", f"coalesce(avg({X}) OVER {w}, 0D) AS _mean",
             f"coalesce(var_pop({X}) OVER {w}, 0D) * ({n}) AS _m2",
-            f"least(min({X}) OVER {w}, c_least) AS _least", f"greatest(max({X}) OVER {w}, c_most) AS _most",
+            f"least(min({X}) OVER {w}, c_least) AS least_prior", f"greatest(max({X}) OVER {w}, c_most) AS most_prior",
         )._then(f"_n + {n0} AS n_prior", f"_mean - {mean0} AS _gap")._then(
             f"CAST(_sum + {self._carried('c_sum', ZERO)} AS DECIMAL(38,9)) AS sum_prior",
             f"CASE WHEN n_prior > 0 THEN {mean0} + _gap * _n / n_prior END AS mean_prior",
-            f"CASE WHEN n_prior > 1 THEN CASE WHEN _least = _most THEN 0D ELSE sqrt({m2} / (n_prior - 1)) END END AS sd_prior",
+            f"CASE WHEN n_prior > 1 THEN CASE WHEN least_prior = most_prior THEN 0D ELSE sqrt({m2} / (n_prior - 1)) END END AS sd_prior",
         )
 
     def add_failure_runs(self) -> History:
@@ -206,7 +207,7 @@ class History:
     # -- values from other blocks ----------------------------------------------
     def _per_block(self, *measures: str) -> DataFrame:
         """One row per block of a hot customer: a few times max_blocks rows in all."""
-        return self.df.where("block IS NOT NULL").groupBy("customer_id", "block").agg(*map(F.expr, measures))
+        return self.df.where("block >= 0").groupBy("customer_id", "block").agg(*map(F.expr, measures))
 
     def _join_blocks(self, carried: DataFrame) -> History:
         joined = self.df.join(F.broadcast(carried), ["customer_id", "block"], "left")

@@ -29,9 +29,12 @@ class Split:
     kinds: np.ndarray
     seqs: np.ndarray
 
+    def hot_customers(self, df: DataFrame) -> DataFrame:
+        return df.sparkSession.createDataFrame(self.customers, "customer_id string, _lo bigint, _hi bigint")
+
     def assign(self, entries: DataFrame) -> DataFrame:
-        """Add ``block``, ``_start_key`` and ``_next_key``; all NULL for other customers."""
-        hot = entries.sparkSession.createDataFrame(self.customers, "customer_id string, _lo bigint, _hi bigint")
+        """Add ``block`` (-1 for other customers), ``_start_key`` and ``_next_key``."""
+        hot = self.hot_customers(entries)
         lo, hi, block = F.col("_lo"), F.col("_hi"), F.col("block")
         key, kind, seq = F.col("key"), F.col("kind"), F.col("ingest_seq")
         keys, kinds, seqs = F.lit(self.keys), F.lit(self.kinds), F.lit(self.seqs)
@@ -49,7 +52,7 @@ class Split:
         )
         return (
             entries.join(F.broadcast(hot), "customer_id", "left")
-            .withColumn("block", F.when(lo.isNotNull(), found))
+            .withColumn("block", F.when(lo.isNotNull(), found).otherwise(-1))
             .withColumns({
                 "_start_key": F.when(block > lo, F.get(keys, (block - 1).cast("int"))),
                 "_next_key": F.when(block < hi, F.get(keys, block.cast("int"))),

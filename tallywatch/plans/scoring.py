@@ -12,12 +12,15 @@ from tallywatch.operators.rules import (
 )
 from tallywatch.plans import history
 from tallywatch.plans.hot import Split
+from tallywatch.plans.state import with_state
 
 Rules = tuple[Rule | FlagRule, ...]
 
 
-def features(tx: DataFrame, needs: set[str], limits: RuleLimits = RuleLimits(), split: Split | None = None) -> DataFrame:
-    """Clean transactions with the history columns the named parts provide."""
+def features(tx: DataFrame, needs: set[str], limits: RuleLimits = RuleLimits(), split: Split | None = None,
+             state: DataFrame | None = None) -> DataFrame:
+    """Clean transactions with the history columns the named parts provide; ``state``
+    holds each customer's amounts before these transactions, if there are any."""
     if not needs:
         return tx
     h = history.start(tx, limits, split, velocity=VELOCITY in needs, windowed=WINDOWED in needs)
@@ -32,16 +35,16 @@ def features(tx: DataFrame, needs: set[str], limits: RuleLimits = RuleLimits(),
         h = h.add_baseline()
     if RUNS in needs:
         h = h.add_failure_runs()
-    return h.df
+    return with_state(h.df, state, split) if state is not None and BASELINE in needs else h.df
 
 
 def flagged(tx: DataFrame, rules: Rules = DEFAULT_RULES, limits: RuleLimits = RuleLimits(),
-            split: Split | None = None) -> DataFrame:
+            split: Split | None = None, state: DataFrame | None = None) -> DataFrame:
     """Each transaction with ``n_i`` flags and sorted distinct reasons ``r_i`` of the
     i-th rule, NULL without flags. Expression rules add no shuffle; each ``FlagRule`` adds one aggregate
     and one join on the unique ingest sequence."""
     written = {i: r for i, r in enumerate(rules) if isinstance(r, Rule)}
-    df = features(tx, {n for r in written.values() for n in r.needs}, limits, split)
+    df = features(tx, {n for r in written.values() for n in r.needs}, limits, split, state)
     flags = [f"CAST({r.flags(limits)} AS BIGINT) AS n_{i}" for i, r in written.items()]
     reasons = [f"CASE WHEN n_{i} > 0 THEN {_distinct(r.reasons(limits))} END AS r_{i}" for i, r in written.items()]
     rest = [c for c in df.columns if c not in tx.columns]
@@ -64,7 +67,7 @@ def bucket(score: str, policy: ScoringPolicy = ScoringPolicy()) -> str:
 
 
 def score(tx: DataFrame, rules: Rules = DEFAULT_RULES, policy: ScoringPolicy = ScoringPolicy(),
-          limits: RuleLimits = RuleLimits(), split: Split | None = None) -> DataFrame:
+          limits: RuleLimits = RuleLimits(), split: Split | None = None, state: DataFrame | None = None) -> DataFrame:
     """Score, bucket, triggered rules and reasons of every transaction. A rule's
     weight counts once per flag; the columns of ``tx`` are kept."""
     total = " + ".join(f"n_{i} * {int(policy.weights[r.name])}L" for i, r in enumerate(rules)) or "0L"
@@ -72,7 +75,7 @@ def score(tx: DataFrame, rules: Rules = DEFAULT_RULES, policy: ScoringPolicy = S
                for name in sorted({r.name for r in rules})}
     names = ", ".join(f"CASE WHEN {fired} THEN {quoted(name)} END" for name, fired in by_name.items())
     reasons = ", ".join(f"r_{i}" for i in range(len(rules)))
-    return flagged(tx, rules, limits, split).selectExpr(
+    return flagged(tx, rules, limits, split, state).selectExpr(
         *tx.columns,
         f"{total} AS fraud_risk_score",
         f"{bucket(f'({total})', policy)} AS risk_bucket",

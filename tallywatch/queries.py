@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tallywatch.config import HotKeyPolicy, RuleLimits, ScoringPolicy
 from tallywatch.functions.columns import cents, missing, whole_minutes
 from tallywatch.operators import checks, quarantine, report, rules
-from tallywatch.plans import curated, evaluate, scoring
+from tallywatch.plans import curated, evaluate, incremental, scoring, state
 from tallywatch.plans.history import split_for
 from tallywatch.plans.hot import Split
 from tallywatch.schemas import FIELDS
@@ -126,6 +127,16 @@ def _gated_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores if passed else scores.where("false")
 
 
+SINCE = dt.date(2024, 1, 20)
+
+
+def _incremental(spark: SparkSession, sf_dir: str, hot: HotKeyPolicy | None = None) -> DataFrame:
+    """Scores since a date, from the state before it and a short look back."""
+    clean = _clean(spark, sf_dir).selectExpr("*", "to_date(transaction_ts) AS transaction_date")
+    before = state.amounts(clean.where(f"transaction_date < DATE'{SINCE}'"))
+    return _score_rows(incremental.rescore(clean, SINCE, before, split=_split(spark, sf_dir, hot)))
+
+
 def _label_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
     moved = "event_id % 13 = 0"
     fraud = evaluate.label_eval(_scores(spark, sf_dir), {
@@ -211,6 +222,8 @@ def queries() -> dict[str, Query]:
         "fraud_scores_split": _score_query(hot=SPLIT_ALL),
         "fraud_scores_windowed": _score_query(which=rules.WINDOWED_RULES),
         "fraud_scores_windowed_split": _score_query(which=rules.WINDOWED_RULES, hot=SPLIT_ALL),
+        "fraud_scores_incremental": _incremental,
+        "fraud_scores_incremental_split": lambda spark, sf_dir: _incremental(spark, sf_dir, SPLIT_ALL),
         "custom_rule_scores": _score_query(which=CUSTOM_RULES, policy=CUSTOM_POLICY),
         "risk_bucket_counts": _from_scores(curated.bucket_counts),
         "bucket_distribution_filled": _from_scores(curated.bucket_distribution_filled),
