@@ -15,12 +15,15 @@ from tallywatch.operators import quarantine, report
 from tallywatch.operators.checks import DEFAULT_CHECKS, Check
 from tallywatch.operators.duplicates import repeated_ids
 from tallywatch.operators.rules import DEFAULT_RULES
-from tallywatch.plans import curated, scoring
+from tallywatch.plans import curated, incremental, scoring, state
 from tallywatch.plans.history import split_for
 from tallywatch.session import prepare
 from tallywatch.sources.files import DATE, Tables, typed
 
-LOAD, RUN = "load_date", "run_date"
+LOAD, RUN, AS_OF = "load_date", "run_date", "as_of"
+# What a run covers: its load by itself; its load checked by itself but scored after
+# the transactions of earlier loads; or everything loaded so far, anew.
+LOAD_ONLY, AFTER_EARLIER, ALL_LOADS = "load_only", "after_earlier", "all_loads"
 
 
 @dataclass(frozen=True)
@@ -30,7 +33,7 @@ class Settings:
     policy: ScoringPolicy = ScoringPolicy()
     limits: RuleLimits = RuleLimits()
     hot: HotKeyPolicy = HotKeyPolicy()
-    all_loads: bool = False  # check and score everything loaded so far, not only this load
+    scope: str = LOAD_ONLY
 
 
 @dataclass(frozen=True)
@@ -56,7 +59,7 @@ def run_day(tables: Tables, rows: DataFrame, run_date: dt.date, now: dt.datetime
     limits = settings.limits
     load = typed(rows, run_date, now, limits.wall_clock_hours)
     raw = tables.write_dated(load, "transactions_raw", LOAD, run_date)
-    if settings.all_loads:
+    if settings.scope == ALL_LOADS:
         schema = T.StructType([*raw.schema.fields, T.StructField(LOAD, T.DateType())])
         raw = tables.read("transactions_raw", schema=schema).where(f"{LOAD} <= DATE'{run_date.isoformat()}'").drop(LOAD)
     raw = raw.drop(DATE)
@@ -66,20 +69,45 @@ def run_day(tables: Tables, rows: DataFrame, run_date: dt.date, now: dt.datetime
     results = report.report(raw, at, settings.checks, repeated).selectExpr("*", f"{at} AS run_ts")
     issues = tables.write(results, "dq_issues", RUN, run_date)
     trusted = quarantine.clean(raw, at, repeated=repeated).drop("load_ts")
-    clean = tables.write_clustered(trusted, "transactions_clean", RUN, run_date).drop(DATE)
+    clean = tables.write_clustered(trusted, "transactions_clean", RUN, run_date)
     tables.write(quarantine.quarantine(raw, at, settings.checks, repeated), "transactions_quarantined", RUN, run_date)
 
     gate = report.gate(issues).first()
     scores = None
     if gate.all_critical_passed:
-        split = split_for(clean, settings.hot, limits)
-        scored = scoring.score(clean, settings.rules, settings.policy, limits, split)
+        scored = _score_after_earlier(tables, clean, settings) if settings.scope == AFTER_EARLIER else scoring.score(
+            clean, settings.rules, settings.policy, limits, split_for(clean, settings.hot, limits))
         scores = tables.write(scoring.scores_table(scored, at), "fraud_scores", RUN, run_date)
     tables.write(report.alerts(issues).selectExpr("*", f"{at} AS run_ts"), "dq_alerts", RUN, run_date)
     refresh_curated(tables)
     return Outcome(gate.all_critical_passed, gate.next_step, issues, clean, scores)
 
 
+def _score_after_earlier(tables: Tables, load: DataFrame, settings: Settings) -> DataFrame:
+    """Scores of every row whose flags the load can change, as if all were scored anew.
+
+    The state as of a date holds the amounts of all earlier dates; the states from the
+    first rescored date on are rebuilt, so late rows and repeated runs come out right.
+    """
+    dates = load.selectExpr(f"min({DATE}) AS first", f"max({DATE}) AS last").first()
+    if dates.first is None:
+        return scoring.score(load, settings.rules, settings.policy, settings.limits)
+    schema = T.StructType([*load.schema.fields, T.StructField(RUN, T.DateType())])
+    every = tables.read("transactions_clean", schema=schema).drop(RUN)
+    since = incremental.rescore_from(every, dates.first, settings.limits)
+    before = tables.read_or_none("customer_state", AS_OF, since)
+    if before is None:
+        before = tables.write(state.amounts(every.where(f"{DATE} < DATE'{since}'")), "customer_state", AS_OF, since)
+    split = split_for(every.where(f"{DATE} >= DATE'{since}'"), settings.hot, settings.limits)
+    scored = incremental.rescore(every, since, before, settings.rules, settings.policy, settings.limits, split)
+    day, known = since, before
+    while day <= dates.last:
+        known = state.after(known, every.where(f"{DATE} = DATE'{day}'"))
+        day += incremental.ONE_DAY
+        known = tables.write(known, "customer_state", AS_OF, day)
+    return scored
+
+
 def refresh_curated(tables: Tables) -> None:
     """Rebuild the small tables from whatever results exist."""
     issues = tables.read_or_empty("dq_issues", schemas.DQ_ISSUES)

@@ -68,13 +68,17 @@ class Tables:
         reader = self.spark.read.schema(schema) if schema else self.spark.read
         return reader.parquet(self.path(name, key, value))
 
-    def read_or_empty(self, name: str, schema: T.StructType) -> DataFrame:
+    def read_or_none(self, name: str, key: str = "", value: dt.date | None = None) -> DataFrame | None:
         try:
-            return self.read(name)
+            return self.read(name, key, value)
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], schema)
+            return None
+
+    def read_or_empty(self, name: str, schema: T.StructType) -> DataFrame:
+        found = self.read_or_none(name)
+        return self.spark.createDataFrame([], schema) if found is None else found
 
     def write(self, df: DataFrame, name: str, key: str = "", value: dt.date | None = None) -> DataFrame:
         """Replace a table, or one run's folder of it, and read it back."""

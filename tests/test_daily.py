@@ -99,7 +99,7 @@ def test_daily_runs(spark, tmp_path):
 
 def test_all_loads_are_checked_together(spark, tmp_path):
     """The same ids in two loads are no repeats within a load, but are across loads."""
-    tables, settings = Tables(spark, str(tmp_path)), replace(LOOSE, all_loads=True)
+    tables, settings = Tables(spark, str(tmp_path)), replace(LOOSE, scope=daily.ALL_LOADS)
     whole = _synthetic(spark, 50)[0].select(*schemas.FIELDS)
     first = daily.run_day(tables, whole, DAY, NOW, settings)
     second = daily.run_day(tables, whole, DAY + dt.timedelta(days=1), NOW + dt.timedelta(days=1), settings)
