@@ -6,6 +6,7 @@ import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallywatch import schemas
@@ -69,43 +70,53 @@ def run_day(tables: Tables, rows: DataFrame, run_date: dt.date, now: dt.datetime
     results = report.report(raw, at, settings.checks, repeated).selectExpr("*", f"{at} AS run_ts")
     issues = tables.write(results, "dq_issues", RUN, run_date)
     trusted = quarantine.clean(raw, at, repeated=repeated).drop("load_ts")
+    replaced = _first_date(tables.read_or_none("transactions_clean", RUN, run_date))
     clean = tables.write_clustered(trusted, "transactions_clean", RUN, run_date)
     tables.write(quarantine.quarantine(raw, at, settings.checks, repeated), "transactions_quarantined", RUN, run_date)
 
     gate = report.gate(issues).first()
+    to_score, since, before = clean, None, None
+    first_new = min((d for d in (replaced, _first_date(clean)) if d), default=None)
+    if settings.scope == AFTER_EARLIER and first_new:
+        schema = T.StructType([*clean.schema.fields, T.StructField(RUN, T.DateType())])
+        every = tables.read("transactions_clean", schema=schema).drop(RUN)
+        since, before = _rebuild_states(tables, every, first_new, limits)
+        to_score = incremental.with_context(every, since, limits)
+
     scores = None
     if gate.all_critical_passed:
-        scored = _score_after_earlier(tables, clean, settings) if settings.scope == AFTER_EARLIER else scoring.score(
-            clean, settings.rules, settings.policy, limits, split_for(clean, settings.hot, limits))
+        split = split_for(to_score, settings.hot, limits)
+        scored = scoring.score(to_score, settings.rules, settings.policy, limits, split, before)
+        if since:
+            scored = scored.where(f"{DATE} >= DATE'{since}'")
         scores = tables.write(scoring.scores_table(scored, at), "fraud_scores", RUN, run_date)
     tables.write(report.alerts(issues).selectExpr("*", f"{at} AS run_ts"), "dq_alerts", RUN, run_date)
     refresh_curated(tables)
     return Outcome(gate.all_critical_passed, gate.next_step, issues, clean, scores)
 
 
-def _score_after_earlier(tables: Tables, load: DataFrame, settings: Settings) -> DataFrame:
-    """Scores of every row whose flags the load can change, as if all were scored anew.
+def _first_date(clean: DataFrame | None) -> dt.date | None:
+    return clean.agg(F.min(DATE)).first()[0] if clean is not None and DATE in clean.columns else None
+
+
+def _rebuild_states(tables: Tables, every: DataFrame, first_new: dt.date, limits: RuleLimits) -> tuple[dt.date, DataFrame]:
+    """The first date to rescore and the state before it.
 
-    The state as of a date holds the amounts of all earlier dates; the states from the
-    first rescored date on are rebuilt, so late rows and repeated runs come out right.
+    The state as of a date holds the amounts of all earlier dates. States from that
+    first date on are rebuilt in every run, so late rows and repeated runs come out
+    right, also after a run that was not scored.
     """
-    dates = load.selectExpr(f"min({DATE}) AS first", f"max({DATE}) AS last").first()
-    if dates.first is None:
-        return scoring.score(load, settings.rules, settings.policy, settings.limits)
-    schema = T.StructType([*load.schema.fields, T.StructField(RUN, T.DateType())])
-    every = tables.read("transactions_clean", schema=schema).drop(RUN)
-    since = incremental.rescore_from(every, dates.first, settings.limits)
+    since = incremental.rescore_from(every, first_new, limits)
     before = tables.read_or_none("customer_state", AS_OF, since)
     if before is None:
         before = tables.write(state.amounts(every.where(f"{DATE} < DATE'{since}'")), "customer_state", AS_OF, since)
-    split = split_for(every.where(f"{DATE} >= DATE'{since}'"), settings.hot, settings.limits)
-    scored = incremental.rescore(every, since, before, settings.rules, settings.policy, settings.limits, split)
+    last = every.where(f"{DATE} >= DATE'{since}'").agg(F.max(DATE)).first()[0] or since
     day, known = since, before
-    while day <= dates.last:
+    while day <= last:
         known = state.after(known, every.where(f"{DATE} = DATE'{day}'"))
         day += incremental.ONE_DAY
         known = tables.write(known, "customer_state", AS_OF, day)
-    return scored
+    return since, before
 
 
 def refresh_curated(tables: Tables) -> None:

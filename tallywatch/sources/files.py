@@ -69,10 +69,11 @@ class Tables:
         return reader.parquet(self.path(name, key, value))
 
     def read_or_none(self, name: str, key: str = "", value: dt.date | None = None) -> DataFrame | None:
+        """The table, or None where it does not exist or holds no files."""
         try:
             return self.read(name, key, value)
         except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
+            if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
                 raise
             return None
 

@@ -11,7 +11,7 @@ import pytest
 from helpers import row, table
 from tallywatch import schemas
 from tallywatch.config import HotKeyPolicy
-from tallywatch.operators.checks import DEFAULT_CHECKS, with_thresholds
+from tallywatch.operators.checks import DEFAULT_CHECKS, Check, with_thresholds
 from tallywatch.operators.rules import DEFAULT_RULES, WINDOWED_RULES
 from tallywatch.plans import daily, incremental, scoring, state
 from tallywatch.plans.history import split_for
@@ -106,11 +106,16 @@ def test_daily_runs_after_earlier_loads(spark, tmp_path):
         checks=with_thresholds(DEFAULT_CHECKS, {c.name: 100.0 for c in DEFAULT_CHECKS}), scope=daily.AFTER_EARLIER)
     whole = table(spark, [r for r in rows() if r["customer_id"] != "long_run" and r["transaction_ts"].day < 4])
     now = dt.datetime(2025, 3, 5, tzinfo=dt.timezone.utc)
-    for day in (1, 2, 3, 3):
+    closed = daily.Settings(scope=daily.AFTER_EARLIER, checks=(Check("never.passes", "critical", -1.0, "false"),))
+    # The second load also brings some rows of the first date, and is refused at first.
+    late = "transaction_id LIKE 'mix1%'"
+    for day, used in ((1, settings), (2, closed), (2, settings), (3, settings), (3, settings)):
         date = dt.date(2025, 3, day)
-        load = whole.where(f"to_date(transaction_ts) = DATE'{date}'").select(*schemas.FIELDS)
-        outcome = daily.run_day(tables, load, date, now, settings)
-        assert outcome.passed
+        on_time = f"to_date(transaction_ts) = DATE'{date}' AND NOT (to_date(transaction_ts) = DATE'2025-03-01' AND {late})"
+        also = f" OR ({late} AND to_date(transaction_ts) = DATE'2025-03-01')" if day == 2 else ""
+        load = whole.where(f"({on_time}){also}").select(*schemas.FIELDS)
+        outcome = daily.run_day(tables, load, date, now, used)
+        assert outcome.passed == (used is settings)
     full = {r.transaction_id: tuple(r) for r in scoring.score(whole).select(*RESULT).collect()}
     last = {r.transaction_id: tuple(r) for r in outcome.scores.select(*RESULT).collect()}
     expected = {r["transaction_id"] for r in rows() if r["customer_id"] != "long_run" and r["transaction_ts"].day in (2, 3)}
