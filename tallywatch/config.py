@@ -70,4 +70,3 @@ class HotKeyPolicy:
 # An id with more copies than this is hot. There are at most rows / HOT_COPIES such
 # ids, so their list stays small enough to broadcast.
 HOT_COPIES = 1_000_000
-SPREAD = 1_024

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallywatch.config import HOT_COPIES, SPREAD
+from tallywatch.config import HOT_COPIES
 from tallywatch.functions.columns import missing
 
 ID = "transaction_id"
@@ -21,17 +21,18 @@ def mark(tx: DataFrame, ids: DataFrame, name: str, hot_copies: int = HOT_COPIES)
     """Add the boolean ``name``: does the row's id appear in ``ids`` (id, copies)?
 
     Ids with very many copies are few (at most rows / hot_copies), so their list is
-    broadcast. Their rows, and rows without an id, then join under a spread key that
-    matches nothing, which keeps any one id from filling one task.
+    broadcast. Their rows, and rows without an id, then join under a key of their own
+    instead of the id, which keeps any one id from filling one task.
     """
     hot = ids.where(f"copies > {hot_copies}").selectExpr(ID, "true AS _hot")
-    cold = ids.where(f"copies <= {hot_copies}").selectExpr(ID, "0L AS _spread", "true AS _cold")
-    own_key = f"CASE WHEN {HAS_ID} AND _hot IS NULL THEN 0L ELSE pmod(xxhash64(ingest_seq), {SPREAD}) + 1 END"
+    cold = ids.where(f"copies <= {hot_copies}").selectExpr(f"{ID} AS _key", "true AS _cold")
+    key = f"CASE WHEN {HAS_ID} AND _hot IS NULL THEN {ID} ELSE concat('row ', ingest_seq) END"
     return (
         tx.join(F.broadcast(hot), ID, "left")
-        .selectExpr("*", f"{own_key} AS _spread")
-        .join(cold, [ID, "_spread"], "left")
-        .selectExpr(*tx.columns, f"coalesce(_hot, _cold, false) AS {name}")
+        .selectExpr("*", f"{key} AS _key")
+        .join(cold, "_key", "left")
+        # A row's own key may happen to equal some id: only rows that joined by id count.
+        .selectExpr(*tx.columns, f"coalesce(_hot, {HAS_ID} AND _cold, false) AS {name}")
     )
 
 

@@ -20,6 +20,12 @@ from pyspark.sql import functions as F
 from tallywatch.config import HotKeyPolicy
 
 
+# The block of a customer that is not split: any negative number will do, but it must
+# not be one constant, or Spark drops it from the keys of a join on (customer, block)
+# and moves the rows by customer again.
+ONLY_BLOCK = "(-1L - pmod(xxhash64(customer_id), 4611686018427387904L))"
+
+
 @dataclass(frozen=True)
 class Split:
     """Split points of all hot customers, sorted by customer and position."""
@@ -33,7 +39,7 @@ class Split:
         return df.sparkSession.createDataFrame(self.customers, "customer_id string, _lo bigint, _hi bigint")
 
     def assign(self, entries: DataFrame) -> DataFrame:
-        """Add ``block`` (-1 for other customers), ``_start_key`` and ``_next_key``."""
+        """Add ``block`` (negative for other customers), ``_start_key`` and ``_next_key``."""
         hot = self.hot_customers(entries)
         lo, hi, block = F.col("_lo"), F.col("_hi"), F.col("block")
         key, kind, seq = F.col("key"), F.col("kind"), F.col("ingest_seq")
@@ -52,7 +58,7 @@ class Split:
         )
         return (
             entries.join(F.broadcast(hot), "customer_id", "left")
-            .withColumn("block", F.when(lo.isNotNull(), found).otherwise(-1))
+            .withColumn("block", F.when(lo.isNotNull(), found).otherwise(F.expr(ONLY_BLOCK)))
             .withColumns({
                 "_start_key": F.when(block > lo, F.get(keys, (block - 1).cast("int"))),
                 "_next_key": F.when(block < hi, F.get(keys, block.cast("int"))),

@@ -86,7 +86,9 @@ def score(tx: DataFrame, rules: Rules = DEFAULT_RULES, policy: ScoringPolicy = S
 
 def all_flags(tx: DataFrame, rules: Rules = DEFAULT_RULES, policy: ScoringPolicy = ScoringPolicy(),
               limits: RuleLimits = RuleLimits(), split: Split | None = None) -> DataFrame:
-    """One row per flag, with the rule's name and weight."""
+    """One row per flag, with the rule's name and weight. Many flags of one row are
+    spelled out in portions, so that no single array grows with them."""
+    portion = 10_000
     per_rule = ", ".join(
         f"struct({quoted(r.name)} AS rule_name, {int(policy.weights[r.name])}L AS weight, n_{i} AS _n)"
         for i, r in enumerate(rules))
@@ -94,8 +96,10 @@ def all_flags(tx: DataFrame, rules: Rules = DEFAULT_RULES, policy: ScoringPolicy
         flagged(tx, rules, limits, split)
         .selectExpr(*tx.columns, f"inline(array({per_rule}))")
         .where("_n > 0")
-        .selectExpr(*tx.columns, "rule_name", "weight", "explode(sequence(1L, _n)) AS _nth")
-        .drop("_nth")
+        .selectExpr("*", f"explode(sequence(0L, (_n - 1) div {portion})) AS _portion")
+        .selectExpr(*tx.columns, "rule_name", "weight",
+                    f"explode(array_repeat(0, CAST(least({portion}L, _n - _portion * {portion}) AS INT))) AS _flag")
+        .drop("_flag")
     )
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallywatch.operators.report import aggregate
 from tallywatch.plans.history import EXACT, X, ZERO
-from tallywatch.plans.hot import Split
+from tallywatch.plans.hot import ONLY_BLOCK, Split
 
 STATE = ("n", "mean", "m2", "total", "least", "most")
 
@@ -58,7 +58,7 @@ def with_state(df: DataFrame, state: DataFrame, split: Split | None) -> DataFram
         hot = state.join(F.broadcast(split.hot_customers(df)), "customer_id", "left_semi")
         joined = (
             df.join(F.broadcast(hot.selectExpr("customer_id", *[f"{c} AS h_{c}" for c in STATE])), "customer_id", "left")
-            .join(state.selectExpr("customer_id", "-1L AS block", *named), ["customer_id", "block"], "left")
+            .join(state.selectExpr("customer_id", f"{ONLY_BLOCK} AS block", *named), ["customer_id", "block"], "left")
         )
         s = {c: f"coalesce(h_{c}, s_{c})" for c in STATE}
     n0, mean0, m0 = f"coalesce({s['n']}, 0L)", f"coalesce({s['mean']}, 0D)", f"coalesce({s['m2']}, 0D)"

@@ -6,6 +6,7 @@ import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallywatch.config import HotKeyPolicy, RuleLimits, ScoringPolicy
 from tallywatch.functions.columns import cents, missing, whole_minutes
@@ -104,7 +105,8 @@ def _failing_merchants(tx: DataFrame) -> DataFrame:
     """Flags each failed transaction at a merchant where over a fifth fail."""
     rates = report.aggregate(tx, ["merchant"], "count_if(status = 'failed') AS f", "count(*) AS n")
     bad = rates.where("f * 5 > n").select("merchant")
-    return tx.where("status = 'failed'").join(bad, "merchant", "left_semi").selectExpr(
+    # The adapter knows ten merchants, so the list may be broadcast.
+    return tx.where("status = 'failed'").join(F.broadcast(bad), "merchant", "left_semi").selectExpr(
         "ingest_seq", "concat('failed at ', merchant) AS reason")
 
 

@@ -2,27 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
-_LOCAL_CHECKPOINTS: dict[str, str] = {}
-
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Pin the time zone: hours, dates and epoch conversions are all UTC."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The shared folder of the cluster, or a scratch folder for local runs only."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    app = spark.sparkContext.applicationId
-    if app not in _LOCAL_CHECKPOINTS:
-        _LOCAL_CHECKPOINTS[app] = tempfile.mkdtemp(prefix="tallywatch-")
-    return _LOCAL_CHECKPOINTS[app]

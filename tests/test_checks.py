@@ -132,6 +132,13 @@ def test_clean_keeps_trusted_rows(spark, hot_copies):
     assert sorted(r.transaction_id or "" for r in by_id) == ["", "", "TXN1", "TXN5"]
 
 
+def test_an_id_that_looks_like_a_row_key(spark):
+    """Rows without an id join under 'row <sequence>', which may also be somebody's id."""
+    raw = table(spark, [row(None), row("row 0"), row("row 0"), row("TXN1")])
+    kept = quarantine.clean(raw, AT).collect()
+    assert sorted(r.ingest_seq for r in kept) == [0, 3]
+
+
 def test_quarantine_reasons_cover_every_unscored_row(spark):
     raw = table(spark, MIXED)
     reasons = {(r.transaction_id, r.ingest_seq): r.failed_checks for r in quarantine.quarantine(raw, AT).collect()}

@@ -90,12 +90,20 @@ def test_rescored_dates_reach_back_over_an_unbroken_day(spark):
 def test_state_join_adds_no_exchange_of_the_rows(spark, clean):
     clean = clean.where("customer_id <> 'long_run'")
     before = state.amounts(clean.where(f"transaction_date < DATE'{D}'"))
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        plan = incremental.rescore(clean, D, before)._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+    def physical(split):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        try:
+            return incremental.rescore(clean, D, before, split=split)._jdf.queryExecution().executedPlan().toString()
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+    plan = physical(None)
     assert plan.count("Exchange hashpartitioning(customer_id") == 2
+    # Split: rows move once, by customer and block, and join the state where they are.
+    by_row = physical(split_for(clean, TINY)).split("SortMergeJoin", 1)[1]
+    first = re.search(r"Exchange hashpartitioning\(([^)]*)\)", by_row).group(1)
+    assert re.fullmatch(r"customer_id#\d+, block#\d+L, \d+", first)
     assert re.search(r"PartitionFilters: \[[^]]*transaction_date#\d+ >= 2025-03-02", plan)
 
 

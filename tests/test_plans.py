@@ -44,3 +44,17 @@ def test_top_is_not_a_full_sort(spark):
 def test_unique_ids_are_counted_with_a_partial_aggregate(spark):
     plan = physical(queries()["transactions_clean"](spark, SF))
     assert re.search(r"partial_count\(1\)", plan)
+
+
+def test_rows_are_marked_under_a_spread_key(spark):
+    """Hot ids and missing ids must not meet in one task: rows never move by the id itself."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = physical(queries()["transactions_clean"](spark, SF))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    join = re.search(r"SortMergeJoin \[(\S+)#\d+\], \[(\S+)#\d+\]", plan)
+    assert join.group(1) == "_key"
+    moved = re.findall(r"Exchange hashpartitioning\((\w+)#", plan)
+    assert moved[0] == "_key"
+    assert plan.count("BroadcastHashJoin") == 1

@@ -129,6 +129,18 @@ def test_score_is_the_sum_of_flags(spark):
         r["transaction_id"]: total.get(r["transaction_id"], 0) for r in all_rows()}
 
 
+def test_many_flags_on_one_row(spark):
+    """25,000 failures at one instant: the success after them is flagged for each."""
+    tx = spark.range(25_001).selectExpr(
+        "concat('T', id) AS transaction_id", "'C' AS customer_id", "CAST(5 AS DECIMAL(38,9)) AS amount", "'USD' AS currency",
+        "'Amazon' AS merchant", "'US' AS country",
+        "TIMESTAMP'2025-03-01 10:00:00' + CASE WHEN id = 25000 THEN INTERVAL 1 SECOND ELSE INTERVAL 0 SECOND END AS transaction_ts",
+        "CASE WHEN id = 25000 THEN 'success' ELSE 'failed' END AS status", "id AS ingest_seq")
+    flags = scoring.all_flags(tx, WINDOWED_RULES).where("ingest_seq = 25000").groupBy("rule_name").count().collect()
+    assert {r[0]: r[1] for r in flags} == {"velocity": 1, FAILED: 25_000}
+    assert scoring.score(tx, WINDOWED_RULES).where("ingest_seq = 25000").first().fraud_risk_score == 25 + 30 * 25_000
+
+
 def test_custom_rules(spark):
     extra = rules.Rule("big", lambda _: rules.one_if("amount > 60"), lambda _: ["CASE WHEN amount > 60 THEN 'big' END"])
     twice = rules.FlagRule("twice", lambda tx: tx.selectExpr("ingest_seq", "explode(array('b', 'a')) AS reason"))
