@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallywatch.llm import fingerprints, neardup, topk, toxicity, webtext
+from tallywatch.llm import fingerprints, neardup, packing, topk, toxicity, webtext
 from tallywatch.llm.common import ready, table
 
 
@@ -22,6 +22,10 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(ready(spark), sf_dir, "documents"), k=3, percent=85)
 
 
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(ready(spark), sf_dir, "documents"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(ready(spark), sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -31,7 +35,7 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_fingerprints, op2_top_k, op3_near_duplicates, op6_toxicity, op10_main_text)}
+    return {f.__name__: f for f in (op1_fingerprints, op2_top_k, op3_near_duplicates, op5_best_fit_packing, op6_toxicity, op10_main_text)}
 
 
 def oracle_sql() -> dict[str, str]:
