@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallywatch.llm import fingerprints, neardup, packing, subwords, topk, toxicity, webtext
+from tallywatch.llm import fingerprints, licences, neardup, packing, subwords, topk, toxicity, webtext
 from tallywatch.llm.common import ready, table
 
 
@@ -30,6 +30,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(ready(spark), sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(ready(spark), sf_dir, "documents"))
+
+
 def op8_subwords(spark: SparkSession, sf_dir: str) -> DataFrame:
     return subwords.digests(table(ready(spark), sf_dir, "documents"))
 
@@ -39,11 +43,11 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_fingerprints, op2_top_k, op3_near_duplicates, op5_best_fit_packing, op6_toxicity, op8_subwords, op10_main_text)}
+    return {f.__name__: f for f in (op1_fingerprints, op2_top_k, op3_near_duplicates, op5_best_fit_packing, op6_toxicity, op7_licence_scan, op8_subwords, op10_main_text)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_top_k": TOP_K}
+    return {"op2_top_k": TOP_K, "op7_licence_scan": licences.oracle()}
 
 
 TOP_K = """
