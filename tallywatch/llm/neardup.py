@@ -32,7 +32,7 @@ ROWS, BANDS = 5, 32
 REGISTERS = ROWS * BANDS
 BASE, RATE, Q = 1.001, 20.0, (1 << 16) - 2
 #: Members of a bucket that meet at once, and standard errors of the estimate below the threshold that still count.
-MEET, ERRORS = 512, 4.0
+MEET, ERRORS = 256, 4.0
 
 _draw = np.random.default_rng(7)
 _FACTORS = _draw.integers(0, 1 << 31, (REGISTERS, 2), np.uint32) * np.uint32(2) + np.uint32(1)
@@ -118,9 +118,9 @@ def _likely(pairs: DataFrame, threshold: float) -> DataFrame:
             a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, REGISTERS) for c in ("registers_u", "registers_v"))
             n, m = (batch.column(c).to_numpy().astype(float) for c in ("n_u", "n_v"))
             near = similarity((a > b).sum(axis=1), (a < b).sum(axis=1), n, m) >= least
-            yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(near)) for c in ("u", "v")], ["u", "v"])
+            yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(near)) for c in ("u", "v", "meets")], ["u", "v", "meets"])
 
-    return pairs.mapInArrow(keep, "u long, v long")
+    return pairs.mapInArrow(keep, "u long, v long, meets long")
 
 
 def _confirmed(pairs: DataFrame, bodies: DataFrame, k: int, percent: int) -> DataFrame:
@@ -161,12 +161,20 @@ def components(links: DataFrame) -> DataFrame:
         labels = labels.select("id", "component")
 
 
-def _cross_pairs(members: DataFrame, labels: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
-    """Likely pairs in one bucket whose members are in different components.
+def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs whose ends aren't in one component yet."""
+    sides = [labels.select(F.col("id").alias(x), F.col("component").alias(f"of_{x}")) for x in "uv"]
+    pairs = pairs.join(sides[1], "v", "left").join(sides[0], "u", "left")
+    return pairs.where("coalesce(of_u, u) <> coalesce(of_v, v)").select("u", "v")
+
+
+def _cross_links(members: DataFrame, labels: DataFrame, classes: DataFrame, bodies: DataFrame, k: int, percent: int) -> DataFrame:
+    """Confirmed links between members of one bucket that are in different components.
 
     Members of the largest component of a bucket meet the others only; both are dealt out in blocks, each block of
-    members with each block of others. A pair is found in the first band that both share.
+    members with each block of others, and only links leave a block. A pair is tried in the first band that both share.
     """
+    threshold = percent / 100
     least = least_estimate(threshold)
     members = members.select("key", "band", "id").join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
     largest = (
@@ -176,13 +184,16 @@ def _cross_pairs(members: DataFrame, labels: DataFrame, classes: DataFrame, thre
     )
     blocks = lambda n: F.ceil(F.col(n) / MEET)
     span = lambda n: F.sequence(F.lit(0).cast("long"), blocks(n) - 1)
-    members = members.join(largest, "key").join(classes.select("id", "n", "registers"), "id")
-    home = lambda n: F.pmod(F.xxhash64("id"), blocks(n))
-    columns = ("key", "band", "id", "component", "n", "registers")
-    dealt = members.select(*columns, F.lit(0).alias("other"), home("all").alias("i"), F.explode(span("rest")).alias("j")).union(
-        members.where("component <> main").select(*columns, F.lit(1).alias("other"), F.explode(span("all")).alias("i"), home("rest").alias("j")))
-    groups = dealt.groupBy("key", "band", "i", "j").agg(
-        F.collect_list(F.struct("id", "component", "n", "other", "registers")).alias("rows"))
+    home = lambda n: F.array(F.pmod(F.xxhash64("id"), blocks(n)))
+    other = F.col("component") != F.col("main")
+    one = lambda role, i, j: F.transform(i, lambda x: F.transform(j, lambda y: F.struct(F.lit(role).alias("other"), x.alias("i"), y.alias("j"))))
+    places = F.flatten(F.concat(one(0, home("all"), span("rest")), F.when(other, one(1, span("all"), home("rest"))).otherwise(F.array())))
+    members = saved(members.join(largest, "key").select("key", "band", "id", "component", F.explode(places).alias("at")))
+    groups = (
+        members.join(classes.select("id", "n", "registers").join(bodies, "id"), "id")
+        .groupBy("key", "band", "at.i", "at.j")
+        .agg(F.collect_list(F.struct("id", "component", "n", "at.other", "registers", "text")).alias("rows"))
+    )
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -192,17 +203,28 @@ def _cross_pairs(members: DataFrame, labels: DataFrame, classes: DataFrame, thre
                 held = np.frombuffer(b"".join(rows.field("registers").to_pylist()), np.uint16).reshape(-1, REGISTERS)
                 ids, part, n, other = (np.array(rows.field(c).to_pylist(), np.int64) for c in ("id", "component", "n", "other"))
                 homes, others = np.flatnonzero(other == 0), np.flatnonzero(other == 1)
+                tried = []
                 for o in others:
-                    same = (held[homes] == held[o]).sum(axis=1)
-                    h = homes[(same >= (least - 0.1) * REGISTERS) & (part[homes] != part[o])]
-                    if not len(h):
-                        continue
+                    h = homes[((held[homes] == held[o]).sum(axis=1) >= (least - 0.1) * REGISTERS) & (part[homes] != part[o])]
+                    h = h[np.minimum(n[h], n[o]) * 100 >= np.maximum(n[h], n[o]) * percent]
                     bands = (held[h].reshape(-1, BANDS, ROWS) == held[o].reshape(BANDS, ROWS)).all(axis=2)
                     h = h[bands.argmax(axis=1) == band]
-                    near = similarity((held[h] > held[o]).sum(axis=1), (held[h] < held[o]).sum(axis=1), n[h].astype(float), np.full(len(h), float(n[o])))
-                    h = h[near >= least]
-                    us += np.minimum(ids[h], ids[o]).tolist()
-                    vs += np.maximum(ids[h], ids[o]).tolist()
+                    tried.append(np.stack([h, np.full(len(h), o)]))
+                h, o = np.concatenate([*tried, np.zeros((2, 0), np.int64)], axis=1)
+                if not len(h):
+                    continue
+                near = similarity((held[h] > held[o]).sum(axis=1), (held[h] < held[o]).sum(axis=1), n[h].astype(float), n[o].astype(float)) >= least
+                h, o = h[near], o[near]
+                used = np.unique(np.concatenate([h, o])).tolist()
+                sets = dict(zip(used, sets_of([rows.field("text")[x].as_py() for x in used], k)))
+                for x in np.unique(o).tolist():
+                    own, near = sets[x], h[o == x]
+                    every = np.concatenate([sets[y] for y in near.tolist()])
+                    found = own[np.minimum(np.searchsorted(own, every), len(own) - 1)] == every
+                    both = np.add.reduceat(found, np.concatenate([[0], np.cumsum(n[near])[:-1]]), dtype=np.int64)
+                    near = near[100 * both >= percent * (n[near] + n[x] - both)]
+                    us += np.minimum(ids[near], ids[x]).tolist()
+                    vs += np.maximum(ids[near], ids[x]).tolist()
             yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], ["u", "v"])
 
     return groups.mapInArrow(meet, "u long, v long").distinct()
@@ -223,19 +245,23 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     members = saved(bands.join(buckets, ["key", "band"]))
     meets = members.groupBy("id").agg(F.sum("size").alias("meets"))
     centres = members.join(meets, "id").groupBy("key").agg(F.max(F.struct("meets", (-F.col("id")).alias("u"), "n")).alias("centre"))
-    pairs = (
-        members.join(centres, "key").select((-F.col("centre.u")).alias("u"), F.col("id").alias("v"), F.col("centre.n").alias("n_u"), F.col("n").alias("n_v"))
-        .where("u <> v").where(F.least("n_u", "n_v") * 100 >= F.greatest("n_u", "n_v") * percent).distinct()
+    met = (
+        members.join(centres, "key").select((-F.col("centre.u")).alias("u"), F.col("id").alias("v"), "centre.meets", F.col("centre.n").alias("n_u"), F.col("n").alias("n_v"))
+        .where("u <> v").where(F.least("n_u", "n_v") * 100 >= F.greatest("n_u", "n_v") * percent)
+        .groupBy("u", "v", "n_u", "n_v").agg(F.max("meets").alias("meets"))
     )
     held = [classes.select(F.col("id").alias(x), F.col("registers").alias(f"registers_{x}")) for x in "uv"]
-    pairs = saved(_likely(pairs.join(held[1], "v").join(held[0], "u"), threshold))
+    met = saved(_likely(met.join(held[1], "v").join(held[0], "u"), threshold))
     asked = members.select("id").distinct().join(classes.select("id", "body"), "id")
     bodies = saved(
         _bodies(docs).withColumnRenamed("doc_id", "id").join(asked, ["id", "body"]).groupBy("id").agg(F.min("text").alias("text")))
-    links = saved(_confirmed(pairs, bodies, k, percent))
+    # First each member and its chief centre, then centres of other components, then members of other components.
+    chief = met.groupBy("v").agg(F.max_by("u", F.struct("meets", -F.col("u"))).alias("u")).select("u", "v")
+    links = saved(_confirmed(chief, bodies, k, percent))
+    labels = components(links)
+    links = links.union(saved(_confirmed(_apart(met.select("u", "v"), labels), bodies, k, percent)))
     released(spark)
-    more = _cross_pairs(members, components(links), classes, threshold)
-    links = links.union(_confirmed(saved(more), bodies, k, percent))
+    links = links.union(saved(_cross_links(members, components(links), classes, bodies, k, percent)))
     found = classes.join(components(links), "id", "left").select("a", "b", F.coalesce("component", "id").alias("component"))
     return (
         rows.select("doc_id", "n", F.when(F.expr("n > 0 AND doc_id IS NOT NULL"), F.col("a")).alias("a"), "b").join(found, ["a", "b"], "left")

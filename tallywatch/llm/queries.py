@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallywatch.llm import fingerprints, licences, neardup, packing, personal, subwords, topk, toxicity, webtext
+from tallywatch.llm import fingerprints, licences, neardup, packing, personal, repeats, subwords, topk, toxicity, webtext
 from tallywatch.llm.common import ready, table
 
 
@@ -22,6 +22,10 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(ready(spark), sf_dir, "documents"), k=3, percent=85)
 
 
+def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.removals(table(ready(spark), sf_dir, "documents"))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(ready(spark), sf_dir, "documents"))
 
@@ -47,7 +51,7 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_fingerprints, op2_top_k, op3_near_duplicates, op5_best_fit_packing, op6_toxicity, op7_licence_scan, op8_subwords, op9_personal_data, op10_main_text)}
+    return {f.__name__: f for f in (op1_fingerprints, op2_top_k, op3_near_duplicates, op4_repeats, op5_best_fit_packing, op6_toxicity, op7_licence_scan, op8_subwords, op9_personal_data, op10_main_text)}
 
 
 def oracle_sql() -> dict[str, str]:
