@@ -58,6 +58,17 @@ def texts_of(docs: DataFrame, *columns: str) -> DataFrame:
     return docs.select(*columns, F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 
+def rowed(docs: DataFrame) -> DataFrame:
+    """row (all columns but the text), doc_id, text (null as empty): names that no further column of docs can clash with."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
+    return docs.select(F.struct(*others).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+
+
+def unrowed(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of docs from row and text."""
+    return rows.select(*(F.col("text") if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns))
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of all strings one after the other, and n + 1 offsets into them."""
     if len(column) == 0:

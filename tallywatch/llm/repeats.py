@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallywatch.llm.common import mixed, released, saved, utf8
+from tallywatch.llm.common import mixed, released, rowed, saved, unrowed, utf8
 from tallywatch.llm.shingles import chunked, powers
 
 #: Bytes of a string and of a gram, strings in a segment at most, bytes of a byte that UTF-8 doesn't use.
@@ -400,14 +400,17 @@ def removals(docs: DataFrame) -> DataFrame:
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """docs with the repeated bytes cut out of their texts; characters of which bytes remain alone go too."""
-    found = covered(_keyed(docs)).select("doc", "body", "spans")
+    found = covered(_keyed(docs))
     released(docs.sparkSession)
+    rows = rowed(docs).select("row", "text", F.coalesce("doc_id", F.lit(_NO_ID)).alias("doc"), F.hash("text").alias("body"))
+    rows = rows.join(found, ["doc", "body"], "left").select("row", "text", "spans")
 
-    @F.udf("string")
-    def cut(text: str, spans: list) -> str:
-        return kept_parts(text.encode(), [(s["start"], s["length"]) for s in spans])[0].decode("utf-8", "ignore") if spans else text
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [
+                kept_parts(text.encode(), spans)[0].decode("utf-8", "ignore") if spans else text
+                for text, spans in zip(batch.column("text").to_pylist(), _spans_of(batch))
+            ]
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(texts, pa.string())], ["row", "text"])
 
-    text = F.coalesce("text", F.lit(""))
-    keyed = docs.withColumn("text", text).withColumn("_doc", F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID))).withColumn("_body", F.hash(text))
-    joined = keyed.join(found, (keyed["_doc"] == found["doc"]) & (keyed["_body"] == found["body"]), "left")
-    return joined.select(*(F.when(F.col("spans").isNull(), F.col("text")).otherwise(cut("text", "spans")).alias("text") if c == "text" else keyed[c] for c in docs.columns))
+    return unrowed(rows.mapInArrow(cut, rows.select("row", "text").schema), docs)
