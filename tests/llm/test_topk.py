@@ -1,0 +1,61 @@
+from __future__ import annotations
+
+import math
+import random
+
+import numpy as np
+import pytest
+
+from tallywatch.llm import topk as t
+from tallywatch.llm.common import ready
+from tests.llm.helpers import collected
+
+SCHEMA = "vec_id long, embedding array<float>, label int, shard string, score string"
+
+
+def brute(rows, k=5, every=50):
+    best = {}
+    for i, v in rows:
+        if i is None or v is None or any(x is None or not math.isfinite(x) for x in v):
+            continue
+        v = tuple(float(np.float32(x)) for x in v)
+        best[i] = min(best.get(i, v), v)
+    ints = {i: [math.floor(256 * x) for x in v] for i, v in best.items()}
+    out = []
+    for q in (i for i in ints if i % every == 0):
+        scores = sorted((-max(min(sum(a * b for a, b in zip(ints[q], ints[c])), 2**63 - 1), -(2**63)), c) for c in ints if c != q)
+        out += [(q, n + 1, c, -s) for n, (s, c) in enumerate(scores[:k])]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_equals_brute_force_with_ties_and_odd_rows(spark, monkeypatch, seed):
+    monkeypatch.setattr(t, "SHARD", 200)
+    monkeypatch.setattr(t, "QUERIES", 3)
+    rnd = random.Random(seed)
+    common = [rnd.uniform(-1, 1) for _ in range(8)]
+    rows = [(i, common if rnd.random() < 0.4 else [rnd.uniform(-1, 1) for _ in range(8)]) for i in range(700)]
+    rows += [(None, common), (50, None), (701, [None] * 8), (702, [math.inf] + common[1:]), (703, [math.nan] * 8), (704, [0.5]), (705, []),
+             (100, common), (100, common), (750, [1e30] * 8), (751, [-1e30] * 8)]
+    df = ready(spark).createDataFrame([(i, v, 0, "x", "y") for i, v in rows], SCHEMA)
+    assert sorted(collected(t.top_k(df))) == brute(rows)
+
+
+def test_blocks_are_pruned():
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(40, 16))
+    matrix = np.floor(256 * (centres[rng.integers(0, 40, 4000)] + 0.05 * rng.normal(size=(4000, 16)))).astype(np.int64)
+    index = t.BlockIndex(np.arange(4000), matrix)
+    for q in range(0, 4000, 400):
+        found = index.search(matrix[q], q, index.bounds(matrix[q: q + 1])[0], 5)
+        scores = matrix @ matrix[q]
+        scores[q] = np.iinfo(np.int64).min
+        assert [i for _, i in found] == np.lexsort((np.arange(4000), -scores))[:5].tolist()
+    assert index.scored < 10 * 4000 / 4
+
+
+def test_empty_and_few(spark):
+    empty = ready(spark).createDataFrame([], SCHEMA)
+    assert collected(t.top_k(empty)) == []
+    two = spark.createDataFrame([(0, [1.0], 0, "", ""), (1, [2.0], 0, "", "")], SCHEMA)
+    assert collected(t.top_k(two)) == [(0, 1, 1, 256 * 512)]
