@@ -168,7 +168,7 @@ class Unigram:
 
     def decode(self, ids: list[int]) -> str:
         """Byte pieces join to characters (U+FFFD where they aren't UTF-8); the first space goes."""
-        return b"".join(map(self.surface.__getitem__, ids)).decode("utf-8", "replace").removeprefix(" ")
+        return b"".join(map(self.surface.__getitem__, ids)).decode("utf-8", "replace").replace(MARK, " ").removeprefix(" ")
 
 
 WORDS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")

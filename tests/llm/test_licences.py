@@ -1,0 +1,40 @@
+from __future__ import annotations
+
+import random
+import re
+
+from tallywatch.llm import licences as lic
+from tallywatch.llm.common import ready
+from tests.llm.helpers import collected, empty_docs, odd_docs
+
+
+def brute(text):
+    best, lines = (0.0, None), set()
+    for number, line in enumerate((text or "").lower().split("\n")):
+        words = [w for w in re.split(r"[\W_]+", line) if w]
+        own = set(zip(words, words[1:]))
+        for name, template in lic.TEMPLATES:
+            other = {tuple(b.split()) for b in lic.bigrams(template)}
+            dice = 2 * len(own & other) / (len(own) + len(other))
+            if dice >= lic.THRESHOLD:
+                lines.add(number)
+                if dice > best[0] or dice == best[0] and name < best[1]:
+                    best = (dice, name)
+    return best[1], best[0], len(lines)
+
+
+def test_equals_brute_force(spark):
+    rnd = random.Random(4)
+    more = []
+    for i in range(120):
+        words = rnd.choice(lic.TEMPLATES)[1].split(" ")
+        for _ in range(rnd.randint(0, 3)):
+            words[rnd.randrange(len(words))] = rnd.choice(["X", "the", ""])
+        more.append((100 + i, "\n".join([" ".join(words).upper(), "other line here", rnd.choice(lic.TEMPLATES)[1] if i % 5 == 0 else ""])))
+    docs = odd_docs(ready(spark), more)
+    wanted = sorted(((r.doc_id, *brute(r.text)) for r in docs.collect()), key=repr)
+    assert sorted(collected(lic.scan(docs)), key=repr) == wanted
+
+
+def test_empty(spark):
+    assert collected(lic.scan(empty_docs(ready(spark)))) == []

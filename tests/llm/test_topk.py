@@ -23,7 +23,7 @@ def brute(rows, k=5, every=50):
     ints = {i: [math.floor(256 * x) for x in v] for i, v in best.items()}
     out = []
     for q in (i for i in ints if i % every == 0):
-        scores = sorted((-max(min(sum(a * b for a, b in zip(ints[q], ints[c])), 2**63 - 1), -(2**63)), c) for c in ints if c != q)
+        scores = sorted((-max(min(sum(a * b for a, b in zip(ints[q], ints[c])), 2**63 - 1), 1 - 2**63), c) for c in ints if c != q)
         out += [(q, n + 1, c, -s) for n, (s, c) in enumerate(scores[:k])]
     return sorted(out)
 
@@ -49,7 +49,7 @@ def test_blocks_are_pruned():
     for q in range(0, 4000, 400):
         found = index.search(matrix[q], q, index.bounds(matrix[q: q + 1])[0], 5)
         scores = matrix @ matrix[q]
-        scores[q] = np.iinfo(np.int64).min
+        scores[q] = -np.iinfo(np.int64).max
         assert [i for _, i in found] == np.lexsort((np.arange(4000), -scores))[:5].tolist()
     assert index.scored < 10 * 4000 / 4
 
