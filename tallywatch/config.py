@@ -25,6 +25,16 @@ WEIGHTS = {
     "repeated_failure_cardtesting": 30,
     "odd_hour": 10,
 }
+# Fixed phrases of the reasons, which must match the scored results; braces are values.
+PHRASES = {
+    "velocity": "{n} transactions by {customer} within {minutes} min (threshold: >{over})",
+    "amount": "amount {amount} is {z} std devs above {customer}'s rolling average of {mean} (n={n} prior txns)",
+    "travel": "{customer} transacted in {first} then {second} only {gap} min apart (threshold: <{minutes} min)",
+    "failures": "{n} failed transactions by {customer} within {minutes} min windows (card-testing pattern, threshold: >={least})",
+    "after_run": "success followed a {n}-failure card-testing cluster within {gap} min",
+    "after_cluster": "success followed a card-testing failure cluster by {customer} within {minutes} min",
+    "odd_hour": "transaction at {hour}:00 local (odd-hour window: {first}-{last}am) {dash} weak signal, contributing factor only",
+}
 
 
 @dataclass(frozen=True)

@@ -7,6 +7,7 @@ API needs a call to the JVM for each operator in it.
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Iterable
 
 MINUTE_US = 60_000_000
@@ -57,19 +58,39 @@ def padded(prefix: str, number: str, width: int) -> str:
     return text(quoted(prefix), f"lpad({digits}, greatest(length({digits}), {width}), '0')")
 
 
+def phrase(pattern: str, plain: dict[str, object], values: dict[str, str]) -> str:
+    """The pattern as text: braces of ``plain`` filled in now, those of ``values`` by expressions."""
+    parts = re.split(r"\{(\w+)\}", pattern)
+    pieces = [(p, True) if i % 2 == 0 else (str(plain[p]), True) if p in plain else (values[p], False) for i, p in enumerate(parts)]
+    joined: list[tuple[str, bool]] = []
+    for piece, fixed in pieces:
+        if fixed and joined and joined[-1][1]:
+            piece = joined.pop()[0] + piece
+        joined.append((piece, fixed))
+    return text(*(quoted(p) if fixed else p for p, fixed in joined if p))
+
+
 def cents(amount: str) -> str:
-    """A decimal amount as whole cents, half up."""
-    return f"CAST(CAST({amount} AS DECIMAL(30,2)) * 100 AS BIGINT)"
+    """A decimal amount as whole cents, half up; NULL beyond 64 bits."""
+    return f"try_cast(CAST({amount} AS DECIMAL(38,2)) * 100 AS BIGINT)"
+
+
+def money_text(amount: str) -> str:
+    """An amount with two decimals, half up, as wide as the type allows."""
+    return f"CAST(CAST({amount} AS DECIMAL(38,2)) AS STRING)"
 
 
-def cents_text(whole_cents: str) -> str:
-    """Whole cents as text with two decimals."""
-    return f"CAST(CAST(CAST({whole_cents} AS DECIMAL(36,0)) / 100 AS DECIMAL(38,2)) AS STRING)"
+def tenths_text(value: str) -> str:
+    """A number with one decimal; very large ones as they are."""
+    return f"coalesce(CAST(try_cast({value} AS DECIMAL(18,1)) AS STRING), CAST({value} AS STRING))"
 
 
-def mean_cents(total: str, n: str) -> str:
-    """Mean of ``n`` non-negative amounts summing to ``total``, in cents, half up."""
-    return f"(({cents(total)} * 2 + {n}) div ({n} * 2))"
+def mean_text(total: str, n: str, fallback: str) -> str:
+    """Mean of ``n`` amounts summing to ``total``, with two decimals, half up; the
+    fallback where the total is beyond its type."""
+    twice = f"(CAST(CAST({total} AS DECIMAL(38,2)) * 100 AS DECIMAL(38,0)) * 2 + {n})"
+    whole = f"CAST(({twice} - {twice} % ({n} * 2)) / ({n} * 2) AS DECIMAL(38,0))"
+    return f"coalesce(CAST(CAST({whole} / 100 AS DECIMAL(38,2)) AS STRING), CAST({fallback} AS STRING))"
 
 
 def rounded_minutes(gap_us: str) -> str:

@@ -79,7 +79,7 @@ def run_day(tables: Tables, rows: DataFrame, run_date: dt.date, now: dt.datetime
     first_new = min((d for d in (replaced, _first_date(clean)) if d), default=None)
     if settings.scope == AFTER_EARLIER and first_new:
         schema = T.StructType([*clean.schema.fields, T.StructField(RUN, T.DateType())])
-        every = tables.read("transactions_clean", schema=schema).drop(RUN)
+        every = tables.read("transactions_clean", schema=schema).where(f"{RUN} <= DATE'{run_date.isoformat()}'").drop(RUN)
         since, before = _rebuild_states(tables, every, first_new, limits)
         to_score = incremental.with_context(every, since, limits)
 
@@ -90,6 +90,8 @@ def run_day(tables: Tables, rows: DataFrame, run_date: dt.date, now: dt.datetime
         if since:
             scored = scored.where(f"{DATE} >= DATE'{since}'")
         scores = tables.write(scoring.scores_table(scored, at), "fraud_scores", RUN, run_date)
+    else:  # nothing of an earlier, passed run of this date may stay
+        tables.write(tables.spark.createDataFrame([], schemas.FRAUD_SCORES), "fraud_scores", RUN, run_date)
     tables.write(report.alerts(issues).selectExpr("*", f"{at} AS run_ts"), "dq_alerts", RUN, run_date)
     refresh_curated(tables)
     return Outcome(gate.all_critical_passed, gate.next_step, issues, clean, scores)
@@ -124,4 +126,4 @@ def refresh_curated(tables: Tables) -> None:
     issues = tables.read_or_empty("dq_issues", schemas.DQ_ISSUES)
     scores = tables.read_or_empty("fraud_scores", schemas.FRAUD_SCORES)
     tables.write(curated.health_trend(issues, "to_date(run_ts)").coalesce(1), "dq_health_trend")
-    tables.write(curated.bucket_distribution(scores, "to_date(run_ts)").coalesce(1), "fraud_bucket_distribution")
+    tables.write(curated.bucket_distribution(curated.current(scores), "to_date(run_ts)").coalesce(1), "fraud_bucket_distribution")

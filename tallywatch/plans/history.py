@@ -26,13 +26,18 @@ ROW, OUT_OF_VELOCITY, OUT_OF_FAILURES, OUT_TWICE = 0, 1, 2, 3
 IS_ROW = f"kind = {ROW}"
 HERE = "struct(key, ingest_seq, transaction_id, country, status)"
 FAILURE = f"CAST({IS_ROW} AND coalesce(status = 'failed', false) AS BIGINT)"
-X, EXACT = "CAST(amount AS DOUBLE)", "CAST(amount AS DECIMAL(28,9))"
+X = "CAST(amount AS DOUBLE)"
 ZERO = "CAST(0 AS DECIMAL(38,9))"
 
 BLOCK_BEFORE = "(PARTITION BY customer_id ORDER BY block ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
 BLOCK_AFTER = "(PARTITION BY customer_id ORDER BY block DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
 
 
+def added(a: str, b: str) -> str:
+    """The sum of two totals, NULL beyond their type."""
+    return f"try_cast(try_add({a}, {b}) AS DECIMAL(38,9))"
+
+
 def _is(kind: int) -> str:
     return f"CAST(kind = {kind} AS BIGINT)"
 
@@ -163,7 +168,8 @@ class History:
         """``n_prior``, ``sum_prior``, ``mean_prior``, ``sd_prior`` (sample deviation),
         ``least_prior`` and ``most_prior`` over strictly earlier rows."""
         w = self._before
-        n, total = f"count(amount) OVER {w}", f"coalesce(sum({EXACT}) OVER {w}, {ZERO})"
+        n = f"count(amount) OVER {w}"
+        total = f"CASE WHEN {n} = 0 THEN {ZERO} ELSE try_sum(amount) OVER {w} END"  # NULL beyond the type
         if not self.split:
             return self._and(f"{n} AS n_prior", f"{total} AS sum_prior",
                              f"avg({X}) OVER {w} AS mean_prior", f"stddev_samp({X}) OVER {w} AS sd_prior",
@@ -176,7 +182,7 @@ class History:
             f"coalesce(var_pop({X}) OVER {w}, 0D) * ({n}) AS _m2",
             f"least(min({X}) OVER {w}, c_least) AS least_prior", f"greatest(max({X}) OVER {w}, c_most) AS most_prior",
         )._then(f"_n + {n0} AS n_prior", f"_mean - {mean0} AS _gap")._then(
-            f"CAST(_sum + {self._carried('c_sum', ZERO)} AS DECIMAL(38,9)) AS sum_prior",
+            f"CASE WHEN {n0} = 0 THEN _sum ELSE {added('_sum', 'c_sum')} END AS sum_prior",
             f"CASE WHEN n_prior > 0 THEN {mean0} + _gap * _n / n_prior END AS mean_prior",
             f"CASE WHEN n_prior > 1 THEN CASE WHEN least_prior = most_prior THEN 0D ELSE sqrt({m2} / (n_prior - 1)) END END AS sd_prior",
         )
@@ -240,7 +246,7 @@ class History:
             *_sums(totals, peers),
             f"min({HERE}) {only_rows} AS _head", f"max({HERE}) {only_rows} AS _tail",
             f"count(amount) {only_rows} AS _n", f"coalesce(avg({X}) {only_rows}, 0D) AS _mean",
-            f"coalesce(var_pop({X}) {only_rows}, 0D) AS _var", f"sum({EXACT}) {only_rows} AS _sum",
+            f"coalesce(var_pop({X}) {only_rows}, 0D) AS _var", f"try_sum(amount) {only_rows} AS _sum",
             f"min({X}) {only_rows} AS _least", f"max({X}) {only_rows} AS _most",
         )
         all_blocks, before = "(PARTITION BY customer_id)", BLOCK_BEFORE
@@ -252,7 +258,7 @@ class History:
             f"coalesce(sum(_n) OVER {before}, 0L) AS c_n",
             f"coalesce(try_divide(sum(_n * _off) OVER {before}, sum(_n) OVER {before}), 0D) AS _mean_off",
             f"coalesce(sum(_n * _var + _n * _off * _off) OVER {before}, 0D) AS _squares",
-            f"sum(_sum) OVER {before} AS c_sum", f"min(_least) OVER {before} AS c_least", f"max(_most) OVER {before} AS c_most",
+            f"try_sum(_sum) OVER {before} AS c_sum", f"min(_least) OVER {before} AS c_least", f"max(_most) OVER {before} AS c_most",
         )
         return self._join_blocks(blocks.selectExpr(
             "customer_id", "block", *[f"c_{n}" for n in totals], *[f"t_{n}" for n in peers],

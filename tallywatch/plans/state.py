@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallywatch.operators.report import aggregate
-from tallywatch.plans.history import EXACT, X, ZERO
+from tallywatch.plans.history import X, added
 from tallywatch.plans.hot import ONLY_BLOCK, Split
 
 STATE = ("n", "mean", "m2", "total", "least", "most")
@@ -22,7 +22,7 @@ def amounts(tx: DataFrame) -> DataFrame:
     """The state after these transactions alone; combined map-side."""
     return aggregate(
         tx.where("amount IS NOT NULL"), ["customer_id"],
-        "count(*) AS n", f"avg({X}) AS mean", f"var_pop({X}) * count(*) AS m2", f"sum({EXACT}) AS total",
+        "count(*) AS n", f"avg({X}) AS mean", f"var_pop({X}) * count(*) AS m2", "try_sum(amount) AS total",
         f"min({X}) AS least", f"max({X}) AS most")
 
 
@@ -39,7 +39,7 @@ def after(before: DataFrame, tx: DataFrame) -> DataFrame:
         merged("a_n + b_n", "n"),
         merged("a_mean + (b_mean - a_mean) * b_n / (a_n + b_n)", "mean"),
         merged(_m2("a_n", "a_mean", "a_m2", "b_n", "b_mean", "b_m2"), "m2"),
-        merged("CAST(a_total + b_total AS DECIMAL(38,9))", "total"),
+        merged(added("a_total", "b_total"), "total"),
         merged("least(a_least, b_least)", "least"),
         merged("greatest(a_most, b_most)", "most"),
     )
@@ -66,7 +66,7 @@ def with_state(df: DataFrame, state: DataFrame, split: Split | None) -> DataFram
     m1 = "coalesce(sd_prior * sd_prior * (n_prior - 1), 0D)"
     replaced = {
         "n_prior": f"{n0} + {n1}",
-        "sum_prior": f"CAST(coalesce({s['total']}, {ZERO}) + sum_prior AS DECIMAL(38,9))",
+        "sum_prior": f"CASE WHEN {n0} = 0 THEN sum_prior ELSE {added(s['total'], 'sum_prior')} END",
         "mean_prior": f"CASE WHEN {n0} = 0 THEN mean_prior ELSE {mean0} + ({mean1} - {mean0}) * {n1} / ({n0} + {n1}) END",
         "sd_prior": f"CASE WHEN {n0} = 0 THEN sd_prior WHEN {n0} + {n1} < 2 THEN NULL"
                     f" WHEN least({s['least']}, least_prior) = greatest({s['most']}, most_prior) THEN 0D"

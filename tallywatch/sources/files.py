@@ -15,8 +15,9 @@ from pyspark.sql import DataFrame, SparkSession, types as T
 from tallywatch.functions.columns import timestamp
 from tallywatch.schemas import FIELDS, TRANSACTION_TEXT
 
-# Ingest sequence: day of the load, input partition, row in the partition.
-PARTITION_BITS, ROW_BITS = 22, 24
+# Ingest sequence: day of the load above Spark's own row number, which holds the input
+# partition above 33 bits for the row in it. More partitions than fit are read together.
+NUMBER_BITS, PARTITIONS = 49, 1 << 16
 FIRST_DAY = "DATE'2000-01-01'"
 DATE = "transaction_date"
 
@@ -25,9 +26,32 @@ def load_path(root: str, run_date: dt.date) -> str:
     return f"{root}/transactions/{run_date.isoformat()}"
 
 
-def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Transactions as text; the header must name the eight fields in order."""
-    return spark.read.schema(TRANSACTION_TEXT).option("header", True).option("enforceSchema", False).csv(path)
+CORRUPT = "_corrupt_record"
+
+
+def csv_rows(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """The eight fields as text, taken by header name, and the line of a broken record.
+
+    Columns may stand in any order, further ones are ignored and missing ones are NULL;
+    quotes double inside quoted fields. A line with more or fewer fields than the header
+    is broken. ``multi_line`` allows line feeds in quoted fields, but a file is then read
+    by one task; without it large files are split.
+    """
+    options = {"header": True, "escape": '"', "multiLine": multi_line}
+    names = spark.read.options(**options).csv(path).columns
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, CORRUPT]])
+    rows = spark.read.options(**options, columnNameOfCorruptRecord=CORRUPT, mode="PERMISSIVE").schema(schema).csv(path)
+    return rows.selectExpr(*[f if f in names else f"CAST(NULL AS STRING) AS {f}" for f in FIELDS], CORRUPT)
+
+
+def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """Transactions as text; ``rejected_csv`` has the lines left out."""
+    return csv_rows(spark, path, multi_line).where(f"{CORRUPT} IS NULL").select(*FIELDS)
+
+
+def rejected_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """The broken records as far as they were read, and their whole lines, to be kept and counted."""
+    return csv_rows(spark, path, multi_line).where(f"{CORRUPT} IS NOT NULL").withColumnRenamed(CORRUPT, "line")
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -40,17 +64,14 @@ def typed(rows: DataFrame, run_date: dt.date, load_ts: dt.datetime, wall_clock:
     What does not parse becomes NULL and is counted as missing; times without an
     offset are UTC. ``wall_clock`` also keeps the hour as written.
     """
-    part, row = "shiftright(monotonically_increasing_id(), 33)", "monotonically_increasing_id() & 8589934591"
     day = f"datediff(DATE'{run_date.isoformat()}', {FIRST_DAY})"
-    fits = f"_part < {1 << PARTITION_BITS} AND _row < {1 << ROW_BITS}"
-    seq = f"shiftleft(CAST({day} AS BIGINT), {PARTITION_BITS + ROW_BITS}) + shiftleft(_part, {ROW_BITS}) + _row"
+    seq = f"shiftleft(CAST({day} AS BIGINT), {NUMBER_BITS}) + monotonically_increasing_id()"
     is_text = isinstance(rows.schema["transaction_ts"].dataType, T.StringType)
     hour = ["hour(try_cast(transaction_ts AS TIMESTAMP_NTZ)) AS wall_clock_hour"] if wall_clock and is_text else []
     kinds = {"amount": "DECIMAL(38,9)", "transaction_ts": "TIMESTAMP"}
     columns = [f"try_cast({f} AS {kinds[f]}) AS {f}" if f in kinds else f for f in FIELDS]
-    return rows.selectExpr(*FIELDS, f"{part} AS _part", f"{row} AS _row").selectExpr(
-        *columns, *hour, f"{timestamp(load_ts)} AS load_ts",
-        f"CASE WHEN {fits} THEN {seq} ELSE raise_error('input partition too large to number') END AS ingest_seq")
+    return rows.coalesce(PARTITIONS).selectExpr(
+        *columns, *hour, f"{timestamp(load_ts)} AS load_ts", f"{seq} AS ingest_seq")
 
 
 class Tables:
@@ -87,8 +108,10 @@ class Tables:
         return self.read(name, key, value)
 
     def write_dated(self, df: DataFrame, name: str, key: str, value: dt.date) -> DataFrame:
-        """One run's folder, split by transaction date as it comes."""
-        return self._write_dates(_with_date(df), name, key, value)
+        """One run's folder, split by transaction date: few files for each date, several for a large one."""
+        dated = _with_date(df)
+        order = [c for c in (DATE, "ingest_seq") if c in dated.columns]
+        return self._write_dates(dated.repartitionByRange(*order), name, key, value)
 
     def write_clustered(self, df: DataFrame, name: str, key: str, value: dt.date) -> DataFrame:
         """The same, clustered by customer in time order. The ranges are sampled and
@@ -107,4 +130,4 @@ def _with_date(df: DataFrame) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).option("timestampFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS 'UTC'").csv(path)
+    df.write.mode("overwrite").option("header", True).option("escape", '"').option("timestampFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS 'UTC'").csv(path)
