@@ -3,8 +3,8 @@
 Spaces become the marker U+2581 and one stands before the text. The segmentation with the highest sum of log scores
 is chosen, by dynamic programming over the trie; of equal ones, that whose last piece starts first, at every end. A
 character that no piece covers falls back to the pieces of its UTF-8 bytes. Pieces hold the marker only at their front,
-so words (a marker run and what follows) are segmented alone and kept; a vocabulary with other pieces is applied to
-whole texts.
+so words (a marker run and what follows, cut again behind letters if no piece goes on from letters to other characters) are segmented alone
+and kept; a vocabulary with other pieces is applied to whole texts.
 
 A BPE vocabulary has merge ranks and no probabilities: its pieces get the log scores of a Zipf-Mandelbrot law over
 their ranks, unless scores are given. Null and empty texts give no pieces. A text's own U+2581 decodes to a space.
@@ -28,8 +28,10 @@ from pyspark.sql import functions as F
 from tallywatch.llm.common import texts_of
 
 MARK = "▁"
+#: Latin letters, as a range of characters.
+LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
 #: Words that a worker keeps, the longest of them, and what an uncovered character costs below the lowest score.
-KEPT, KEPT_LENGTH, UNKNOWN = 400_000, 48, 10.0
+KEPT, KEPT_LENGTH, UNKNOWN = 1_000_000, 48, 10.0
 
 
 class DoubleArray:
@@ -106,6 +108,11 @@ class Unigram:
         plain = set(normal)
         self.surface = [of_byte.get(i) or (p.replace(MARK, " ").encode() if i in plain else b"") for i, p in enumerate(pieces)]
         self._words: dict[str, bytes] = {}
+        # Words start at a marker, and are cut behind letters where no piece goes on from a letter to another kind.
+        further = any(re.search(f"[{LETTERS}][^{LETTERS}{MARK}]", pieces[i]) for i in normal)
+        self.cuts = re.compile(
+            f"{MARK}+[^{MARK}]*|[^{MARK}]+" if further else
+            f"{MARK}+[^{LETTERS}{MARK}]*[{LETTERS}]*|[^{LETTERS}{MARK}]+[{LETTERS}]*|[{LETTERS}]+")
 
     def __reduce__(self):
         return Unigram, (self.pieces, self.scores, self.normal, self.byte)
@@ -126,24 +133,35 @@ class Unigram:
         """Ids of the best segmentation of a text with markers."""
         key = marked.encode()
         n = len(key)
-        best, back = [-math.inf] * (n + 1), [(0, -1)] * (n + 1)
+        base, check, value = self.trie._lists
+        steps, cells = self.steps, len(check)
+        best, back, used = [-math.inf] * (n + 1), [0] * (n + 1), [-1] * (n + 1)
         best[0] = 0
         at = 0
         while at < n:
-            size = 1 if key[at] < 0x80 else 2 if key[at] < 0xE0 else 3 if key[at] < 0xF0 else 4
-            single = False
-            for end, number in self.trie.prefixes(key, at):
-                score = best[at] + self.steps[number]
-                if score > best[end]:
-                    best[end], back[end] = score, (at, number)
-                single = single or end == at + size
-            if not single and best[at] + self.lowest > best[at + size]:
-                best[at + size], back[at + size] = best[at] + self.lowest, (at, -1)
-            at += size
+            byte, here = key[at], best[at]
+            after = at + (1 if byte < 0x80 else 2 if byte < 0xE0 else 3 if byte < 0xF0 else 4)
+            single, state, end = False, 0, at
+            while end < n:
+                child = base[state] + key[end] + 1
+                if child >= cells or check[child] != state:
+                    break
+                state = child
+                end += 1
+                number = value[state]
+                if number >= 0:
+                    score = here + steps[number]
+                    if score > best[end]:
+                        best[end], back[end], used[end] = score, at, number
+                    if end == after:
+                        single = True
+            if not single and here + self.lowest > best[after]:
+                best[after], back[after], used[after] = here + self.lowest, at, -1
+            at = after
         out: list[int] = []
         end = n
         while end:
-            start, number = back[end]
+            start, number = back[end], used[end]
             out += [number] if number >= 0 else [self.byte[b] for b in reversed(key[start:end])]
             end = start
         return out[::-1]
@@ -164,16 +182,13 @@ class Unigram:
         marked = MARK + text.replace(" ", MARK)
         if not self.alone:
             return np.array(self.segment(marked), "<u4")
-        return np.frombuffer(b"".join(map(self._word, WORDS.findall(marked))), "<u4")
+        return np.frombuffer(b"".join(map(self._word, self.cuts.findall(marked))), "<u4")
 
     def decode(self, ids: list[int]) -> str:
         """Byte pieces join to characters (U+FFFD where they aren't UTF-8); the first space goes."""
         return b"".join(map(self.surface.__getitem__, ids)).decode("utf-8", "replace").replace(MARK, " ").removeprefix(" ")
 
 
-WORDS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
-
-
 def encoded(docs: DataFrame, path: str | None = None, scores: list[float] | None = None) -> DataFrame:
     """doc_id, ids of every text."""
     model = docs.sparkSession.sparkContext.broadcast(Unigram.load(path or public_tokenizers.path("piece_bpe_32k.model"), scores))
@@ -205,13 +220,14 @@ def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
     model = docs.sparkSession.sparkContext.broadcast(Unigram.load(path or public_tokenizers.path("piece_bpe_32k.model")))
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        byte = np.array(sorted(model.value.byte))
+        single = np.zeros(len(model.value.pieces), bool)
+        single[model.value.byte] = True
         for batch in batches:
             out = []
             for text in batch.column("text").to_pylist():
                 ids = model.value.encode(text)
                 back = model.value.decode(ids.tolist())
-                out.append((len(ids), int(np.isin(ids, byte).sum()), zlib.crc32(ids.tobytes()), hashlib.sha256(back.encode()).hexdigest()))
+                out.append((len(ids), int(single[ids].sum()), zlib.crc32(ids.tobytes()), hashlib.sha256(back.encode()).hexdigest()))
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), *(pa.array(c, k) for c, k in zip(zip(*out) if out else [()] * 4, kinds))],
