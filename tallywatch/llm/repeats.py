@@ -5,7 +5,8 @@ its 16-byte grams; consecutive strings with the same pick are one segment, and e
 picks alone. Segments are dealt out by their pick as hashes. Where the whole segment recurs, it is covered at once;
 where different segments share a pick (at the rims of a repeat), their bytes are fetched and meet in an index: a
 run-length compressed Burrows-Wheeler transform, sorted by 50 bytes, with text positions sampled at the ends of runs.
-Segments of later documents stream through it backwards as matching statistics, jumping at a mismatch to the nearer
+Segments without a string whose hash another
+document shares stay out of it. Segments of later documents stream through it backwards as matching statistics, jumping at a mismatch to the nearer
 sampled run end; where 50 bytes match, the smallest document among the equal ones decides. Picks of very many
 different segments don't meet in one index: their strings are grouped by hash with partial aggregates instead.
 
@@ -30,7 +31,7 @@ from tallywatch.llm.shingles import chunked, powers
 LENGTH, GRAM, STOP = 50, 16, 0xFF
 SPAN = LENGTH - GRAM + 1
 #: Text bytes behind one part of the segment hashes, segments in one index, and segments of a pick that meet in one.
-PART_BYTES, INDEX_SEGMENTS, HOT = 16 << 20, 100_000, 4096
+PART_BYTES, INDEX_SEGMENTS, HOT = 16 << 20, 20_000, 4096
 _NO_ID = (1 << 63) - 1
 _FIELDS = (("pick", "<u4"), ("body", "<i4"), ("whole", "<u8"), ("doc", "<i8"), ("start", "<i4"), ("run", "u1"))
 
@@ -288,6 +289,25 @@ def _fetched(docs: DataFrame, asked: DataFrame) -> DataFrame:
         cut, "doc long, body int, start int, pick long, rivals int, source boolean, query boolean, bytes binary")
 
 
+def _sharing(segments_: list[bytes], docs: np.ndarray) -> np.ndarray:
+    """Segments of which a string has the hash of one in another document's: the others need no index."""
+    sizes = np.array([len(s) for s in segments_])
+    data = np.frombuffer(b"".join(segments_), np.uint8)
+    first, many = np.cumsum(sizes) - sizes, sizes - LENGTH + 1
+    own = np.repeat(np.arange(len(sizes)), many)
+    at = np.arange(many.sum()) + np.repeat(first - np.cumsum(many) + many, many)
+    up, down = powers(len(data))
+    total = np.concatenate([[np.uint64(0)], np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], dtype=np.uint64)])
+    found = mixed((total[at + LENGTH] - total[at]) * down[at])
+    order = np.argsort(found, kind="stable")
+    lead = np.flatnonzero(np.append(True, found[order][1:] != found[order][:-1]))
+    holder = docs[own[order]]
+    apart = np.minimum.reduceat(holder, lead) < np.maximum.reduceat(holder, lead)
+    out = np.zeros(len(sizes), bool)
+    out[own[order][np.repeat(apart, np.diff(np.append(lead, len(order))))]] = True
+    return out
+
+
 _COVERED = "doc long, body int, start int, length int"
 
 
@@ -297,7 +317,8 @@ def _matched(fetched: DataFrame, indexes: int) -> DataFrame:
         names = ("doc", "body", "start", "source", "query", "bytes")
         for _, held in _by_part(batches, names):
             doc, body, start = (np.array(held[c], np.int64) for c in ("doc", "body", "start"))
-            source, query = np.flatnonzero(held["source"]), np.flatnonzero(held["query"])
+            shared = _sharing(held["bytes"], doc)
+            source, query = (np.flatnonzero(np.array(held[c]) & shared) for c in ("source", "query"))
             if not len(source) or not len(query):
                 continue
             index = RunLengthIndex([held["bytes"][i] for i in source], doc[source])
