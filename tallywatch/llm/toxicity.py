@@ -124,7 +124,10 @@ class SubwordSoftmax:
                 best, kept = loss, [*(x.copy() for x in parameters), z[:, 1] - z[:, 0]]
             off = (p - target) * weight[:, None]
             pull = off @ softmax.T
-            raised = per_word * ((words[flat] - texts[of_bag]) * pull[of_bag]).sum(axis=1) * (np.abs(loud) < LOUD)[flat]
+            raised = -(texts * pull).sum(axis=1)[of_bag]
+            for d in range(WIDTH):  # a width at a time: the sample's words times the width would fill the driver
+                raised += words[flat, d] * pull[of_bag, d]
+            raised *= per_word * (np.abs(loud) < LOUD)[flat]
             raised = np.bincount(flat, raised, minlength=len(grams))
             down = pooled(of_bag, flat, per_word, pull, len(grams)) + raised[:, None] * attention
             slopes = [pooled(of_word, gram, per_gram, down, len(used)), texts.T @ off, off.sum(axis=0), words.T @ raised]
@@ -176,7 +179,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> SubwordSoft
     texts = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
     # At most twice the sample's rows: a bounded table.
     found = _bags(texts.join(F.broadcast(chosen[0].union(chosen[1])), "doc_id")).toArrow()
-    bags, toxic = [b.split() for b in found["bag"].to_pylist()], found["toxic"].to_numpy()
+    words: dict[str, str] = {}  # one string for all places of a word
+    bags = [[words.setdefault(w, w) for w in b.as_py().split()] for b in found["bag"]]
+    toxic = found["toxic"].to_numpy()
     order = sorted(range(len(bags)), key=lambda i: (toxic[i], bags[i]))
     return SubwordSoftmax.fit([bags[i] for i in order], toxic[order], share)
 
