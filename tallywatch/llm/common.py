@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
+import time
 import uuid
 
 import numpy as np
@@ -49,8 +51,14 @@ def saved(df: DataFrame) -> DataFrame:
 
 
 def released(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of finished steps now; it does so when the JVM collects its garbage."""
-    spark.sparkContext._jvm.System.gc()
+    """Let Spark delete the shuffle files of finished steps now; it does so when the JVM collects its garbage.
+
+    The second round finds what the first has let go: frames are held from Python, plans by frames.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)
 
 
 def texts_of(docs: DataFrame, *columns: str) -> DataFrame:
