@@ -1,10 +1,17 @@
-"""Licence scans: lines of documents against licence templates by the Dice coefficient over word bigrams.
+"""Licence scans: documents against licence templates by the Dice coefficient over word bigrams.
 
-A line is lower-cased and cut into words (runs of letters and digits); its bigrams are a set. A template matches if
+A text is lower-cased and cut into words (runs of letters and digits); its bigrams are a set. A template matches if
 2 |A and B| / (|A| + |B|) reaches the threshold, which bounds the sizes of lines a template can match: those pairs of
 line and template alone are counted. Lines meet templates by shared bigrams, in a join with the templates' bigrams,
 a table of fixed size. DataFrame operations only.
 
+`scan` compares single lines. `scan_text` also compares windows: as many consecutive words as the template has, across
+line ends, from each bigram that they share, so that notices that are wrapped, stand within a line or are full texts
+are found. A match needs least(size) of a template's bigrams, so a text has none without one of `anchors`, which leave
+out the least less one; only texts with an anchor are cut into windows. Set sizes of all windows are running sums: a
+bigram counts in the windows that begin behind its previous place and reach its own. n_lines counts the lines that
+match, or on which a window begins that matches better than those that begin around it.
+
 Null texts count as empty. A document without a match has no licence, similarity 0 and no lines. Of equal similarities
 the first licence by name counts. Rows that repeat id and text get the same result each.
 """
@@ -12,10 +19,15 @@ the first licence by name counts. Rows that repeat id and text get the same resu
 from __future__ import annotations
 
 import re
+from fractions import Fraction
+from math import ceil
+from pathlib import Path
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallywatch.llm.common import saved
+
 #: Public licence notices, by licence.
 TEMPLATES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
@@ -32,6 +44,9 @@ TEMPLATES = (
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
 )
 THRESHOLD = 0.9
+#: Full texts of licences, from files named by licence, and all that texts are compared with.
+FULL_TEXTS = tuple((p.stem, p.read_text()) for p in sorted((Path(__file__).parent / "licence_texts").glob("*.txt")))
+ALL_TEMPLATES = TEMPLATES + FULL_TEXTS
 
 
 def bigrams(text: str) -> set[str]:
@@ -83,6 +98,86 @@ def scan(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     )
 
 
+def least(size: int, threshold: float = THRESHOLD) -> int:
+    """Bigrams of a template of so many that any set matching it shares."""
+    exact = Fraction(str(threshold))
+    return ceil(exact * size / (2 - exact))
+
+
+def anchors(threshold: float = THRESHOLD, templates=ALL_TEMPLATES) -> set[str]:
+    """Of each template its longest bigrams, as few as no match can be without."""
+    sets = [sorted(bigrams(text), key=lambda b: (-len(b), b)) for _, text in templates]
+    return {b for s in sets for b in s[:len(s) - least(len(s), threshold) + 1]}
+
+
+def _id() -> list[Column]:
+    """Rows of one id and text have one result; those without an id have it by text alone."""
+    return [F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("body")]
+
+
+def _anchored(docs: DataFrame, threshold: float, templates) -> DataFrame:
+    """id, body, text of the texts that can match a template, once each; a saved table."""
+    some = ", ".join(f"'{b}'" for b in sorted(anchors(threshold, templates)))
+    words = WORDS.replace("line_text", "lower(text)")
+    has = f"exists(transform(array({words}), words -> exists({PAIRS.replace('array_distinct', '')}, p -> p IN ({some}))), x -> x)"
+    found = docs.select(*_id(), F.coalesce("text", F.lit("")).alias("text")).where(has)
+    return saved(found.dropDuplicates(["id", "body"]))
+
+
+def windows(texts: DataFrame, threshold: float = THRESHOLD, templates=ALL_TEMPLATES) -> DataFrame:
+    """id, body, line (of the first word, from 0), template, licence, similarity of matching windows and templates, peak (none around it is better)."""
+    own, theirs = ["id", "body"], ["id", "body", "template"]
+    sets = [(i, name, bigrams(text), len(re.findall(r"[a-z0-9]+", text.lower())) - 1) for i, (name, text) in enumerate(templates)]
+    rows = [(i, name, len(s), least(len(s), threshold), n, b) for i, name, s, n in sets for b in sorted(s)]
+    known = texts.sparkSession.createDataFrame(rows, "template int, licence string, template_size int, least int, span int, bigram string")
+    placed = f"flatten(transform(split(lower(text), '\\n'), (line_text, line) -> transform(filter({WORDS}, w -> w <> ''), w -> struct(w AS w, line AS line))))"
+    paired = "zip_with(slice(words, 1, size(words) - 1), slice(words, 2, size(words) - 1), (a, b) -> struct(concat(a.w, ' ', b.w) AS bigram, a.line AS line))"
+    bigrams_at = (
+        texts.withColumn("words", F.expr(placed)).where("size(words) > 1")
+        .select(*own, F.posexplode(F.expr(paired)).alias("at", "pair")).select(*own, "at", "pair.bigram", "pair.line")
+        .withColumn("before", F.lag("at").over(Window.partitionBy(*own, "bigram").orderBy("at")))
+    )
+    fit = (
+        bigrams_at.join(F.broadcast(known), "bigram").groupBy(*theirs)
+        .agg(F.countDistinct("bigram").alias("n"), *(F.first(c).alias(c) for c in ("licence", "template_size", "least", "span")))
+        .where("n >= least").select(*theirs, "licence", "template_size", "span")
+    )
+    hits = F.broadcast(known.select("template", "bigram", F.lit(1).alias("hit")))
+    all_at = bigrams_at.join(fit, own).join(hits, ["template", "bigram"], "left").withColumn("hit", F.coalesce("hit", F.lit(0)))
+    changes = F.expr("""array(
+        struct(greatest(coalesce(before + 1, at - span + 1), at - span + 1) AS start, 1 AS size, hit AS shared, 0 AS begins, 0 AS line),
+        struct(at + 1 AS start, -1 AS size, -hit AS shared, 0 AS begins, 0 AS line),
+        struct(at AS start, 0 AS size, 0 AS shared, hit AS begins, line AS line))""")
+    summed = (
+        all_at.select(*theirs, "licence", "template_size", "span", F.explode(changes).alias("c"))
+        .groupBy(*theirs, "c.start").agg(
+            *(F.first(c).alias(c) for c in ("licence", "template_size", "span")), F.sum("c.size").alias("size"),
+            F.sum("c.shared").alias("shared"), F.max("c.begins").alias("begins"), F.max("c.line").alias("line"))
+    )
+    so_far, order = Window.partitionBy(*theirs).orderBy("start").rowsBetween(Window.unboundedPreceding, 0), Window.partitionBy(*theirs).orderBy("start")
+    similarity = 2 * F.sum("shared").over(so_far) / (F.sum("size").over(so_far) + F.col("template_size"))
+    found = summed.withColumn("similarity", similarity).where((F.col("begins") == 1) & (F.col("similarity") >= threshold))
+    # The next match on each side, if it begins less than half a template away.
+    near = lambda f: F.coalesce(F.when(2 * F.abs(F.col("start") - f("start").over(order)) < F.col("span"), f("similarity").over(order)), F.lit(0.0))
+    peak = (near(F.lag) <= F.col("similarity")) & (near(F.lead) < F.col("similarity"))
+    return found.select(*own, "line", "template", "licence", "similarity", peak.alias("peak"))
+
+
+def scan_text(docs: DataFrame, threshold: float = THRESHOLD, templates=ALL_TEMPLATES) -> DataFrame:
+    """doc_id, licence (of the best match), similarity, n_lines (that match or on which a match begins) of every row."""
+    texts = _anchored(docs, threshold, templates)
+    lines = matches(texts.select(F.col("id").alias("doc_id"), "text"), threshold, templates)
+    every = lines.select(F.col("doc_id").alias("id"), "body", "line", "licence", "similarity").union(
+        windows(texts, threshold, templates).select("id", "body", F.when(F.col("peak"), F.col("line")), "licence", "similarity"))
+    best = every.groupBy("id", "body").agg(
+        F.max("similarity").alias("similarity"), F.min_by("licence", F.struct(-F.col("similarity"), "licence")).alias("licence"),
+        F.countDistinct("line").alias("n_lines"))
+    return (
+        docs.select(F.col("doc_id").cast("long"), *_id()).join(best, ["id", "body"], "left")
+        .select("doc_id", "licence", F.coalesce("similarity", F.lit(0.0)).alias("similarity"), F.coalesce("n_lines", F.lit(0)).cast("long").alias("n_lines"))
+    )
+
+
 def oracle() -> str:
     """The same scan as SQL over the table documents."""
     known = ", ".join(

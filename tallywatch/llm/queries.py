@@ -35,7 +35,7 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licences.scan(table(ready(spark), sf_dir, "documents"))
+    return licences.scan_text(table(ready(spark), sf_dir, "documents"))
 
 
 def op8_subwords(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -38,3 +38,56 @@ def test_equals_brute_force(spark):
 
 def test_empty(spark):
     assert collected(lic.scan(empty_docs(ready(spark)))) == []
+
+
+def brute_text(text):
+    words, at = [], []
+    for number, line in enumerate((text or "").lower().split("\n")):
+        found = [w for w in re.split(r"[\W_]+", line) if w]
+        words, at = words + found, at + [number] * len(found)
+    pairs, best = list(zip(words, words[1:])), brute(text)[1::-1]
+    for name, template in lic.ALL_TEMPLATES:
+        other = [tuple(b) for b in (lambda w: zip(w, w[1:]))(re.findall(r"[a-z0-9]+", template.lower()))]
+        for s in (i for i, p in enumerate(pairs) if p in set(other)):
+            own = set(pairs[s: s + len(other)])
+            dice = 2 * len(own & set(other)) / (len(own) + len(set(other)))
+            if dice >= lic.THRESHOLD and (dice > best[0] or dice == best[0] and name < best[1]):
+                best = (dice, name)
+    return best[1], best[0]
+
+
+APACHE, MIT, GPL = lic.TEMPLATES[1][1], lic.TEMPLATES[10][1], lic.TEMPLATES[8][1]
+
+
+def wrapped(text, width=9):
+    words = text.split()
+    return "\n".join("# " + " ".join(words[i: i + width]) for i in range(0, len(words), width))
+
+
+def test_wrapped_embedded_and_full_notices_are_found(spark):
+    mit_paragraph = " ".join(dict(lic.FULL_TEXTS)["MIT"].split("\n\n")[0].split())
+    more = [
+        (100, "code\n" + wrapped(APACHE) + "\ncode", "Apache-2.0", 1), (101, wrapped(GPL), "GPL-3.0", 1), (102, mit_paragraph, "MIT", 1),
+        (103, "This module is released under the MIT License.", "MIT", 1),
+        (104, "one\nReleased under the MIT License. And more\nof text\nReleased under the\nMIT License", "MIT", 2),
+        *((200 + i, "Copyright (c) 2020 Someone\n" + text, name, None) for i, (name, text) in enumerate(lic.FULL_TEXTS)),
+        (300, "Licensed under CC BY-NC 4.0, not by", "CC-BY-NC-4.0", 1), (301, "under the licence of the city the version of the program", None, 0),
+    ]
+    found = {r.doc_id: r for r in lic.scan_text(odd_docs(ready(spark), [r[:2] for r in more])).collect()}
+    assert {i: found[i].licence for i, *_ in more} == {i: name for i, _, name, _ in more}
+    assert {i: found[i].n_lines for i, _, _, n in more if n is not None} == {i: n for i, _, _, n in more if n is not None}
+    assert all(found[i].similarity >= 0.99 for i, _, name, _ in more if name)
+
+
+def test_text_scan_equals_brute_force(spark):
+    rnd = random.Random(5)
+    more = []
+    for i in range(60):
+        words = ("some words before " + rnd.choice(lic.TEMPLATES)[1] + " and the others after it of the program").split(" ")
+        for _ in range(rnd.randint(0, 3)):
+            words[rnd.randrange(len(words))] = rnd.choice(["X", "the", "", "a\nb"])
+        more.append((100 + i, wrapped(" ".join(words), rnd.randint(3, 12)) if i % 3 else " ".join(words)))
+    docs = odd_docs(ready(spark), more)
+    wanted = sorted(((r.doc_id, *brute_text(r.text)) for r in docs.collect()), key=repr)
+    assert sorted((r[:3] for r in collected(lic.scan_text(docs))), key=repr) == wanted
+    assert collected(lic.scan_text(empty_docs(ready(spark)))) == []
