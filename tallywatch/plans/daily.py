@@ -19,7 +19,7 @@ from tallywatch.operators.rules import DEFAULT_RULES
 from tallywatch.plans import curated, incremental, scoring, state
 from tallywatch.plans.history import split_for
 from tallywatch.session import prepare
-from tallywatch.sources.files import DATE, Tables, typed
+from tallywatch.sources.files import DATE, Tables, read_csv, rejected_csv, typed
 
 LOAD, RUN, AS_OF = "load_date", "run_date", "as_of"
 # What a run covers: its load by itself; its load checked by itself but scored after
@@ -97,6 +97,13 @@ def run_day(tables: Tables, rows: DataFrame, run_date: dt.date, now: dt.datetime
     return Outcome(gate.all_critical_passed, gate.next_step, issues, clean, scores)
 
 
+def run_csv(tables: Tables, path: str, run_date: dt.date, now: dt.datetime, settings: Settings = Settings(), multi_line: bool = True) -> Outcome:
+    """``run_day`` over CSV files. Broken lines are checked with what they hold, and are
+    kept as they were written in ``rejected_lines``."""
+    tables.write(rejected_csv(tables.spark, path, multi_line), "rejected_lines", LOAD, run_date)
+    return run_day(tables, read_csv(tables.spark, path, multi_line, keep_broken=True), run_date, now, settings)
+
+
 def _first_date(clean: DataFrame | None) -> dt.date | None:
     return clean.agg(F.min(DATE)).first()[0] if clean is not None and DATE in clean.columns else None
 

@@ -8,6 +8,7 @@ repeated after a failure leaves nothing twice and nothing stale.
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, types as T
@@ -29,24 +30,56 @@ def load_path(root: str, run_date: dt.date) -> str:
 CORRUPT = "_corrupt_record"
 
 
+def _header(spark: SparkSession, file, multi_line: bool) -> str | None:
+    """The header of one file as it is written, None without one. ``file`` is a path of Hadoop's."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(file)
+    stream = file.getFileSystem(conf).open(file)
+    lines = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(codec.createInputStream(stream) if codec else stream, "UTF-8"))
+    try:
+        line = header = lines.readLine()
+        while line is not None and (not header.strip() or multi_line and header.count('"') % 2):
+            line = lines.readLine()
+            header = header if line is None else f"{header}\n{line}" if header.strip() else line
+        return header if header and header.strip() else None
+    finally:
+        lines.close()
+
+
+def _same_header(spark: SparkSession, path: str, multi_line: bool) -> list[str | list[str]]:
+    """The files below a path, grouped by their headers; the path itself where there is one group."""
+    jvm, groups = spark._jvm, {}
+    for url in spark.read.text(path).inputFiles():
+        file = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(url))
+        header = _header(spark, file, multi_line)
+        if header is not None:
+            groups.setdefault(header, []).append(file.toString())
+    return [groups[h] for h in sorted(groups)] if len(groups) > 1 else [path]
+
+
 def csv_rows(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """The eight fields as text, taken by header name, and the line of a broken record.
 
-    Columns may stand in any order, further ones are ignored and missing ones are NULL;
-    quotes double inside quoted fields. A line with more or fewer fields than the header
-    is broken. ``multi_line`` allows line feeds in quoted fields, but a file is then read
-    by one task; without it large files are split.
+    Columns may stand in any order, in each file its own; further ones are ignored and
+    missing ones are NULL; quotes double inside quoted fields. A line with more or fewer
+    fields than the header is broken. ``multi_line`` allows line feeds in quoted fields,
+    but a file is then read by one task; without it large files are split.
     """
     options = {"header": True, "escape": '"', "multiLine": multi_line}
-    names = spark.read.options(**options).csv(path).columns
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, CORRUPT]])
-    rows = spark.read.options(**options, columnNameOfCorruptRecord=CORRUPT, mode="PERMISSIVE").schema(schema).csv(path)
-    return rows.selectExpr(*[f if f in names else f"CAST(NULL AS STRING) AS {f}" for f in FIELDS], CORRUPT)
-
-
-def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """Transactions as text; ``rejected_csv`` has the lines left out."""
-    return csv_rows(spark, path, multi_line).where(f"{CORRUPT} IS NULL").select(*FIELDS)
+    read = []
+    for files in _same_header(spark, path, multi_line):
+        names = spark.read.options(**options).csv(files).columns
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, CORRUPT]])
+        rows = spark.read.options(**options, columnNameOfCorruptRecord=CORRUPT, mode="PERMISSIVE").schema(schema).csv(files)
+        read.append(rows.selectExpr(*[f if f in names else f"CAST(NULL AS STRING) AS {f}" for f in FIELDS], CORRUPT))
+    return reduce(DataFrame.unionByName, read)
+
+
+def read_csv(spark: SparkSession, path: str, multi_line: bool = True, keep_broken: bool = False) -> DataFrame:
+    """Transactions as text; ``rejected_csv`` has the lines left out. ``keep_broken`` keeps
+    those too, with the fields they lack as NULL and further ones ignored, for the checks."""
+    kept = "true" if keep_broken else f"{CORRUPT} IS NULL"
+    return csv_rows(spark, path, multi_line).where(kept).select(*FIELDS)
 
 
 def rejected_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import gzip
 from dataclasses import replace
 
 import pytest
@@ -52,6 +53,35 @@ def test_csv_is_read_by_header_name(spark, tmp_path):
     assert sorted(r.line for r in rejected_csv(spark, path).collect()) == ["success,x,CUST1", "success,x,CUST1,TXN5,Shop,ninth"]
 
 
+def test_csv_files_of_one_folder_have_their_own_headers(spark, tmp_path):
+    folder = tmp_path / "a load"
+    folder.mkdir()
+    (folder / "a.csv").write_text("transaction_id,customer_id,merchant\nTXN1,CUST1,Shop\n")
+    (folder / "b.csv").write_text("merchant,transaction_id,status,customer_id\nMall,TXN2,failed,CUST2\n")
+    (folder / "c.csv").write_text("\ntransaction_id,customer_id,merchant\nTXN3,CUST3,Fair\n")
+    (folder / "d.csv").write_text("")
+    with gzip.open(folder / "e.csv.gz", "wt") as f:
+        f.write('"further\ncolumn",merchant,transaction_id\nx,Kiosk,TXN4\n')
+    found = sorted((r.transaction_id, r.customer_id, r.merchant, r.status) for r in read_csv(spark, str(folder)).collect())
+    assert found == [("TXN1", "CUST1", "Shop", None), ("TXN2", "CUST2", "Mall", "failed"), ("TXN3", "CUST3", "Fair", None), ("TXN4", None, "Kiosk", None)]
+
+
+def test_broken_lines_are_checked_and_kept(spark, tmp_path):
+    path = tmp_path / "t.csv"
+    path.write_text(
+        HEADER
+        + "TXN1,CUST1,12.50,USD,Amazon,US,2025-03-01T10:00:00,success\n"
+        + "TXN2,CUST1,12.50\n"
+        + "TXN3,CUST1,12.50,USD,Amazon,US,2025-03-01T10:00:00,success,ninth\n")
+    found = {r.transaction_id: r for r in read_csv(spark, str(path), keep_broken=True).collect()}
+    assert sorted(found) == ["TXN1", "TXN2", "TXN3"]
+    assert found["TXN2"].amount == "12.50" and found["TXN2"].currency is None and found["TXN3"].status == "success"
+    tables = Tables(spark, str(tmp_path / "t"))
+    outcome = daily.run_csv(tables, str(path), DAY, NOW, LOOSE)
+    assert {r.total_row_count for r in outcome.issues.collect()} == {3}
+    assert [r.line for r in tables.read("rejected_lines", daily.LOAD, DAY).where("transaction_id = 'TXN2'").collect()] == ["TXN2,CUST1,12.50"]
+
+
 def test_csv_round_trip(spark, tmp_path):
     rows = [("TXN1", 'He said "hi", twice'), ("TXN2", "two\nlines"), ("TXN3", "plain, with comma")]
     df = spark.createDataFrame(rows, "transaction_id string, merchant string")
