@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 import random
 import re
 
@@ -78,3 +79,14 @@ def test_shingles_equal_brute_force():
 
 def test_empty(spark):
     assert collected(n.near_duplicates(empty_docs(ready(spark)))) == []
+
+
+@pytest.mark.parametrize("similarity,stated", [(0.8, 3.1e-6), (0.85, 1e-8)])
+def test_chance_to_miss_a_pair_at_the_threshold(similarity, stated):
+    same = np.arange(n.REGISTERS + 1)
+    differ = n.REGISTERS - same
+    sizes = np.full(len(same), 1000.0)
+    dropped = same[n.similarity(differ - differ // 2, differ // 2, sizes, sizes) < n.least_estimate(similarity)]
+    left_out = sum(math.comb(n.REGISTERS, k) * similarity**k * (1 - similarity) ** (n.REGISTERS - k) for k in dropped.tolist())
+    unbanded = (1 - similarity**n.ROWS) ** n.BANDS
+    assert left_out < unbanded and left_out + unbanded < stated
