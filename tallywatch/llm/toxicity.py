@@ -1,6 +1,6 @@
 """Toxicity: bags of subword embeddings averaged into a linear softmax, trained jointly in numpy.
 
-A word (a run of letters, lower-cased) is the mean of the vectors of its character n-grams and of itself, all
+A word (a run of letters, lower-cased; long runs are cut into overlapping words) is the mean of the vectors of its character n-grams and of itself, all
 hashed to buckets, so that unseen misspellings share most of a known word's vectors. A text is the weighted mean of
 its distinct words; a linear softmax over it gives the probability of label 1. A word's weight is the exponential of
 a linear function of its vector, else a few telling words drown in a long text. Embeddings, weights and softmax are
@@ -30,8 +30,10 @@ from pyspark.sql import functions as F
 WORD = re.compile(r"[^\W\d_]+")
 #: Labelled rows of each label that the model is fitted on, at most: the smallest by a hash of doc_id.
 SAMPLE = 3000
-#: A word's characters that count, buckets, embedding width, n-gram sizes.
+#: Longest word; buckets, embedding width, n-gram sizes.
 LETTERS, BUCKETS, WIDTH, SIZES = 40, 1 << 18, 8, (3, 4, 5, 6, 7)
+#: Letters that the pieces of a longer run share: more than an n-gram less one, so each n-gram stands whole in a piece.
+OVERLAP = LETTERS // 2
 EPOCHS, STEP, DECAY = 80, 0.5, 1e-4
 #: Sampled texts that a word must stand in to teach something, and the largest logarithm of a word's weight in the mean.
 LEAST, LOUD = 5, 8.0
@@ -41,13 +43,20 @@ KEPT = 400_000
 
 def buckets_of(word: str) -> list[int]:
     """Buckets of the word and of its n-grams."""
-    word = f"<{word[:LETTERS]}>"
+    word = f"<{word}>"
     raw = [word] + [word[i: i + n] for n in SIZES if n < len(word) for i in range(len(word) - n + 1)]
     return [zlib.crc32(x.encode()) & (BUCKETS - 1) for x in raw]
 
 
 def words_of(text: str) -> set[str]:
-    return set(WORD.findall(text.lower()))
+    """Runs of letters; longer ones than LETTERS, as in scripts without spaces, in overlapping pieces that cover all of them."""
+    found = set(WORD.findall(text.lower()))
+    long = [w for w in found if len(w) > LETTERS]
+    if long:
+        found.difference_update(long)
+        step = LETTERS - OVERLAP
+        found.update(w[i: i + LETTERS] for w in long for i in range(0, len(w) - OVERLAP, step))
+    return found
 
 
 class SubwordSoftmax:

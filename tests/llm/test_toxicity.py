@@ -59,3 +59,21 @@ def test_without_labels_and_empty(spark):
     assert collected(t.toxicity(empty_docs(spark), none)) == []
     one = spark.createDataFrame([(1, 1, 1)], "doc_id long, quality int, toxic int")
     assert t.toxicity(docs, one).count() == docs.count()
+
+
+def test_letters_behind_the_fortieth_count():
+    rows = corpus(900)
+    model = t.SubwordSoftmax.fit([sorted(t.words_of(x)) for _, x, _ in rows], np.array([y for _, _, y in rows]), 0.3)
+    for n in (30, 40, 41, 55, 200):
+        assert model.score("a" * n + "scumbrel") > model.score("a" * n + "grumbles"), n
+        assert model.score("a" * n + "scumbrel" + "a" * n) > model.score("a" * (2 * n + 8)), n
+
+
+def test_pieces_cover_long_runs():
+    rnd = random.Random(3)
+    for n in (39, 40, 41, 60, 61, 79, 80, 81, 500):
+        run = "".join(chr(rnd.randrange(0x4E00, 0x9FA5)) for _ in range(n))
+        pieces = t.words_of(f"1 {run}.")
+        assert all(len(p) <= t.LETTERS for p in pieces)
+        assert all(any(run[i: i + t.OVERLAP] in p for p in pieces) for i in range(n - t.OVERLAP + 1))
+        assert n > t.LETTERS or pieces == {run}
