@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallywatch.llm import fingerprints, licences, neardup, packing, personal, repeats, sharding, subwords, topk, toxicity, webtext
+from tallywatch.llm import fingerprints, licences, neardup, packing, personal, repeats, sharding, subwords, topk, toxicity, vectorcodes, webtext
 from tallywatch.llm.common import ready, table
 
 
@@ -54,12 +54,48 @@ def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.digests(table(ready(spark), sf_dir, "documents"))
 
 
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectorcodes.digests(table(ready(spark), sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_fingerprints, op2_top_k, op3_near_duplicates, op4_repeats, op5_best_fit_packing, op6_toxicity, op7_licence_scan, op8_subwords, op9_personal_data, op10_main_text, op12_sharding)}
+    return {f.__name__: f for f in (op1_fingerprints, op2_top_k, op3_near_duplicates, op4_repeats, op5_best_fit_packing, op6_toxicity, op7_licence_scan, op8_subwords, op9_personal_data, op10_main_text, op12_sharding, op13_vector_codes)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_top_k": TOP_K, "op7_licence_scan": licences.oracle()}
+    return {"op2_top_k": TOP_K, "op7_licence_scan": licences.oracle(), "op13_vector_codes": _vector_codes()}
+
+
+def _vector_codes(rounds: int = vectorcodes.ROUNDS) -> str:
+    """Every part against every entry; distances as |x|^2 - 2 x e + |e|^2, whole numbers that a double holds."""
+    near = """
+        SELECT r, p, arg_min(i, (d, i)) AS i, min(d) AS d
+        FROM (SELECT r, p, i, list_inner_product(x, x) - 2 * list_inner_product(x, e) + list_inner_product(e, e) AS d
+              FROM parts JOIN book{0} USING (p)) GROUP BY r, p"""
+    steps = [f"""
+    near{n} AS MATERIALIZED ({near.format(n)}),
+    mean{n} AS (
+        SELECT p, i, nth, floor(sum(x[nth]) / count(*)) AS c
+        FROM (SELECT p, near{n}.i, x, unnest(range(1, len(x) + 1)) AS nth FROM near{n} JOIN parts USING (r, p)) GROUP BY p, i, nth),
+    book{n + 1} AS MATERIALIZED (
+        SELECT p, i, coalesce(m.e, book{n}.e) AS e
+        FROM book{n} LEFT JOIN (SELECT p, i, list(c ORDER BY nth) AS e FROM mean{n} GROUP BY p, i) m USING (p, i))"""
+             for n in range(rounds)]
+    return f"""
+    WITH kept AS MATERIALIZED (
+        SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS r, vec_id, label,
+               list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v
+        FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    parts AS MATERIALIZED (
+        SELECT r, p, v[p * len(v) // 4 + 1: (p + 1) * len(v) // 4] AS x FROM (SELECT *, unnest(range(4)) AS p FROM kept)),
+    book0 AS MATERIALIZED (SELECT p, r - 1 AS i, x AS e FROM parts WHERE r <= 256),{",".join(steps)},
+    nearest AS MATERIALIZED ({near.format(rounds)}),
+    sha AS (SELECT sha256(string_agg(CAST(CAST(c AS BIGINT) AS VARCHAR), ',' ORDER BY p, i, nth)) AS s
+            FROM (SELECT p, i, unnest(e) AS c, unnest(range(len(e))) AS nth FROM book{rounds})),
+    coded AS (SELECT r, string_agg(format('{{:02x}}', i), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error FROM nearest GROUP BY r)
+    SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, s AS codebooks_sha256
+    FROM coded JOIN kept USING (r), sha
+    """
 
 
 TOP_K = """
