@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallywatch.llm import fingerprints, licences, neardup, packing, personal, repeats, sharding, subwords, topk, toxicity, vectorcodes, webtext
+from tallywatch.llm import fingerprints, licences, neardup, packing, personal, repeats, sharding, subwords, topk, toxicity, variants, vectorcodes, webtext
 from tallywatch.llm.common import ready, table
 
 
@@ -50,6 +50,10 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return webtext.extract(table(ready(spark), sf_dir, "pages"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.variants(table(ready(spark), sf_dir, "documents"))
+
+
 def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.digests(table(ready(spark), sf_dir, "documents"))
 
@@ -59,7 +63,7 @@ def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_fingerprints, op2_top_k, op3_near_duplicates, op4_repeats, op5_best_fit_packing, op6_toxicity, op7_licence_scan, op8_subwords, op9_personal_data, op10_main_text, op12_sharding, op13_vector_codes)}
+    return {f.__name__: f for f in (op1_fingerprints, op2_top_k, op3_near_duplicates, op4_repeats, op5_best_fit_packing, op6_toxicity, op7_licence_scan, op8_subwords, op9_personal_data, op10_main_text, op11_spelling_variants, op12_sharding, op13_vector_codes)}
 
 
 def oracle_sql() -> dict[str, str]:
