@@ -11,7 +11,8 @@ sampled run end; where 50 bytes match, the smallest document among the equal one
 different segments don't meet in one index: their strings are grouped by hash with partial aggregates instead.
 
 Matches never cross documents, and strings are judged on the input. Null texts count as empty. Documents without an id
-come behind all others; rows of one id aren't earlier than each other. Repeated rows get the same result each.
+come behind all others; rows of one id aren't earlier than each other. Repeated rows get the same result each. A text is known
+by its id and a 64-bit hash, so that only different texts without an id could be mixed up, n of them with a chance of n^2 / 2^65.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ SPAN = LENGTH - GRAM + 1
 #: Text bytes behind one part of the segment hashes, segments in one index, and segments of a pick that meet in one.
 PART_BYTES, INDEX_SEGMENTS, HOT = 16 << 20, 20_000, 4096
 _NO_ID = (1 << 63) - 1
-_FIELDS = (("pick", "<u4"), ("body", "<i4"), ("whole", "<u8"), ("doc", "<i8"), ("start", "<i4"), ("run", "u1"))
+_FIELDS = (("pick", "<u4"), ("body", "<i8"), ("whole", "<u8"), ("doc", "<i8"), ("start", "<i4"), ("run", "u1"))
 
 
 def segments(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
@@ -229,7 +230,7 @@ def _by_part(batches: Iterator[pa.RecordBatch], names: tuple[str, ...]) -> Itera
         yield part, held
 
 
-_JUDGED = "doc long, body int, start int, length int, pick long, rivals int, source boolean, query boolean"
+_JUDGED = "doc long, body long, start int, length int, pick long, rivals int, source boolean, query boolean"
 
 
 def _judged(dealt: DataFrame, parts: int) -> DataFrame:
@@ -286,7 +287,7 @@ def _fetched(docs: DataFrame, asked: DataFrame) -> DataFrame:
 
     rows = asked.groupBy("doc", "body").agg(F.collect_list(F.struct("start", "length", "pick", "rivals", "source", "query")).alias("rows"))
     return docs.dropDuplicates(["doc", "body"]).join(rows, ["doc", "body"]).mapInArrow(
-        cut, "doc long, body int, start int, pick long, rivals int, source boolean, query boolean, bytes binary")
+        cut, "doc long, body long, start int, pick long, rivals int, source boolean, query boolean, bytes binary")
 
 
 def _sharing(segments_: list[bytes], docs: np.ndarray) -> np.ndarray:
@@ -308,7 +309,7 @@ def _sharing(segments_: list[bytes], docs: np.ndarray) -> np.ndarray:
     return out
 
 
-_COVERED = "doc long, body int, start int, length int"
+_COVERED = "doc long, body long, start int, length int"
 
 
 def _matched(fetched: DataFrame, indexes: int) -> DataFrame:
@@ -329,7 +330,7 @@ def _matched(fetched: DataFrame, indexes: int) -> DataFrame:
                 many = np.diff(np.append(lead, len(row)))
                 at = own[row[lead]]
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(doc[at]), pa.array(body[at].astype(np.int32)), pa.array((start[at] + column[lead]).astype(np.int32)),
+                    pa.array(doc[at]), pa.array(body[at]), pa.array((start[at] + column[lead]).astype(np.int32)),
                     pa.array((many + LENGTH - 1).astype(np.int32))], ["doc", "body", "start", "length"])
 
     part = F.pmod(F.xxhash64("pick"), F.lit(indexes))
@@ -348,10 +349,10 @@ def _hashed(fetched: DataFrame) -> DataFrame:
             ]
             low, high = (np.frombuffer(b"".join(x[k] for x in out), "<i8") for k in (3, 4))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int32()),
+                [pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64()),
                  pa.array([x[2] for x in out], pa.int32()), pa.array(low), pa.array(high)], ["doc", "body", "start", "low", "high"])
 
-    every = fetched.mapInArrow(strings, "doc long, body int, start int, low long, high long")
+    every = fetched.mapInArrow(strings, "doc long, body long, start int, low long, high long")
     least = every.groupBy("low", "high").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most")
     return every.join(least, ["low", "high"]).where("doc > least").select("doc", "body", "start", F.lit(LENGTH).alias("length"))
 
@@ -375,7 +376,7 @@ def covered(docs: DataFrame) -> DataFrame:
 
 def _keyed(docs: DataFrame, *more: str) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("doc"), F.hash(text).alias("body"), text.alias("text"), *more)
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("doc"), F.xxhash64(text).alias("body"), text.alias("text"), *more)
 
 
 def kept_parts(raw: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, int]:
@@ -423,7 +424,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     """docs with the repeated bytes cut out of their texts; characters of which bytes remain alone go too."""
     found = covered(_keyed(docs))
     released(docs.sparkSession)
-    rows = rowed(docs).select("row", "text", F.coalesce("doc_id", F.lit(_NO_ID)).alias("doc"), F.hash("text").alias("body"))
+    rows = rowed(docs).select("row", "text", F.coalesce("doc_id", F.lit(_NO_ID)).alias("doc"), F.xxhash64("text").alias("body"))
     rows = rows.join(found, ["doc", "body"], "left").select("row", "text", "spans")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

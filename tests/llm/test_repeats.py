@@ -84,3 +84,19 @@ def test_index_equals_brute_force():
 def test_empty(spark):
     assert collected(r.removals(empty_docs(ready(spark)))) == []
     assert collected(r.without_repeats(empty_docs(spark))) == []
+
+
+def test_texts_without_id_whose_short_hashes_collide(spark):
+    """Texts without an id that Spark's 32-bit hash can't tell apart are cut each by itself."""
+    from pyspark.sql import functions as F
+
+    rnd = random.Random(9)
+    shared = "".join(rnd.choices("abcdefgh ", k=90))
+    numbered = ready(spark).range(200_000).select(F.concat(F.lit(shared), F.sha2(F.col("id").cast("string"), 256), F.repeat(F.lit("x"), (F.col("id") % 40).cast("int"))).alias("text"))
+    pairs = numbered.groupBy(F.hash("text")).agg(F.collect_list("text").alias("texts")).where("size(texts) > 1").collect()
+    assert pairs
+    texts = [t for p in pairs for t in p.texts]
+    docs = spark.createDataFrame([(None, t) for t in texts] + [(5, shared)], "doc_id long, text string")
+    found = {(x.n_bytes, x.n_removed, x.kept_sha256) for x in r.removals(docs).collect() if x.doc_id is None}
+    want = {(len(t), 90, hashlib.sha256(t[90:].encode()).hexdigest()) for t in texts}
+    assert found == want
