@@ -6,20 +6,24 @@ its distinct words; a linear softmax over it gives the probability of label 1. A
 a linear function of its vector, else a few telling words drown in a long text. Embeddings, weights and softmax are
 fitted together by gradient descent on a bounded sample of labelled rows, part of which chooses epoch and threshold.
 The fitted model is two numbers for each bucket, since margin and weight are linear in the embeddings: that table
-has a fixed size and goes to every worker.
+has a fixed size and goes to every worker. A worker hashes the new words of a whole batch at once, and adds up a text's
+words as whole numbers (2^-20), so that their order doesn't matter.
+
+The sample is bounded in rows (``SAMPLE``) and in words of a row (``WORDS``). Words are counted and numbered by the executors; the
+driver gets the words that teach something, and numbers.
 
 Null and empty texts, and texts without letters, get the score of an empty bag. Labels that are null, or whose row
-has no document, teach nothing; of several labels of one id the largest counts. Without labelled rows of both
+has no document, teach nothing; of several labels of one id the largest counts, of several texts the smallest. Without labelled rows of both
 kinds every score is the share of label 1 (0 without any). Repeated rows get repeated results.
 """
 
 from __future__ import annotations
 
-import math
 import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -27,9 +31,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallywatch.llm.common import mixed, saved
+
 WORD = re.compile(r"[^\W\d_]+")
 #: Labelled rows of each label that the model is fitted on, at most: the smallest by a hash of doc_id.
 SAMPLE = 3000
+#: Distinct words of a sampled text that the model is fitted on, at most: the smallest by crc32. Scores read whole texts.
+WORDS = 4000
 #: Longest word; buckets, embedding width, n-gram sizes.
 LETTERS, BUCKETS, WIDTH, SIZES = 40, 1 << 18, 8, (3, 4, 5, 6, 7)
 #: Letters that the pieces of a longer run share: more than an n-gram less one, so each n-gram stands whole in a piece.
@@ -37,15 +45,32 @@ OVERLAP = LETTERS // 2
 EPOCHS, STEP, DECAY = 80, 0.5, 1e-4
 #: Sampled texts that a word must stand in to teach something, and the largest logarithm of a word's weight in the mean.
 LEAST, LOUD = 5, 8.0
-#: Words whose margin a worker keeps.
-KEPT = 400_000
-
-
-def buckets_of(word: str) -> list[int]:
-    """Buckets of the word and of its n-grams."""
-    word = f"<{word}>"
-    raw = [word] + [word[i: i + n] for n in SIZES if n < len(word) for i in range(len(word) - n + 1)]
-    return [zlib.crc32(x.encode()) & (BUCKETS - 1) for x in raw]
+#: Words whose margin a worker keeps, words hashed at once, and the unit in which they are added up.
+KEPT, AT_ONCE, UNIT = 400_000, 20_000, 1 << 20
+
+
+def buckets_of(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The place of a word in the list, and a bucket, for each of its n-grams and for itself."""
+    points = np.frombuffer("".join([f"<{w}>" for w in words]).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    sizes = np.array([len(w) + 2 for w in words], np.int64)
+    starts = np.cumsum(sizes) - sizes
+    of_point = np.repeat(np.arange(len(words)), sizes)
+    left = np.repeat(starts + sizes, sizes) - np.arange(len(points))  # points from here to the word's end
+    factor = np.uint64(0x9E3779B97F4A7C15)
+    places, hashes = [], []
+    gram = np.zeros(len(points), np.uint64)
+    for n in range(1, max(SIZES) + 1):  # gram: the hash of the n points from here, wrapping around behind the last
+        gram = gram * factor + np.roll(points, 1 - n) + np.uint64(1)
+        if n in SIZES:
+            at = np.nonzero((left >= n) & (sizes[of_point] > n))[0]
+            places.append(of_point[at])
+            hashes.append(gram[at])
+    powers = np.cumprod(np.full(int(sizes.max(initial=0)), factor, np.uint64))
+    place = np.arange(len(points)) - np.repeat(starts, sizes)
+    if len(words):
+        places.append(np.arange(len(words)))
+        hashes.append(np.add.reduceat((points + np.uint64(1)) * powers[place], starts) + np.uint64(1))
+    return np.concatenate(places), (mixed(np.concatenate(hashes)) & np.uint64(BUCKETS - 1)).astype(np.int64)
 
 
 def words_of(text: str) -> set[str]:
@@ -64,45 +89,69 @@ class SubwordSoftmax:
 
     def __init__(self, margins: np.ndarray, bias: float):
         self.margins, self.bias = margins, bias
-        self._words: dict[str, tuple[float, float]] = {}
+        self._forget()
 
     def __reduce__(self):
         return SubwordSoftmax, (self.margins, self.bias)
 
-    def word(self, word: str) -> tuple[float, float]:
-        """Weighted log-odds, and weight."""
-        found = self._words.get(word)
-        if found is None:
-            if len(self._words) >= KEPT:
-                self._words.clear()
-            margin, loud = self.margins[buckets_of(word)].mean(axis=0, dtype=float).tolist()
-            weight = math.exp(min(max(loud, -LOUD), LOUD))
-            found = self._words[word] = (margin * weight, weight)
-        return found
+    def _forget(self) -> None:
+        self._known: dict[str, int] = {}
+        self._sums = np.zeros((0, 2), np.int64)
+
+    def _learn(self, words: list[str]) -> None:
+        """Weighted log-odds and weight of new words, in units."""
+        for at in range(0, len(words), AT_ONCE):
+            some = words[at: at + AT_ONCE]
+            of_word, bucket = buckets_of(some)
+            count = np.bincount(of_word, minlength=len(some))
+            margin, loud = (np.bincount(of_word, self.margins[bucket, k], minlength=len(some)) / count for k in (0, 1))
+            weight = np.exp(np.clip(loud, -LOUD, LOUD))
+            self._known.update(zip(some, range(len(self._known), len(self._known) + len(some))))
+            self._sums = np.concatenate([self._sums, np.rint(np.stack([margin * weight, weight], axis=1) * UNIT).astype(np.int64)])
+
+    def scores(self, texts: list[str]) -> np.ndarray:
+        bags = [words_of(t) for t in texts]
+        words = list(chain.from_iterable(bags))
+        new = [w for w in dict.fromkeys(words) if w not in self._known]
+        if len(self._known) + len(new) > KEPT:
+            self._forget()
+            new = list(dict.fromkeys(words))
+        self._learn(new)
+        index = np.fromiter(map(self._known.__getitem__, words), np.int64, len(words))
+        ends = np.cumsum([len(b) for b in bags], dtype=np.int64)
+        total = np.concatenate([np.zeros((1, 2), np.int64), np.cumsum(self._sums[index], axis=0)])
+        odds, weights = (total[ends] - total[ends - [len(b) for b in bags]]).T if texts else np.zeros((2, 0))
+        margin = self.bias + odds / np.maximum(weights, 1)
+        return 1 / (1 + np.exp(-np.clip(margin, -500.0, 500.0)))
 
     def score(self, text: str) -> float:
-        margin, words = self.bias, words_of(text)
-        if words:
-            odds, weights = zip(*map(self.word, words))
-            margin += math.fsum(odds) / math.fsum(weights)  # whatever the order of the words
-        return 1 / (1 + math.exp(-min(max(margin, -500.0), 500.0)))
+        return float(self.scores([text])[0])
 
     @classmethod
     def fit(cls, bags: list[list[str]], labels: np.ndarray, share: float) -> SubwordSoftmax:
-        """share: of label 1 among all labelled rows; the sample's labels are weighted to it."""
+        """From lists of distinct words; share: of label 1 among all labelled rows."""
+        frequency = Counter(w for bag in bags for w in bag)
+        vocabulary = sorted(w for w, n in frequency.items() if n >= LEAST)
+        number = {w: i for i, w in enumerate(vocabulary)}
+        known = [np.array([number[w] for w in bag if w in number], np.int32) for bag in bags]
+        return cls.fit_numbered(vocabulary, known, np.array([len(b) for b in bags]), labels, share)
+
+    @classmethod
+    def fit_numbered(cls, vocabulary: list[str], known: list[np.ndarray], sizes: np.ndarray, labels: np.ndarray, share: float) -> SubwordSoftmax:
+        """known: of each text, the places of its words in the vocabulary; sizes: how many distinct words it has. The
+        sample's labels are weighted to the share."""
         if not len(labels) or labels.min() == labels.max():
             return cls(np.zeros((BUCKETS, 2), np.float32), float(np.log(max(share, 1e-6) / max(1 - share, 1e-6))))
-        frequency = Counter(w for bag in bags for w in bag)
-        vocabulary = {w: i for i, w in enumerate(sorted(w for w, n in frequency.items() if n >= LEAST))}
-        if not vocabulary:
+        if not len(vocabulary):
             return cls(np.zeros((BUCKETS, 2), np.float32), float(np.log(share / (1 - share))))
-        sizes = np.array([len(b) for b in bags])
-        known = [[vocabulary[w] for w in bag if w in vocabulary] for bag in bags]
-        flat = np.array([i for bag in known for i in bag], np.int32)
-        grams = [buckets_of(w) for w in vocabulary]
-        gram_sizes = np.array([len(g) for g in grams])
-        used, gram = np.unique(np.concatenate([np.array(g, np.int32) for g in grams]), return_inverse=True)
-        of_word, of_bag = np.repeat(np.arange(len(grams)), gram_sizes), np.repeat(np.arange(len(bags)), [len(b) for b in known])
+        bags, grams = range(len(known)), range(len(vocabulary))
+        flat = np.concatenate(known)
+        known_sizes = np.array([len(b) for b in known])
+        parts = [buckets_of(vocabulary[at: at + AT_ONCE]) for at in range(0, len(vocabulary), AT_ONCE)]
+        of_word = np.concatenate([words + i * AT_ONCE for i, (words, _) in enumerate(parts)])
+        gram_sizes = np.bincount(of_word, minlength=len(vocabulary))
+        used, gram = np.unique(np.concatenate([buckets for _, buckets in parts]), return_inverse=True)
+        of_bag = np.repeat(np.arange(len(bags)), known_sizes)
         per_gram = (1 / gram_sizes)[of_word]
 
         def pooled(index: np.ndarray, into: np.ndarray, weight: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
@@ -117,7 +166,7 @@ class SubwordSoftmax:
         speeds = [np.zeros_like(x) for x in parameters]
         check = np.arange(len(bags)) % 5 == 4  # these rows only choose the epoch and the threshold
         weight = np.where(check, 0, balance)
-        others = np.maximum(sizes - np.array([len(b) for b in known]), 0) + (sizes == 0)  # words that teach nothing weigh 1
+        others = np.maximum(sizes - known_sizes, 0) + (sizes == 0)  # words that teach nothing weigh 1
         best, kept = np.inf, None
         for epoch in range(EPOCHS):
             words = pooled(gram, of_word, per_gram, embedding, len(grams))
@@ -163,13 +212,30 @@ def _threshold(margins: np.ndarray, labels: np.ndarray, share: float) -> float:
 
 
 def _bags(docs: DataFrame) -> DataFrame:
-    """doc_id and the distinct words of each text, sorted and joined by spaces."""
+    """doc_id, toxic, size (distinct words) and the words of each text, at most WORDS."""
     def bag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bags = [" ".join(sorted(words_of(t))) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(bags, pa.string())], ["toxic", "bag"])
+            bags = [sorted(words_of(t)) for t in batch.column("text").to_pylist()]
+            sizes = pa.array([len(b) for b in bags], pa.int32())
+            bags = [b if len(b) <= WORDS else sorted(b, key=lambda w: (zlib.crc32(w.encode()), w))[:WORDS] for b in bags]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("toxic"), sizes, pa.array(bags, pa.list_(pa.string()))], ["doc_id", "toxic", "size", "words"])
+
+    return docs.mapInArrow(bag, "doc_id long, toxic int, size int, words array<string>")
+
+
+def _numbered(bags: DataFrame, vocabulary: list[str]) -> DataFrame:
+    """The bags with the places of their words in the vocabulary instead of words."""
+    sent = bags.sparkSession.sparkContext.broadcast(vocabulary)
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        places = {w: i for i, w in enumerate(sent.value)}
+        for batch in batches:
+            known = [[places[w] for w in bag if w in places] for bag in batch.column("words").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in ("doc_id", "toxic", "size")), pa.array(known, pa.list_(pa.int32()))], ["doc_id", "toxic", "size", "known"])
 
-    return docs.mapInArrow(bag, "toxic int, bag string")
+    return bags.mapInArrow(number, "doc_id long, toxic int, size int, known array<int>")
 
 
 def held_out() -> Column:
@@ -187,12 +253,14 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> SubwordSoft
     chosen = [labels.where(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample) for y in (0, 1)]
     texts = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
     # At most twice the sample's rows: a bounded table.
-    found = _bags(texts.join(F.broadcast(chosen[0].union(chosen[1])), "doc_id")).toArrow()
-    words: dict[str, str] = {}  # one string for all places of a word
-    bags = [[words.setdefault(w, w) for w in b.as_py().split()] for b in found["bag"]]
-    toxic = found["toxic"].to_numpy()
-    order = sorted(range(len(bags)), key=lambda i: (toxic[i], bags[i]))
-    return SubwordSoftmax.fit([bags[i] for i in order], toxic[order], share)
+    texts = texts.join(F.broadcast(chosen[0].union(chosen[1])), "doc_id")
+    # Repeated ids are brought together before any exchange.
+    bags = saved(_bags(texts.groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("text").alias("text"))))
+    words = bags.select(F.explode("words").alias("word")).groupBy("word").count().where(f"count >= {LEAST}").select("word")
+    vocabulary = sorted(words.toArrow()["word"].to_pylist())
+    found = _numbered(bags, vocabulary).orderBy("doc_id").toArrow()
+    known = [x.values.to_numpy() for x in found["known"]]
+    return SubwordSoftmax.fit_numbered(vocabulary, known, found["size"].to_numpy(), found["toxic"].to_numpy(), share)
 
 
 def score(docs: DataFrame, model: SubwordSoftmax) -> DataFrame:
@@ -202,7 +270,7 @@ def score(docs: DataFrame, model: SubwordSoftmax) -> DataFrame:
 
     @F.pandas_udf("double")
     def scored(texts: pd.Series) -> pd.Series:
-        return texts.map(sent.value.score).astype(float)
+        return pd.Series(sent.value.scores(texts.tolist()), dtype=float)
 
     return docs.withColumn("score", scored(text)).withColumn("predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0))
 

@@ -77,3 +77,37 @@ def test_pieces_cover_long_runs():
         assert all(len(p) <= t.LETTERS for p in pieces)
         assert all(any(run[i: i + t.OVERLAP] in p for p in pieces) for i in range(n - t.OVERLAP + 1))
         assert n > t.LETTERS or pieces == {run}
+
+
+def test_buckets_are_the_same_in_any_company():
+    words = ["a", "", "scumbrel", "ža", "日本語", "x" * 40, "ab"]
+    together = t.buckets_of(words)
+    for i, w in enumerate(words):
+        place, bucket = t.buckets_of([w])
+        assert sorted(together[1][together[0] == i]) == sorted(bucket) and set(place) == {0}
+        marked = f"<{w}>"
+        assert len(bucket) == 1 + sum(len(marked) - n + 1 for n in t.SIZES if n < len(marked))
+    shared = [set(t.buckets_of([w])[1]) for w in ("wretchful", "wretchfull")]
+    assert len(shared[0] & shared[1]) > 0.6 * len(shared[0])
+
+
+def test_scores_are_the_same_in_any_batch(monkeypatch):
+    model = t.SubwordSoftmax(np.random.default_rng(1).normal(size=(t.BUCKETS, 2)).astype(np.float32), -0.3)
+    texts = [x for _, x, _ in corpus(60)] + ["", "12 34", "x" * 90]
+    want = model.scores(texts).tolist()
+    monkeypatch.setattr(t, "KEPT", 50)
+    monkeypatch.setattr(t, "AT_ONCE", 7)
+    again = t.SubwordSoftmax(model.margins, model.bias)
+    assert [again.score(x) for x in reversed(texts)][::-1] == want
+    assert again.scores([]).tolist() == []
+
+
+def test_repeated_and_long_labelled_texts_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(t, "WORDS", 30)
+    rows = corpus(400)
+    docs = ready(spark).createDataFrame([(i, x) for i, x, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    once = t.fit(docs, labels)
+    repeated = docs.union(docs.where("doc_id = 1").crossJoin(spark.range(10_000)).select("doc_id", "text"))
+    again = t.fit(repeated, labels)
+    assert (again.margins == once.margins).all() and again.bias == once.bias
