@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from tallywatch.config import PHRASES, RuleLimits
+from tallywatch.functions import moments
 from tallywatch.functions.columns import (
     MINUTE_US, money_text, mean_text, phrase, rounded_minutes, tenths_text, whole_minutes,
 )
@@ -58,19 +59,14 @@ def _velocity_reasons(limits: RuleLimits) -> list[str]:
 
 
 # -- amount anomaly ----------------------------------------------------------------
-# To six decimals: mean and deviation are put together in another order when a history is split or goes on from a
-# state, and the digits beyond may differ.
-Z_SCORE = "round((CAST(amount AS DOUBLE) - mean_prior) / nullif(sd_prior, 0D), 6)"
-
-
 def unusual_amount(limits: RuleLimits) -> str:
-    return f"(n_prior >= {limits.min_history} AND {Z_SCORE} > {limits.sigma_over})"
+    return f"(n_prior >= {limits.min_history} AND {moments.z_above(limits.sigma_over)})"
 
 
 def _amount_reasons(limits: RuleLimits) -> list[str]:
     return [told_if(
-        unusual_amount(limits), "amount", amount=money_text("amount"), z=tenths_text(Z_SCORE), customer="customer_id",
-        mean=mean_text("sum_prior", "n_prior", "mean_prior"), n="n_prior")]
+        unusual_amount(limits), "amount", amount=money_text("amount"), z=tenths_text(moments.Z), customer="customer_id",
+        mean=mean_text(moments.TOTAL, "n_prior", moments.MEAN), n="n_prior")]
 
 
 # -- impossible travel ---------------------------------------------------------------

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallywatch.config import HotKeyPolicy, RuleLimits
+from tallywatch.functions import moments
 from tallywatch.functions.columns import MINUTE_US
 from tallywatch.plans.hot import Split, find_split
 
@@ -26,18 +27,11 @@ ROW, OUT_OF_VELOCITY, OUT_OF_FAILURES, OUT_TWICE = 0, 1, 2, 3
 IS_ROW = f"kind = {ROW}"
 HERE = "struct(key, ingest_seq, transaction_id, country, status)"
 FAILURE = f"CAST({IS_ROW} AND coalesce(status = 'failed', false) AS BIGINT)"
-X = "CAST(amount AS DOUBLE)"
-ZERO = "CAST(0 AS DECIMAL(38,9))"
 
 BLOCK_BEFORE = "(PARTITION BY customer_id ORDER BY block ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
 BLOCK_AFTER = "(PARTITION BY customer_id ORDER BY block DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
 
 
-def added(a: str, b: str) -> str:
-    """The sum of two totals, NULL beyond their type."""
-    return f"try_cast(try_add({a}, {b}) AS DECIMAL(38,9))"
-
-
 def _is(kind: int) -> str:
     return f"CAST(kind = {kind} AS BIGINT)"
 
@@ -165,27 +159,15 @@ class History:
               for f, c, name in (("lag", "c_prev", "prev"), ("lead", "c_next", "next"))])
 
     def add_baseline(self) -> History:
-        """``n_prior``, ``sum_prior``, ``mean_prior``, ``sd_prior`` (sample deviation),
-        ``least_prior`` and ``most_prior`` over strictly earlier rows."""
+        """``n_prior`` and the totals of ``moments`` over strictly earlier rows, and the row's own digits."""
         w = self._before
-        n = f"count(amount) OVER {w}"
-        total = f"CASE WHEN {n} = 0 THEN {ZERO} ELSE try_sum(amount) OVER {w} END"  # NULL beyond the type
-        if not self.split:
-            return self._and(f"{n} AS n_prior", f"{total} AS sum_prior",
-                             f"avg({X}) OVER {w} AS mean_prior", f"stddev_samp({X}) OVER {w} AS sd_prior",
-                             f"min({X}) OVER {w} AS least_prior", f"max({X}) OVER {w} AS most_prior")
-        # Means and squared deviations of this block's rows and those before, put together.
-        n0, mean0, m0 = (self._carried(c, zero) for c, zero in (("c_n", "0L"), ("c_mean", "0D"), ("c_m2", "0D")))
-        m2 = f"({m0} + _m2 + _gap * _gap * {n0} * _n / n_prior)"
-        return self._and(
-            f"{n} AS _n", f"{total} AS _sum", f"coalesce(avg({X}) OVER {w}, 0D) AS _mean",
-            f"coalesce(var_pop({X}) OVER {w}, 0D) * ({n}) AS _m2",
-            f"least(min({X}) OVER {w}, c_least) AS least_prior", f"greatest(max({X}) OVER {w}, c_most) AS most_prior",
-        )._then(f"_n + {n0} AS n_prior", f"_mean - {mean0} AS _gap")._then(
-            f"CASE WHEN {n0} = 0 THEN _sum ELSE {added('_sum', 'c_sum')} END AS sum_prior",
-            f"CASE WHEN n_prior > 0 THEN {mean0} + _gap * _n / n_prior END AS mean_prior",
-            f"CASE WHEN n_prior > 1 THEN CASE WHEN least_prior = most_prior THEN 0D ELSE sqrt({m2} / (n_prior - 1)) END END AS sd_prior",
-        )
+
+        def total(measure: str, name: str) -> str:
+            return f"coalesce({measure} OVER {w}, 0L) + {self._carried(f'c_{name}', '0L')} AS {name}"
+
+        measured = replace(self, rows=moments.measured(self.df), pending=())
+        return measured._and(f"count(amount) OVER {w} + {self._carried('c_n', '0L')} AS {moments.N}",
+                             *[total(f"sum({x})", name) for name, x in moments.TOTALS.items()])
 
     def add_failure_runs(self) -> History:
         """``run_size``: length of the run of adjacent failures a failed row is in;
@@ -211,9 +193,10 @@ class History:
         )
 
     # -- values from other blocks ----------------------------------------------
-    def _per_block(self, *measures: str) -> DataFrame:
+    def _per_block(self, *measures: str, measured: bool = False) -> DataFrame:
         """One row per block of a hot customer: a few times max_blocks rows in all."""
-        return self.df.where("block >= 0").groupBy("customer_id", "block").agg(*map(F.expr, measures))
+        rows = self.df.where("block >= 0")
+        return (moments.measured(rows) if measured else rows).groupBy("customer_id", "block").agg(*map(F.expr, measures))
 
     def _join_blocks(self, carried: DataFrame) -> History:
         joined = self.df.join(F.broadcast(carried), ["customer_id", "block"], "left")
@@ -245,25 +228,18 @@ class History:
         per_block = self._per_block(
             *_sums(totals, peers),
             f"min({HERE}) {only_rows} AS _head", f"max({HERE}) {only_rows} AS _tail",
-            f"count(amount) {only_rows} AS _n", f"coalesce(avg({X}) {only_rows}, 0D) AS _mean",
-            f"coalesce(var_pop({X}) {only_rows}, 0D) AS _var", f"try_sum(amount) {only_rows} AS _sum",
-            f"min({X}) {only_rows} AS _least", f"max({X}) {only_rows} AS _most",
+            f"count(amount) {only_rows} AS _n", *[f"coalesce(sum({x}) {only_rows}, 0L) AS _{name}" for name, x in moments.TOTALS.items()],
+            measured=True,
         )
-        all_blocks, before = "(PARTITION BY customer_id)", BLOCK_BEFORE
+        before, sums = BLOCK_BEFORE, ["n", *moments.TOTALS]
         blocks = _carry_totals(per_block, totals, peers).selectExpr(
-            "*", f"_mean - coalesce(try_divide(sum(_n * _mean) OVER {all_blocks}, sum(_n) OVER {all_blocks}), 0D) AS _off",
-        ).selectExpr(
             "*",
             f"last(_tail, true) OVER {before} AS c_prev", f"last(_head, true) OVER {BLOCK_AFTER} AS c_next",
-            f"coalesce(sum(_n) OVER {before}, 0L) AS c_n",
-            f"coalesce(try_divide(sum(_n * _off) OVER {before}, sum(_n) OVER {before}), 0D) AS _mean_off",
-            f"coalesce(sum(_n * _var + _n * _off * _off) OVER {before}, 0D) AS _squares",
-            f"try_sum(_sum) OVER {before} AS c_sum", f"min(_least) OVER {before} AS c_least", f"max(_most) OVER {before} AS c_most",
+            *[f"coalesce(sum(_{name}) OVER {before}, 0L) AS c_{name}" for name in sums],
         )
         return self._join_blocks(blocks.selectExpr(
             "customer_id", "block", *[f"c_{n}" for n in totals], *[f"t_{n}" for n in peers],
-            "c_prev", "c_next", "c_n", "_mean - _off + _mean_off AS c_mean",
-            "greatest(_squares - c_n * _mean_off * _mean_off, 0D) AS c_m2", "c_sum", "c_least", "c_most"))
+            "c_prev", "c_next", *[f"c_{name}" for name in sums]))
 
 
 def _sums(totals: dict[str, str], peers: dict[str, str]) -> list[str]:

@@ -1,77 +1,53 @@
-"""Each customer's amounts so far: one row per customer, enough to go on from."""
+"""Each customer's amounts so far: one row per customer, enough to go on from.
+
+A state holds the exact count and totals of ``functions.moments``, so states of any parts of a history add up to the
+state of the whole, in any order.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallywatch.functions import moments
 from tallywatch.operators.report import aggregate
-from tallywatch.plans.history import X, added
 from tallywatch.plans.hot import ONLY_BLOCK, Split
 
-STATE = ("n", "mean", "m2", "total", "least", "most")
-
-
-def _m2(n0: str, mean0: str, m0: str, n1: str, mean1: str, m1: str) -> str:
-    """Squared deviations of two parts put together."""
-    apart = f"({mean1} - {mean0})"
-    return f"({m0} + {m1} + {apart} * {apart} * {n0} * {n1} / ({n0} + {n1}))"
+STATE = ("n", *moments.TOTALS)
 
 
 def amounts(tx: DataFrame) -> DataFrame:
     """The state after these transactions alone; combined map-side."""
     return aggregate(
-        tx.where("amount IS NOT NULL"), ["customer_id"],
-        "count(*) AS n", f"avg({X}) AS mean", f"var_pop({X}) * count(*) AS m2", "try_sum(amount) AS total",
-        f"min({X}) AS least", f"max({X}) AS most")
+        moments.measured(tx.where("amount IS NOT NULL").select("customer_id", "amount")), ["customer_id"],
+        "count(*) AS n", *[f"sum({x}) AS {name}" for name, x in moments.TOTALS.items()])
 
 
-def after(before: DataFrame, tx: DataFrame) -> DataFrame:
-    """The state after more transactions."""
-    a, b = ([f"{c} AS {side}_{c}" for c in STATE] for side in ("a", "b"))
-    both = before.selectExpr("customer_id", *a).join(amounts(tx).selectExpr("customer_id", *b), "customer_id", "full")
+def together(states: DataFrame) -> DataFrame:
+    """One state per customer from those of several parts."""
+    return aggregate(states, ["customer_id"], *[f"sum({c}) AS {c}" for c in STATE])
 
-    def merged(together: str, name: str) -> str:
-        return f"CASE WHEN a_n IS NULL THEN b_{name} WHEN b_n IS NULL THEN a_{name} ELSE {together} END AS {name}"
 
-    return both.selectExpr(
-        "customer_id",
-        merged("a_n + b_n", "n"),
-        merged("a_mean + (b_mean - a_mean) * b_n / (a_n + b_n)", "mean"),
-        merged(_m2("a_n", "a_mean", "a_m2", "b_n", "b_mean", "b_m2"), "m2"),
-        merged(added("a_total", "b_total"), "total"),
-        merged("least(a_least, b_least)", "least"),
-        merged("greatest(a_most, b_most)", "most"),
-    )
+def after(before: DataFrame, tx: DataFrame) -> DataFrame:
+    """The state after more transactions."""
+    return together(before.select("customer_id", *STATE).unionByName(amounts(tx)))
 
 
 def with_state(df: DataFrame, state: DataFrame, split: Split | None) -> DataFrame:
-    """Put the state before the ``*_prior`` columns of an ordered history.
+    """Put the state before the totals of an ordered history.
 
     The join runs on the keys the history is already partitioned and sorted by. The
     state of hot customers, at most one row per block, is broadcast instead.
     """
-    named = [f"{c} AS s_{c}" for c in STATE]
+    named = [f"{c} AS _st_{c}" for c in STATE]
     if split is None:
-        joined, s = df.join(state.selectExpr("customer_id", *named), "customer_id", "left"), {c: f"s_{c}" for c in STATE}
+        joined, before = df.join(state.selectExpr("customer_id", *named), "customer_id", "left"), {c: f"_st_{c}" for c in STATE}
     else:
         hot = state.join(F.broadcast(split.hot_customers(df)), "customer_id", "left_semi")
         joined = (
-            df.join(F.broadcast(hot.selectExpr("customer_id", *[f"{c} AS h_{c}" for c in STATE])), "customer_id", "left")
+            df.join(F.broadcast(hot.selectExpr("customer_id", *[f"{c} AS _hot_{c}" for c in STATE])), "customer_id", "left")
             .join(state.selectExpr("customer_id", f"{ONLY_BLOCK} AS block", *named), ["customer_id", "block"], "left")
         )
-        s = {c: f"coalesce(h_{c}, s_{c})" for c in STATE}
-    n0, mean0, m0 = f"coalesce({s['n']}, 0L)", f"coalesce({s['mean']}, 0D)", f"coalesce({s['m2']}, 0D)"
-    n1, mean1 = "n_prior", "coalesce(mean_prior, 0D)"
-    m1 = "coalesce(sd_prior * sd_prior * (n_prior - 1), 0D)"
-    replaced = {
-        "n_prior": f"{n0} + {n1}",
-        "sum_prior": f"CASE WHEN {n0} = 0 THEN sum_prior ELSE {added(s['total'], 'sum_prior')} END",
-        "mean_prior": f"CASE WHEN {n0} = 0 THEN mean_prior ELSE {mean0} + ({mean1} - {mean0}) * {n1} / ({n0} + {n1}) END",
-        "sd_prior": f"CASE WHEN {n0} = 0 THEN sd_prior WHEN {n0} + {n1} < 2 THEN NULL"
-                    f" WHEN least({s['least']}, least_prior) = greatest({s['most']}, most_prior) THEN 0D"
-                    f" ELSE sqrt({_m2(n0, mean0, m0, n1, mean1, m1)} / ({n0} + {n1} - 1)) END",
-        "least_prior": f"least({s['least']}, least_prior)",
-        "most_prior": f"greatest({s['most']}, most_prior)",
-    }
-    return joined.selectExpr(*[f"{replaced[c]} AS {c}" if c in replaced else c for c in df.columns])
+        before = {c: f"_hot_{c}, _st_{c}" for c in STATE}
+    replaced = {(moments.N if c == "n" else c): f"coalesce({old}, 0L)" for c, old in before.items()}
+    return joined.selectExpr(*[f"{c} + {replaced[c]} AS {c}" if c in replaced else c for c in df.columns])

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallywatch.config import HotKeyPolicy, RuleLimits, ScoringPolicy
+from tallywatch.functions import moments
 from tallywatch.functions.columns import cents, missing, whole_minutes
 from tallywatch.operators import checks, quarantine, report, rules
 from tallywatch.plans import curated, evaluate, incremental, scoring, state
@@ -197,10 +198,10 @@ def queries() -> dict[str, Query]:
         "velocity_range_join": _velocity("n_velocity", SPLIT_ALL),
         "rule_velocity_sequential": _velocity("n_velocity_seq"),
         "amount_baseline": _rule_rows(
-            (rules.BASELINE,), "true", "event_id", "n_prior", f"{cents('sum_prior')} AS sum_prior_cents"),
+            (rules.BASELINE,), "true", "event_id", "n_prior", f"{cents(moments.TOTAL)} AS sum_prior_cents"),
         "rule_amount_anomaly": _rule_rows(
             (rules.BASELINE,), rules.unusual_amount(LIMITS),
-            "event_id", "transaction_id", "n_prior", f"round({rules.Z_SCORE}, 3) AS z"),
+            "event_id", "transaction_id", "n_prior", f"round({moments.Z}, 3) AS z"),
         "geo_pairs": _rule_rows(
             (rules.NEIGHBOURS,), rules.arrived(LIMITS), "prev.ingest_seq div 2 AS prev_event_id",
             "event_id AS curr_event_id", "customer_id", "prev.country AS prev_country", "country AS curr_country",
