@@ -1,4 +1,8 @@
-"""The gated daily run: load, check, set aside, then score or alert, and refresh."""
+"""The gated daily run: load, check, set aside, then score or alert, and refresh.
+
+Curated tables are kept up to date, not rebuilt: a run counts its own scores and the scores of the dates it
+replaces, and puts the counts in place of those dates' former ones.
+"""
 
 from __future__ import annotations
 
@@ -6,7 +10,6 @@ import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallywatch import schemas
@@ -16,12 +19,13 @@ from tallywatch.operators import quarantine, report
 from tallywatch.operators.checks import DEFAULT_CHECKS, Check
 from tallywatch.operators.duplicates import repeated_ids
 from tallywatch.operators.rules import DEFAULT_RULES
-from tallywatch.plans import curated, incremental, scoring, state
+from tallywatch.plans import curated, incremental, scoring, states
 from tallywatch.plans.history import split_for
 from tallywatch.session import prepare
-from tallywatch.sources.files import DATE, Tables, read_csv, rejected_csv, typed
+from tallywatch.sources.files import read_csv, rejected_csv, typed
+from tallywatch.sources.tables import DATE, Tables
 
-LOAD, RUN, AS_OF = "load_date", "run_date", "as_of"
+LOAD, RUN = "load_date", "run_date"
 # What a run covers: its load by itself; its load checked by itself but scored after
 # the transactions of earlier loads; or everything loaded so far, anew.
 LOAD_ONLY, AFTER_EARLIER, ALL_LOADS = "load_only", "after_earlier", "all_loads"
@@ -35,6 +39,7 @@ class Settings:
     limits: RuleLimits = RuleLimits()
     hot: HotKeyPolicy = HotKeyPolicy()
     scope: str = LOAD_ONLY
+    snapshot_runs: int = states.SNAPSHOT_RUNS
 
 
 @dataclass(frozen=True)
@@ -70,30 +75,35 @@ def run_day(tables: Tables, rows: DataFrame, run_date: dt.date, now: dt.datetime
     results = report.report(raw, at, settings.checks, repeated).selectExpr("*", f"{at} AS run_ts")
     issues = tables.write(results, "dq_issues", RUN, run_date)
     trusted = quarantine.clean(raw, at, repeated=repeated).drop("load_ts")
-    replaced = _first_date(tables.read_or_none("transactions_clean", RUN, run_date))
+    dates = tables.values("transactions_clean", RUN, run_date, DATE)
     clean = tables.write_clustered(trusted, "transactions_clean", RUN, run_date)
+    states.record(tables, clean, run_date)
     tables.write(quarantine.quarantine(raw, at, settings.checks, repeated), "transactions_quarantined", RUN, run_date)
 
     gate = report.gate(issues).first()
     to_score, since, before = clean, None, None
-    first_new = min((d for d in (replaced, _first_date(clean)) if d), default=None)
-    if settings.scope == AFTER_EARLIER and first_new:
+    dates += tables.values("transactions_clean", RUN, run_date, DATE)
+    if settings.scope == AFTER_EARLIER and dates:
         schema = T.StructType([*clean.schema.fields, T.StructField(RUN, T.DateType())])
         every = tables.read("transactions_clean", schema=schema).where(f"{RUN} <= DATE'{run_date.isoformat()}'").drop(RUN)
-        since, before = _rebuild_states(tables, every, first_new, limits)
+        since = incremental.rescore_from(every, min(dates), limits)
+        before = states.before(tables, run_date, since, settings.snapshot_runs)
         to_score = incremental.with_context(every, since, limits)
 
     scores = None
+    rescored = tables.values("fraud_scores", RUN, run_date, DATE)
     if gate.all_critical_passed:
         split = split_for(to_score, settings.hot, limits)
         scored = scoring.score(to_score, settings.rules, settings.policy, limits, split, before)
         if since:
             scored = scored.where(f"{DATE} >= DATE'{since}'")
-        scores = tables.write(scoring.scores_table(scored, at), "fraud_scores", RUN, run_date)
+        published = scoring.scores_table(scored, at).repartitionByRange(DATE, "ingest_seq")
+        scores = tables.write(published, "fraud_scores", RUN, run_date, by=(DATE,))
     else:  # nothing of an earlier, passed run of this date may stay
-        tables.write(tables.spark.createDataFrame([], schemas.FRAUD_SCORES), "fraud_scores", RUN, run_date)
+        tables.write(tables.spark.createDataFrame([], schemas.FRAUD_SCORES), "fraud_scores", RUN, run_date, by=(DATE,))
+    rescored += tables.values("fraud_scores", RUN, run_date, DATE)
     tables.write(report.alerts(issues).selectExpr("*", f"{at} AS run_ts"), "dq_alerts", RUN, run_date)
-    refresh_curated(tables)
+    refresh_curated(tables, issues, run_date, sorted(set(rescored)))
     return Outcome(gate.all_critical_passed, gate.next_step, issues, clean, scores)
 
 
@@ -104,33 +114,19 @@ def run_csv(tables: Tables, path: str, run_date: dt.date, now: dt.datetime, sett
     return run_day(tables, read_csv(tables.spark, path, multi_line, keep_broken=True), run_date, now, settings)
 
 
-def _first_date(clean: DataFrame | None) -> dt.date | None:
-    return clean.agg(F.min(DATE)).first()[0] if clean is not None and DATE in clean.columns else None
-
-
-def _rebuild_states(tables: Tables, every: DataFrame, first_new: dt.date, limits: RuleLimits) -> tuple[dt.date, DataFrame]:
-    """The first date to rescore and the state before it.
-
-    The state as of a date holds the amounts of all earlier dates. States from that
-    first date on are rebuilt in every run, so late rows and repeated runs come out
-    right, also after a run that was not scored.
-    """
-    since = incremental.rescore_from(every, first_new, limits)
-    before = tables.read_or_none("customer_state", AS_OF, since)
-    if before is None:
-        before = tables.write(state.amounts(every.where(f"{DATE} < DATE'{since}'")), "customer_state", AS_OF, since)
-    last = every.where(f"{DATE} >= DATE'{since}'").agg(F.max(DATE)).first()[0] or since
-    day, known = since, before
-    while day <= last:
-        known = state.after(known, every.where(f"{DATE} = DATE'{day}'"))
-        day += incremental.ONE_DAY
-        known = tables.write(known, "customer_state", AS_OF, day)
-    return since, before
-
-
-def refresh_curated(tables: Tables) -> None:
-    """Rebuild the small tables from whatever results exist."""
-    issues = tables.read_or_empty("dq_issues", schemas.DQ_ISSUES)
-    scores = tables.read_or_empty("fraud_scores", schemas.FRAUD_SCORES)
-    tables.write(curated.health_trend(issues, "to_date(run_ts)").coalesce(1), "dq_health_trend")
-    tables.write(curated.bucket_distribution(curated.current(scores), "to_date(run_ts)").coalesce(1), "fraud_bucket_distribution")
+def refresh_curated(tables: Tables, issues: DataFrame, run_date: dt.date, dates: list[dt.date]) -> None:
+    """Bring the small tables up to date after a run that (re)placed the scores of these transaction dates."""
+    run = f"DATE'{run_date.isoformat()}'"
+    others = tables.read_or_empty("check_counts", schemas.CHECK_COUNTS).where(f"run <> {run}")
+    checks = tables.write(others.unionByName(curated.check_counts(issues, run)).coalesce(1), "check_counts")
+    tables.write(curated.trend_of(checks).coalesce(1), "dq_health_trend")
+
+    counts = tables.read_or_empty("fraud_bucket_counts", schemas.BUCKET_COUNTS)
+    if dates:
+        days = ", ".join(f"DATE'{d.isoformat()}'" for d in dates)
+        stored = T.StructType([*schemas.FRAUD_SCORES.fields, T.StructField(RUN, T.DateType())])
+        scores = tables.read("fraud_scores", schema=stored).where(f"{DATE} IN ({days})").withColumnRenamed(RUN, "run")
+        counts = counts.where(f"{DATE} NOT IN ({days})").unionByName(curated.bucket_counts_by_day(scores))
+    counts = tables.write(counts.coalesce(1), "fraud_bucket_counts")
+    tables.write(curated.distribution_of(counts).coalesce(1), "fraud_bucket_distribution")
+    tables.write(curated.published_kpis(issues, counts).coalesce(1), "published_kpis")

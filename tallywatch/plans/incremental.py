@@ -61,14 +61,18 @@ def with_context(clean: DataFrame, since: dt.date, limits: RuleLimits = RuleLimi
 def rescore_from(clean: DataFrame, first_new: dt.date, limits: RuleLimits = RuleLimits()) -> dt.date:
     """The first date whose flags may change once dates from ``first_new`` on arrive:
     the day before, or earlier while some customer failed without a break all day."""
-    since = first_new - ONE_DAY
+    since, span = first_new - ONE_DAY, 1
     at_least = ONE_DAY // dt.timedelta(minutes=limits.failure_minutes) - 1
-    while True:
-        day = clean.where(f"transaction_date = DATE'{since:%Y-%m-%d}'")
-        unbroken = aggregate(day, ["customer_id"], "count_if(status = 'failed') AS f", "count(*) AS n").where(f"f = n AND n >= {at_least}")
-        if unbroken.isEmpty():
+    while True:  # one day, then the 8, 64, ... days before it: few jobs, however long a customer keeps failing
+        first = since - (span - 1) * ONE_DAY
+        days = clean.where(f"transaction_date BETWEEN DATE'{first:%Y-%m-%d}' AND DATE'{since:%Y-%m-%d}'")
+        unbroken = aggregate(days, ["customer_id", "transaction_date"], "count_if(status = 'failed') AS f", "count(*) AS n")
+        found = {r[0] for r in unbroken.where(f"f = n AND n >= {at_least}").select("transaction_date").distinct().collect()}
+        while since in found:
+            since -= ONE_DAY
+        if since >= first:
             return since
-        since -= ONE_DAY
+        span *= 8
 
 
 def rescore(clean: DataFrame, since: dt.date, state: DataFrame, rules: scoring.Rules = DEFAULT_RULES,

@@ -128,4 +128,4 @@ def scores_table(scores: DataFrame, run_ts: str) -> DataFrame:
     """Scores in the published layout."""
     return scores.selectExpr(
         "transaction_id", "customer_id", "amount", "fraud_risk_score", "risk_bucket", "triggered_rules", "reasons",
-        f"{run_ts} AS run_ts")
+        f"{run_ts} AS run_ts", "ingest_seq", "to_date(transaction_ts) AS transaction_date")

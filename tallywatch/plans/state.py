@@ -23,6 +23,13 @@ def amounts(tx: DataFrame) -> DataFrame:
         "count(*) AS n", *[f"sum({x}) AS {name}" for name, x in moments.TOTALS.items()])
 
 
+def by_day(clean: DataFrame) -> DataFrame:
+    """What each customer adds to its state on each transaction date."""
+    return aggregate(
+        moments.measured(clean.where("amount IS NOT NULL").select("customer_id", "transaction_date", "amount")),
+        ["customer_id", "transaction_date"], "count(*) AS n", *[f"sum({x}) AS {name}" for name, x in moments.TOTALS.items()])
+
+
 def together(states: DataFrame) -> DataFrame:
     """One state per customer from those of several parts."""
     return aggregate(states, ["customer_id"], *[f"sum({c}) AS {c}" for c in STATE])

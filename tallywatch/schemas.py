@@ -52,10 +52,21 @@ FRAUD_SCORES = _schema(
     ("triggered_rules", T.StringType()),
     ("reasons", T.StringType()),
     ("run_ts", T.TimestampType()),
+    ("ingest_seq", T.LongType()),
+    ("transaction_date", T.DateType()),
 )
 
 DQ_HEALTH_TREND = _schema(("run_date", T.DateType()), ("pass_rate", T.DoubleType()))
 
+# What the curated tables are kept up to date from: one row per run, and one per date, day of scoring and bucket.
+CHECK_COUNTS = _schema(
+    ("run", T.DateType()), ("run_date", T.DateType()), ("n_passed", T.LongType()), ("n_checks", T.LongType()),
+)
+BUCKET_COUNTS = _schema(
+    ("transaction_date", T.DateType()), ("run_date", T.DateType()), ("risk_bucket", T.StringType()),
+    ("n", T.LongType()), ("max_score", T.LongType()),
+)
+
 FRAUD_BUCKET_DISTRIBUTION = _schema(
     ("run_date", T.DateType()), ("risk_bucket", T.StringType()), ("n", T.LongType())
 )

@@ -1,16 +1,10 @@
-"""Reading transaction files and keeping the tables of a run.
-
-Tables are Parquet below one root. Each run owns one folder per table
-(``load_date=`` or ``run_date=``) and replaces it as a whole, so a run that is
-repeated after a failure leaves nothing twice and nothing stale.
-"""
+"""Reading and writing transaction files."""
 
 from __future__ import annotations
 
 import datetime as dt
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, types as T
 
 from tallywatch.functions.columns import timestamp
@@ -20,7 +14,6 @@ from tallywatch.schemas import FIELDS, TRANSACTION_TEXT
 # partition above 33 bits for the row in it. More partitions than fit are read together.
 NUMBER_BITS, PARTITIONS = 49, 1 << 16
 FIRST_DAY = "DATE'2000-01-01'"
-DATE = "transaction_date"
 
 
 def load_path(root: str, run_date: dt.date) -> str:
@@ -107,60 +100,5 @@ def typed(rows: DataFrame, run_date: dt.date, load_ts: dt.datetime, wall_clock:
         *columns, *hour, f"{timestamp(load_ts)} AS load_ts", f"{seq} AS ingest_seq")
 
 
-class Tables:
-    """The tables below one root folder."""
-
-    def __init__(self, spark: SparkSession, root: str) -> None:
-        self.spark, self.root = spark, root.rstrip("/")
-
-    def path(self, name: str, key: str = "", value: dt.date | None = None) -> str:
-        return f"{self.root}/{name}" + (f"/{key}={value.isoformat()}" if value else "")
-
-    def read(self, name: str, key: str = "", value: dt.date | None = None, schema: T.StructType | None = None) -> DataFrame:
-        """A table, or one run's folder of it. A dated table may hold no files at all,
-        which only the ``schema`` makes readable."""
-        reader = self.spark.read.schema(schema) if schema else self.spark.read
-        return reader.parquet(self.path(name, key, value))
-
-    def read_or_none(self, name: str, key: str = "", value: dt.date | None = None) -> DataFrame | None:
-        """The table, or None where it does not exist or holds no files."""
-        try:
-            return self.read(name, key, value)
-        except AnalysisException as e:
-            if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-                raise
-            return None
-
-    def read_or_empty(self, name: str, schema: T.StructType) -> DataFrame:
-        found = self.read_or_none(name)
-        return self.spark.createDataFrame([], schema) if found is None else found
-
-    def write(self, df: DataFrame, name: str, key: str = "", value: dt.date | None = None) -> DataFrame:
-        """Replace a table, or one run's folder of it, and read it back."""
-        df.write.mode("overwrite").parquet(self.path(name, key, value))
-        return self.read(name, key, value)
-
-    def write_dated(self, df: DataFrame, name: str, key: str, value: dt.date) -> DataFrame:
-        """One run's folder, split by transaction date: few files for each date, several for a large one."""
-        dated = _with_date(df)
-        order = [c for c in (DATE, "ingest_seq") if c in dated.columns]
-        return self._write_dates(dated.repartitionByRange(*order), name, key, value)
-
-    def write_clustered(self, df: DataFrame, name: str, key: str, value: dt.date) -> DataFrame:
-        """The same, clustered by customer in time order. The ranges are sampled and
-        end in the unique sequence, so a large date or customer spans several files."""
-        order = (DATE, "customer_id", "transaction_ts", "ingest_seq")
-        clustered = _with_date(df).repartitionByRange(*order).sortWithinPartitions(*order)
-        return self._write_dates(clustered, name, key, value)
-
-    def _write_dates(self, df: DataFrame, name: str, key: str, value: dt.date) -> DataFrame:
-        df.write.mode("overwrite").partitionBy(DATE).parquet(self.path(name, key, value))
-        return self.read(name, key, value, df.schema)
-
-
-def _with_date(df: DataFrame) -> DataFrame:
-    return df.selectExpr("*", f"to_date(transaction_ts) AS {DATE}")
-
-
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).option("escape", '"').option("timestampFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS 'UTC'").csv(path)

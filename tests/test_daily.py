@@ -11,9 +11,10 @@ import pytest
 from helpers import NOW
 from tallywatch import schemas
 from tallywatch.operators.checks import DEFAULT_CHECKS, with_thresholds
-from tallywatch.plans import curated, daily
+from tallywatch.plans import curated, daily, scoring
 from tallywatch.sources import synth
-from tallywatch.sources.files import Tables, load_path, read_csv, read_parquet, rejected_csv, typed, write_csv
+from tallywatch.sources.files import load_path, read_csv, read_parquet, rejected_csv, typed, write_csv
+from tallywatch.sources.tables import Tables
 
 DAY = dt.date(2025, 3, 1)
 LOOSE = daily.Settings(checks=with_thresholds(DEFAULT_CHECKS, {c.name: 10.0 for c in DEFAULT_CHECKS}))
@@ -104,7 +105,7 @@ def test_failed_rerun_leaves_no_scores(spark, tmp_path):
     assert daily.run_day(tables, whole.select(*schemas.FIELDS), DAY, NOW).passed
     assert tables.read("fraud_bucket_distribution").selectExpr("sum(n) AS n").first().n == 300
     assert not daily.run_day(tables, bad.select(*schemas.FIELDS), DAY, NOW).passed
-    assert tables.read("fraud_scores").count() == 0 and tables.read("fraud_bucket_distribution").count() == 0
+    assert tables.read_or_empty("fraud_scores", schemas.FRAUD_SCORES).count() == 0 and tables.read("fraud_bucket_distribution").count() == 0
 
 
 def test_rescored_days_count_once(spark, tmp_path):
@@ -115,7 +116,7 @@ def test_rescored_days_count_once(spark, tmp_path):
     daily.run_day(tables, whole, DAY, NOW, settings)
     daily.run_day(tables, later, next_day, NOW + dt.timedelta(days=1), settings)
     assert tables.read("fraud_bucket_distribution").selectExpr("sum(n) AS n").first().n == 80
-    kpis = curated.published_kpis(tables.read("dq_issues"), tables.read("fraud_scores")).first()
+    kpis = tables.read("published_kpis").first()
     assert (kpis.transactions_scored, kpis.critical_total) == (80, curated.latest(tables.read("dq_issues")).where("severity = 'critical'").count())
     # An old date again: later loads stay out of its folder.
     daily.run_day(tables, whole, DAY, NOW, settings)
@@ -215,3 +216,80 @@ def test_csv_sink_replaces(spark, tmp_path):
     parquet = str(tmp_path / "p")
     _synthetic(spark, 10)[0].write.parquet(parquet)
     assert read_parquet(spark, parquet).columns == list(schemas.FIELDS)
+
+
+def _recounted(tables):
+    """The curated tables made anew from all that is stored."""
+    scores = curated.current(tables.read("fraud_scores").withColumnRenamed("run_date", "run"))
+    buckets = curated.bucket_distribution(scores, "to_date(run_ts)")
+    issues = tables.read("dq_issues")
+    return ({tuple(r) for r in buckets.collect()}, {tuple(r) for r in curated.health_trend(issues, "to_date(run_ts)").collect()},
+            tuple(curated.kpis(curated.latest(issues), scores).first()))
+
+
+def _stored(tables):
+    return ({tuple(r) for r in tables.read("fraud_bucket_distribution").collect()}, {tuple(r) for r in tables.read("dq_health_trend").collect()},
+            tuple(tables.read("published_kpis").first()))
+
+
+def test_curated_tables_are_kept_up_to_date(spark, tmp_path):
+    """Rows without an id, with an empty one, and ids that loads share: each row counts once, as recomputing counts it."""
+    tables, settings = Tables(spark, str(tmp_path)), replace(LOOSE, scope=daily.AFTER_EARLIER)
+
+    def load(day, n, seed, lost):
+        rows = _synthetic(spark, n, seed)[0].select(*schemas.FIELDS)
+        ids = f"CASE WHEN pmod(hash(transaction_id), 5) = 0 THEN NULL WHEN pmod(hash(transaction_id), 5) = 1 THEN '' ELSE concat('{day}', transaction_id) END"
+        return rows.selectExpr(*[f"{ids if lost else f} AS {f}" if f == "transaction_id" else f for f in schemas.FIELDS])
+
+    checks = [replace(c, threshold_pct=100.0) for c in DEFAULT_CHECKS]
+    settings = replace(settings, checks=tuple(checks))
+    for day, n, seed, lost in ((0, 60, 1, True), (1, 50, 2, True), (2, 40, 3, False), (1, 45, 4, True), (2, 40, 3, False)):
+        daily.run_day(tables, load(day, n, seed, lost), DAY + dt.timedelta(days=day), NOW + dt.timedelta(days=day, hours=seed), settings)
+    stored = _stored(tables)
+    assert stored == _recounted(tables)
+    loads = [tables.read("transactions_clean", daily.RUN, DAY + dt.timedelta(days=d)).count() for d in range(3)]
+    assert sum(r[2] for r in stored[0]) >= sum(loads) > 100
+    without = curated.current(tables.read("fraud_scores")).where("transaction_id IS NULL OR transaction_id = ''").count()
+    assert without > 30
+
+
+def test_late_rows_cost_no_state_for_each_day(spark, tmp_path):
+    """A row of 1970 comes late; states come from snapshots and added days, and scores equal scoring everything."""
+    tables = Tables(spark, str(tmp_path))
+    settings = replace(LOOSE, scope=daily.AFTER_EARLIER, snapshot_runs=2, checks=tuple(replace(c, threshold_pct=100.0) for c in DEFAULT_CHECKS))
+    rows = _synthetic(spark, 240, 5)[0].select(*schemas.FIELDS)
+    rows = rows.selectExpr(*[f"concat('CUST', pmod(hash(transaction_id), 4)) AS {f}" if f == "customer_id" else f for f in schemas.FIELDS]).cache()
+    last = NOW + dt.timedelta(days=9)
+
+    def load(day):
+        some = rows.where(f"pmod(xxhash64(transaction_id), 6) = {day}")
+        when = f"transaction_ts + INTERVAL {day} DAY"
+        if day == 3:
+            when = f"CASE WHEN pmod(hash(transaction_id), 7) = 0 THEN TIMESTAMP'1970-01-01 00:00:09' ELSE {when} END"
+        return some.selectExpr(*[f"{when} AS {f}" if f == "transaction_ts" else f for f in schemas.FIELDS])
+
+    for day in (0, 1, 2, 3, 4, 5, 4, 5):
+        outcome = daily.run_day(tables, load(day), DAY + dt.timedelta(days=day), last, settings)
+    shown = ("ingest_seq", "fraud_risk_score", "triggered_rules", "reasons")
+    whole = tables.read("transactions_clean").drop("run_date")
+    want = {r[0]: tuple(r) for r in scoring.score(whole).select(*shown).collect()}
+    got = {r[0]: tuple(r) for r in outcome.scores.select(*shown).collect()}
+    assert got and got == {k: want[k] for k in got}
+    assert any("amount_anomaly" in r[2] for r in got.values()) or any(r[2] for r in got.values())
+    snapshots = tables.days("customer_state", "run_date")
+    assert 1 <= len(snapshots) <= 3
+    assert _stored(tables)[0] == _recounted(tables)[0]
+
+
+def test_a_lost_write_leaves_the_former_rows(spark, tmp_path):
+    tables = Tables(spark, str(tmp_path))
+    first = spark.range(10)
+    tables.write(first, "numbers")
+    failing = spark.range(0, 100, 1, 8).selectExpr("CASE WHEN id = 99 THEN raise_error('lost') ELSE id END AS id").selectExpr("CAST(id AS BIGINT) AS id")
+    with pytest.raises(Exception, match="lost"):
+        tables.write(failing, "numbers")
+    assert tables.read("numbers").count() == 10
+    assert tables.write(tables.read("numbers").where("id < 5"), "numbers").count() == 5
+    assert tables.write(tables.read("numbers").where("id < 2"), "numbers").count() == 2
+    kept = sorted(p.name for p in (tmp_path / "numbers").iterdir() if p.is_dir())
+    assert kept == ["v=1", "v=2"]

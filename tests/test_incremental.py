@@ -15,7 +15,7 @@ from tallywatch.operators.checks import DEFAULT_CHECKS, Check, with_thresholds
 from tallywatch.operators.rules import DEFAULT_RULES, WINDOWED_RULES
 from tallywatch.plans import daily, incremental, scoring, state
 from tallywatch.plans.history import split_for
-from tallywatch.sources.files import Tables
+from tallywatch.sources.tables import Tables
 
 D = dt.date(2025, 3, 3)
 TINY = HotKeyPolicy(min_rows=3, max_blocks=100_000, samples_per_block=1)
