@@ -77,6 +77,7 @@ class HotKeyPolicy:
     samples_per_block: int = 16
 
 
-# An id with more copies than this is hot. There are at most rows / HOT_COPIES such
-# ids, so their list stays small enough to broadcast.
+# An id with more copies than this, and more than one in HOT_IDS of all repeated copies, is hot: fewer than HOT_IDS ids
+# are, whatever the table's size, so their list may be broadcast.
 HOT_COPIES = 1_000_000
+HOT_IDS = 10_000

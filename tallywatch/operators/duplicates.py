@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallywatch.config import HOT_COPIES
+from tallywatch.config import HOT_COPIES, HOT_IDS
 from tallywatch.functions.columns import missing
 
 ID = "transaction_id"
@@ -20,12 +20,14 @@ def copies_per_id(tx: DataFrame, *extra: str) -> DataFrame:
 def mark(tx: DataFrame, ids: DataFrame, name: str, hot_copies: int = HOT_COPIES) -> DataFrame:
     """Add the boolean ``name``: does the row's id appear in ``ids`` (id, copies)?
 
-    Ids with very many copies are few (at most rows / hot_copies), so their list is
-    broadcast. Their rows, and rows without an id, then join under a key of their own
-    instead of the id, which keeps any one id from filling one task.
+    Ids with very many copies are fewer than HOT_IDS, so their list is broadcast. Their
+    rows, and rows without an id, then join under a key of their own instead of the id,
+    which keeps any one id from filling one task.
     """
-    hot = ids.where(f"copies > {hot_copies}").selectExpr(ID, "true AS _hot")
-    cold = ids.where(f"copies <= {hot_copies}").selectExpr(f"{ID} AS _key", "true AS _cold")
+    share = ids.agg(F.expr(f"coalesce(sum(copies), 0L) div {HOT_IDS}")).scalar()
+    is_hot = F.col("copies") > F.greatest(F.lit(hot_copies), share)
+    hot = ids.where(is_hot).selectExpr(ID, "true AS _hot")
+    cold = ids.where(~is_hot).selectExpr(f"{ID} AS _key", "true AS _cold")
     key = f"CASE WHEN {HAS_ID} AND _hot IS NULL THEN {ID} ELSE concat('row ', ingest_seq) END"
     return (
         tx.join(F.broadcast(hot), ID, "left")

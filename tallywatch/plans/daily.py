@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from tallywatch import schemas
 from tallywatch.config import HotKeyPolicy, RuleLimits, ScoringPolicy
 from tallywatch.functions.columns import timestamp
-from tallywatch.operators import quarantine, report
+from tallywatch.operators import known_ids, quarantine, report
 from tallywatch.operators.checks import DEFAULT_CHECKS, Check
 from tallywatch.operators.duplicates import repeated_ids
 from tallywatch.operators.rules import DEFAULT_RULES
@@ -27,7 +27,8 @@ from tallywatch.sources.tables import DATE, Tables
 
 LOAD, RUN = "load_date", "run_date"
 # What a run covers: its load by itself; its load checked by itself but scored after
-# the transactions of earlier loads; or everything loaded so far, anew.
+# the transactions of earlier loads; or everything loaded so far, anew. In each of them a
+# row whose id an earlier load holds counts as repeated.
 LOAD_ONLY, AFTER_EARLIER, ALL_LOADS = "load_only", "after_earlier", "all_loads"
 
 
@@ -40,6 +41,7 @@ class Settings:
     hot: HotKeyPolicy = HotKeyPolicy()
     scope: str = LOAD_ONLY
     snapshot_runs: int = states.SNAPSHOT_RUNS
+    id_index: known_ids.IdIndex = known_ids.IdIndex()
 
 
 @dataclass(frozen=True)
@@ -63,15 +65,20 @@ def run_day(tables: Tables, rows: DataFrame, run_date: dt.date, now: dt.datetime
     prepare(tables.spark)
     at = timestamp(now)
     limits = settings.limits
-    load = typed(rows, run_date, now, limits.wall_clock_hours)
-    raw = tables.write_dated(load, "transactions_raw", LOAD, run_date)
+    load = tables.write_dated(typed(rows, run_date, now, limits.wall_clock_hours), "transactions_raw", LOAD, run_date)
+    raw = load
     if settings.scope == ALL_LOADS:
         schema = T.StructType([*raw.schema.fields, T.StructField(LOAD, T.DateType())])
         raw = tables.read("transactions_raw", schema=schema).where(f"{LOAD} <= DATE'{run_date.isoformat()}'").drop(LOAD)
     raw = raw.drop(DATE)
 
+    ids = known_ids.record(tables, load, run_date, settings.id_index)
+    if settings.scope == ALL_LOADS:
+        twice = repeated_ids(raw)
+    else:  # repeated in the load, or in it and an earlier one
+        twice = ids.where("copies > 1").unionByName(known_ids.seen_before(tables, ids.where("copies = 1"), run_date, settings.id_index))
     # Written once: then their real size decides how they are joined.
-    repeated = tables.write(repeated_ids(raw), "repeated_ids", RUN, run_date)
+    repeated = tables.write(twice, "repeated_ids", RUN, run_date)
     results = report.report(raw, at, settings.checks, repeated).selectExpr("*", f"{at} AS run_ts")
     issues = tables.write(results, "dq_issues", RUN, run_date)
     trusted = quarantine.clean(raw, at, repeated=repeated).drop("load_ts")

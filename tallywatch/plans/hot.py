@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallywatch.config import HotKeyPolicy
+from tallywatch.operators.heavy import heavy_keys
 
 
 # The block of a customer that is not split: any negative number will do, but it must
@@ -80,10 +81,7 @@ def find_split(rows: DataFrame, to_entries: Callable[[DataFrame], DataFrame], po
     if total <= policy.min_rows:
         return None
     limit = max(policy.min_rows, -(-total // policy.max_blocks))
-    hot = (
-        rows.where("customer_id IS NOT NULL").groupBy("customer_id")
-        .agg(F.expr("count(*) AS _n")).where(f"_n > {limit}").select("customer_id")
-    )
+    hot = heavy_keys(rows, "customer_id", -(-total // limit), total).where(f"n > {limit}").select("customer_id")
     every = max(1, limit // policy.samples_per_block)
     per_block = max(1, limit // every)
     points = (
