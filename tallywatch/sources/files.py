@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import csv
 import datetime as dt
+import io
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import functions as F
 
-from tallywatch.functions.columns import timestamp
+from tallywatch.functions.columns import quoted, timestamp
 from tallywatch.schemas import FIELDS, TRANSACTION_TEXT
+from tallywatch.sources.csv_records import records
 
 # Ingest sequence: day of the load above Spark's own row number, which holds the input
 # partition above 33 bits for the row in it. More partitions than fit are read together.
@@ -21,33 +25,16 @@ def load_path(root: str, run_date: dt.date) -> str:
 
 
 CORRUPT = "_corrupt_record"
+# Different headers that the files of one load may have.
+MOST_HEADERS = 200
 
 
-def _header(spark: SparkSession, file, multi_line: bool) -> str | None:
-    """The header of one file as it is written, None without one. ``file`` is a path of Hadoop's."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(file)
-    stream = file.getFileSystem(conf).open(file)
-    lines = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(codec.createInputStream(stream) if codec else stream, "UTF-8"))
-    try:
-        line = header = lines.readLine()
-        while line is not None and (not header.strip() or multi_line and header.count('"') % 2):
-            line = lines.readLine()
-            header = header if line is None else f"{header}\n{line}" if header.strip() else line
-        return header if header and header.strip() else None
-    finally:
-        lines.close()
-
-
-def _same_header(spark: SparkSession, path: str, multi_line: bool) -> list[str | list[str]]:
-    """The files below a path, grouped by their headers; the path itself where there is one group."""
-    jvm, groups = spark._jvm, {}
-    for url in spark.read.text(path).inputFiles():
-        file = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(url))
-        header = _header(spark, file, multi_line)
-        if header is not None:
-            groups.setdefault(header, []).append(file.toString())
-    return [groups[h] for h in sorted(groups)] if len(groups) > 1 else [path]
+def _headers(records: DataFrame) -> DataFrame:
+    """file, header, and the place (at) of the header's record: the first of each file."""
+    first = F.min_by(F.struct("record", "at"), F.struct("block", "at"))
+    # The first record that isn't blank starts in a file's first split, but for files that begin with many blank lines.
+    return records.groupBy("file").agg(first.alias("first")).selectExpr(
+        "file", "regexp_replace(first.record, '^\\uFEFF', '') AS header", "first.at AS header_at")
 
 
 def csv_rows(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
@@ -55,16 +42,30 @@ def csv_rows(spark: SparkSession, path: str, multi_line: bool = True) -> DataFra
 
     Columns may stand in any order, in each file its own; further ones are ignored and
     missing ones are NULL; quotes double inside quoted fields. A line with more or fewer
-    fields than the header is broken. ``multi_line`` allows line feeds in quoted fields,
-    but a file is then read by one task; without it large files are split.
+    fields than the header is broken. ``multi_line`` allows line feeds in quoted fields;
+    large files are split either way. Headers are found by the executors; the driver
+    sees the different ones, at most MOST_HEADERS.
     """
-    options = {"header": True, "escape": '"', "multiLine": multi_line}
+    found = records(spark, path, multi_line)
+    headers = _headers(found)
+    kinds = [r.header for r in headers.select("header").distinct().orderBy("header").limit(MOST_HEADERS + 1).collect()]
+    if len(kinds) > MOST_HEADERS:
+        raise ValueError(f"more than {MOST_HEADERS} different headers below {path}")
+    # One row a file: Spark sees its size when it joins.
+    rows = found.join(headers, "file").where("NOT at <=> header_at")
+    options = {"escape": '"', "multiLine": "true", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    listed = ", ".join(f"'{k}', {quoted(v)}" for k, v in options.items())
     read = []
-    for files in _same_header(spark, path, multi_line):
-        names = spark.read.options(**options).csv(files).columns
-        schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, CORRUPT]])
-        rows = spark.read.options(**options, columnNameOfCorruptRecord=CORRUPT, mode="PERMISSIVE").schema(schema).csv(files)
-        read.append(rows.selectExpr(*[f if f in names else f"CAST(NULL AS STRING) AS {f}" for f in FIELDS], CORRUPT))
+    for kind in kinds:
+        names = next(csv.reader(io.StringIO(kind, newline=""), doublequote=True))
+        schema = ", ".join([*(f"_{i} STRING" for i in range(len(names))), f"{CORRUPT} STRING"])
+        parsed = rows.where(F.col("header") == kind).selectExpr(f"from_csv(record, {quoted(schema)}, map({listed})) AS r")
+        places = {n.lower(): i for i, n in reversed(list(enumerate(names)))}
+        read.append(parsed.selectExpr(
+            *[f"r._{places[f]} AS {f}" if f in places else f"CAST(NULL AS STRING) AS {f}" for f in FIELDS], f"r.{CORRUPT} AS {CORRUPT}"))
+    if not read:
+        nothing = T.StructType([*TRANSACTION_TEXT.fields, T.StructField(CORRUPT, T.StringType())])
+        return spark.createDataFrame([], nothing)
     return reduce(DataFrame.unionByName, read)
 
 
