@@ -17,7 +17,7 @@ from tallywatch.plans.history import split_for
 from tallywatch.plans.hot import Split
 from tallywatch.schemas import FIELDS
 from tallywatch.session import prepare
-from tallywatch.sources import events, synth
+from tallywatch.sources import events, injection, synth
 from tallywatch.sources.events import NOW
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -158,6 +158,18 @@ def _label_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fraud.unionByName(defects)
 
 
+def _pattern_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many transactions of each injected pattern its own rule flags, and how well Medium and High tell all of them."""
+    clean = _clean(spark, sf_dir)
+    drawn = injection.injected(clean)
+    labels = drawn.select("ingest_seq", "pattern")
+    whole = clean.unionByName(drawn.drop("pattern"))
+    scores = scoring.score(whole, limits=LIMITS, split=split_for(whole, None, LIMITS, at_most=30 * events.events(spark, sf_dir).count()))
+    patterns = {name: (f"contains(triggered_rules, '{name}')", f"pattern = '{name}'") for name in injection.PATTERNS}
+    return evaluate.label_eval(scores.join(labels, "ingest_seq", "left"), {
+        **patterns, "any_medium_or_high": ("risk_bucket <> 'Low'", "pattern IS NOT NULL")})
+
+
 def _synth(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As many synthetic transactions as there are events."""
     numbers = events.events(prepare(spark), sf_dir).selectExpr("event_id + 1 AS n")
@@ -239,6 +251,7 @@ def queries() -> dict[str, Query]:
         "dashboard_kpis": _kpis,
         "gated_scores": _gated_scores,
         "label_eval": _label_eval,
+        "pattern_eval": _pattern_eval,
         "synth_transactions": lambda spark, sf_dir: _synth(spark, sf_dir).selectExpr(*_shown(*FIELDS)),
         "synth_defects": lambda spark, sf_dir: synth.with_defects(_synth(spark, sf_dir), events.AS_OF).selectExpr(
             *_shown(*FIELDS)),

@@ -106,6 +106,32 @@ class Tables:
         for lost in self._listed(f"{path}/{STAGED}*"):
             fs.delete(self._hadoop(lost)[0], True)
 
+    def compact(self, name: str, key: str, value: dt.date, order: tuple[str, ...], target_bytes: int = 128 << 20) -> bool:
+        """Rewrite a run's folder into files of about ``target_bytes``, sorted, where it has more files than that takes: at
+        most one more for each date. The former files stay readable until the new ones are committed. Was there anything to do?
+        """
+        size = files = 0
+        for folder in self.versions(name, key, value).values():
+            p, fs = self._hadoop(folder)
+            summary = fs.getContentSummary(p)
+            size, files = size + summary.getLength(), files + sum(1 for _ in self._files(p, fs))
+        wanted = max(1, -(-size // target_bytes))
+        dates = self.values(name, key, value, DATE)
+        if files <= wanted + len(dates):
+            return False
+        rows = self.read(name, key, value)
+        sorted_rows = rows.repartitionByRange(wanted, *order).sortWithinPartitions(*order)
+        self.write(sorted_rows, name, key, value, by=(DATE,) if dates else ())
+        return True
+
+    @staticmethod
+    def _files(path, fs):
+        found = fs.listFiles(path, True)
+        while found.hasNext():
+            name = found.next().getPath().getName()
+            if name.startswith("part-"):
+                yield name
+
     def write_dated(self, df: DataFrame, name: str, key: str, value: dt.date) -> DataFrame:
         """One run's folder, split by transaction date: few files for each date, several for a large one."""
         dated = _with_date(df)
