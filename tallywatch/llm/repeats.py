@@ -32,7 +32,7 @@ from tallywatch.llm.shingles import chunked, powers
 LENGTH, GRAM, STOP = 50, 16, 0xFF
 SPAN = LENGTH - GRAM + 1
 #: Text bytes behind one part of the segment hashes, segments in one index, and segments of a pick that meet in one.
-PART_BYTES, INDEX_SEGMENTS, HOT = 16 << 20, 20_000, 4096
+PART_BYTES, INDEX_SEGMENTS, HOT = 10 << 20, 20_000, 4096
 _NO_ID = (1 << 63) - 1
 _FIELDS = (("pick", "<u4"), ("body", "<i8"), ("whole", "<u8"), ("doc", "<i8"), ("start", "<i4"), ("run", "u1"))
 

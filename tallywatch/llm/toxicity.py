@@ -45,8 +45,8 @@ OVERLAP = LETTERS // 2
 EPOCHS, STEP, DECAY = 80, 0.5, 1e-4
 #: Sampled texts that a word must stand in to teach something, and the largest logarithm of a word's weight in the mean.
 LEAST, LOUD = 5, 8.0
-#: Words whose margin a worker keeps, words hashed at once, and the unit in which they are added up.
-KEPT, AT_ONCE, UNIT = 400_000, 20_000, 1 << 20
+#: Words whose margin a worker keeps, words hashed at once, characters of texts scored at once, and the unit in which words are added up.
+KEPT, AT_ONCE, CHARACTERS, UNIT = 200_000, 20_000, 1 << 20, 1 << 20
 
 
 def buckets_of(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -110,6 +110,16 @@ class SubwordSoftmax:
             self._sums = np.concatenate([self._sums, np.rint(np.stack([margin * weight, weight], axis=1) * UNIT).astype(np.int64)])
 
     def scores(self, texts: list[str]) -> np.ndarray:
+        """Scores of the texts, some of them at a time."""
+        sizes = np.cumsum([len(t) for t in texts])
+        found, done = [np.zeros(0)], 0
+        while done < len(texts):
+            end = max(done + 1, int(np.searchsorted(sizes, (sizes[done - 1] if done else 0) + CHARACTERS, "right")))
+            found.append(self._scores(texts[done:end]))
+            done = end
+        return np.concatenate(found)
+
+    def _scores(self, texts: list[str]) -> np.ndarray:
         bags = [words_of(t) for t in texts]
         words = list(chain.from_iterable(bags))
         new = [w for w in dict.fromkeys(words) if w not in self._known]
@@ -120,7 +130,7 @@ class SubwordSoftmax:
         index = np.fromiter(map(self._known.__getitem__, words), np.int64, len(words))
         ends = np.cumsum([len(b) for b in bags], dtype=np.int64)
         total = np.concatenate([np.zeros((1, 2), np.int64), np.cumsum(self._sums[index], axis=0)])
-        odds, weights = (total[ends] - total[ends - [len(b) for b in bags]]).T if texts else np.zeros((2, 0))
+        odds, weights = (total[ends] - total[ends - [len(b) for b in bags]]).T
         margin = self.bias + odds / np.maximum(weights, 1)
         return 1 / (1 + np.exp(-np.clip(margin, -500.0, 500.0)))
 

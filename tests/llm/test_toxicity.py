@@ -97,8 +97,10 @@ def test_scores_are_the_same_in_any_batch(monkeypatch):
     want = model.scores(texts).tolist()
     monkeypatch.setattr(t, "KEPT", 50)
     monkeypatch.setattr(t, "AT_ONCE", 7)
+    monkeypatch.setattr(t, "CHARACTERS", 900)
     again = t.SubwordSoftmax(model.margins, model.bias)
     assert [again.score(x) for x in reversed(texts)][::-1] == want
+    assert t.SubwordSoftmax(model.margins, model.bias).scores(texts).tolist() == want
     assert again.scores([]).tolist() == []
 
 
