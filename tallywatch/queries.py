@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from tallywatch.config import HotKeyPolicy, RuleLimits, ScoringPolicy
 from tallywatch.functions import moments
-from tallywatch.functions.columns import cents, missing, whole_minutes
-from tallywatch.operators import checks, quarantine, report, rules
+from tallywatch.functions.columns import MINUTE_US, cents, missing, whole_minutes
+from tallywatch.operators import checks, quarantine, range_counts, report, rules
 from tallywatch.plans import curated, evaluate, incremental, scoring, state
 from tallywatch.plans.history import split_for
 from tallywatch.plans.hot import Split
@@ -66,10 +66,10 @@ def _from_raw(build: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: build(_raw(spark, sf_dir))
 
 
-def _rule_rows(needs: tuple[str, ...], condition: str, *shown: str, policy: HotKeyPolicy | None = None) -> Query:
+def _rule_rows(needs: tuple[str, ...], condition: str, *shown: str) -> Query:
     """Rows of a rule's history that meet a condition."""
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        split = _split(spark, sf_dir, policy) if needs else None
+        split = _split(spark, sf_dir) if needs else None
         return scoring.features(_clean(spark, sf_dir), set(needs), LIMITS, split).where(condition).selectExpr(*shown)
 
     return query
@@ -176,9 +176,14 @@ def _synth(spark: SparkSession, sf_dir: str) -> DataFrame:
     return synth.transactions(numbers, events.AS_OF)
 
 
-def _velocity(count: str, policy: HotKeyPolicy | None = None) -> Query:
-    return _rule_rows((rules.VELOCITY,), f"{count} > {LIMITS.velocity_over}", "event_id", "transaction_id",
-                      f"{count} AS n", policy=policy)
+def _velocity(count: str) -> Query:
+    return _rule_rows((rules.VELOCITY,), f"{count} > {LIMITS.velocity_over}", "event_id", "transaction_id", f"{count} AS n")
+
+
+def _velocity_range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    timed = _clean(spark, sf_dir).selectExpr("event_id", "transaction_id", "customer_id", "unix_micros(transaction_ts) AS at")
+    found = range_counts.over(timed, "customer_id", "at", LIMITS.velocity_minutes * MINUTE_US, LIMITS.velocity_over)
+    return found.select("event_id", "transaction_id", "n")
 
 
 def queries() -> dict[str, Query]:
@@ -207,7 +212,7 @@ def queries() -> dict[str, Query]:
         "transactions_clean": lambda spark, sf_dir: _rows(_clean(spark, sf_dir)),
         "transactions_clean_by_id": _from_raw(lambda raw: _rows(quarantine.clean_by_id(raw, NOW))),
         "rule_velocity": _velocity("n_velocity"),
-        "velocity_range_join": _velocity("n_velocity", SPLIT_ALL),
+        "velocity_range_join": _velocity_range_join,
         "rule_velocity_sequential": _velocity("n_velocity_seq"),
         "amount_baseline": _rule_rows(
             (rules.BASELINE,), "true", "event_id", "n_prior", f"{cents(moments.TOTAL)} AS sum_prior_cents"),
