@@ -14,16 +14,20 @@ SCHEMA = "vec_id long, embedding array<float>, label int, shard string, score st
 
 
 def brute(rows, k=5, every=50):
-    best = {}
+    kept = []
     for i, v in rows:
         if i is None or v is None or any(x is None or not math.isfinite(x) for x in v):
             continue
-        v = tuple(float(np.float32(x)) for x in v)
-        best[i] = min(best.get(i, v), v)
-    ints = {i: [math.floor(256 * x) for x in v] for i, v in best.items()}
+        kept.append((i, tuple(float(np.float32(x)) for x in v)))
+    asking = {}
+    for i, v in kept:
+        asking[i] = min(asking.get(i, v), v)
+    ints = lambda v: [math.floor(256 * x) for x in v]
+    kept = [(i, ints(v)) for i, v in kept]
+    asking = {i: ints(v) for i, v in asking.items() if i % every == 0}
     out = []
-    for q in (i for i in ints if i % every == 0):
-        scores = sorted((-max(min(sum(a * b for a, b in zip(ints[q], ints[c])), 2**63 - 1), 1 - 2**63), c) for c in ints if c != q)
+    for q, own in asking.items():
+        scores = sorted((-max(min(sum(a * b for a, b in zip(own, v)), 2**63 - 1), 1 - 2**63), c) for c, v in kept if c != q)
         out += [(q, n + 1, c, -s) for n, (s, c) in enumerate(scores[:k])]
     return sorted(out)
 
@@ -36,7 +40,7 @@ def test_equals_brute_force_with_ties_and_odd_rows(spark, monkeypatch, seed):
     common = [rnd.uniform(-1, 1) for _ in range(8)]
     rows = [(i, common if rnd.random() < 0.4 else [rnd.uniform(-1, 1) for _ in range(8)]) for i in range(700)]
     rows += [(None, common), (50, None), (701, [None] * 8), (702, [math.inf] + common[1:]), (703, [math.nan] * 8), (704, [0.5]), (705, []),
-             (100, common), (100, common), (750, [1e30] * 8), (751, [-1e30] * 8)]
+             (100, common), (100, common[::-1]), (33, common[::-1]), (33, common), (33, common), (750, [1e30] * 8), (751, [-1e30] * 8)]
     df = ready(spark).createDataFrame([(i, v, 0, "x", "y") for i, v in rows], SCHEMA)
     assert sorted(collected(t.top_k(df))) == brute(rows)
 
