@@ -10,8 +10,8 @@ confirmed on the full sets. Components follow from the confirmed links.
 
 A pair at the threshold is missed with a chance below 3.1e-6 (similarity 0.8) or 1e-8 (0.85): 3.04e-6 or 7.1e-9 that
 none of 32 bands of 5 registers is equal, and 2.0e-9 or 2.9e-9 that its estimate is ERRORS below the threshold. Null texts count as empty; documents without words, or without an id, are linked with nothing and are
-components of their own. Repeated rows are equal sets; different texts under one id share its component, and the
-smallest of them is confirmed against others. An empty table gives no rows.
+components of their own. Repeated rows are equal sets. Rows that share an id are documents of their own: each text is linked by
+itself. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -230,14 +230,29 @@ def _cross_links(members: DataFrame, labels: DataFrame, classes: DataFrame, bodi
     return groups.mapInArrow(meet, "u long, v long").distinct()
 
 
+def _named(classes: DataFrame) -> DataFrame:
+    """Adds id, a number of each class of its own: its smallest document, but for further classes of that document a
+    number above all ids (below 2^62)."""
+    shared = saved(classes.groupBy("doc").agg(F.count("*").alias("classes"), F.min(F.struct("a", "b")).alias("own")).where("classes > 1"))
+    named = F.expr("CASE WHEN own IS NULL OR own = struct(a, b) THEN doc ELSE 4611686018427387904L + (a & 4611686018427387903L) END")
+    return saved(classes.join(shared, "doc", "left").withColumn("id", named).drop("classes", "own"))
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row; links from a Jaccard similarity of percent / 100."""
+    return grouped(docs, k, percent).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def grouped(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """The same, with body (hash of the text) and component (a number of the row's own component, also where two components
+    have the same smallest id; null for rows that are linked with nothing by definition)."""
     spark, threshold = docs.sparkSession, percent / 100
     rows = saved(sketches(docs, k))
     classes = saved(
         rows.where("n > 0 AND doc_id IS NOT NULL").groupBy("a", "b")
         .agg(F.min(F.struct("doc_id", "body")).alias("first"), F.max("n").alias("n"), F.min("registers").alias("registers"))
-        .select("a", "b", F.col("first.doc_id").alias("id"), F.col("first.body").alias("body"), "n", "registers"))
+        .select("a", "b", F.col("first.doc_id").alias("doc"), F.col("first.body").alias("body"), "n", "registers"))
+    classes = _named(classes)
     bands = classes.select("id", "n", F.posexplode(F.transform(
         F.sequence(F.lit(0), F.lit(BANDS - 1)),
         lambda i: F.xxhash64(i, F.substring("registers", i * 2 * ROWS + 1, F.lit(2 * ROWS))))).alias("band", "key"))
@@ -252,9 +267,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     )
     held = [classes.select(F.col("id").alias(x), F.col("registers").alias(f"registers_{x}")) for x in "uv"]
     met = saved(_likely(met.join(held[1], "v").join(held[0], "u"), threshold))
-    asked = members.select("id").distinct().join(classes.select("id", "body"), "id")
+    asked = members.select("id").distinct().join(classes.select("id", "doc", "body"), "id")
     bodies = saved(
-        _bodies(docs).withColumnRenamed("doc_id", "id").join(asked, ["id", "body"]).groupBy("id").agg(F.min("text").alias("text")))
+        _bodies(docs).withColumnRenamed("doc_id", "doc").join(asked, ["doc", "body"]).groupBy("id").agg(F.min("text").alias("text")))
     # First each member and its chief centre, then centres of other components, then members of other components.
     chief = met.groupBy("v").agg(F.max_by("u", F.struct("meets", -F.col("u"))).alias("u")).select("u", "v")
     links = saved(_confirmed(chief, bodies, k, percent))
@@ -262,9 +277,12 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     links = links.union(saved(_confirmed(_apart(met.select("u", "v"), labels), bodies, k, percent)))
     released(spark)
     links = links.union(saved(_cross_links(members, components(links), classes, bodies, k, percent)))
-    found = classes.join(components(links), "id", "left").select("a", "b", F.coalesce("component", "id").alias("component"))
+    found = classes.join(components(links), "id", "left").select("a", "b", "id", "doc", F.coalesce("component", "id").alias("component"))
+    # Classes named otherwise than by their document: it may be the smallest that is reachable.
+    others = saved(found.where("id <> doc").groupBy("component").agg(F.min("doc").alias("smallest")))
+    found = found.join(others, "component", "left").select("a", "b", "component", F.least("component", "smallest").alias("component_id"))
     return (
-        rows.select("doc_id", "n", F.when(F.expr("n > 0 AND doc_id IS NOT NULL"), F.col("a")).alias("a"), "b").join(found, ["a", "b"], "left")
-        .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
+        rows.select("doc_id", "body", "n", F.when(F.expr("n > 0 AND doc_id IS NOT NULL"), F.col("a")).alias("a"), "b").join(found, ["a", "b"], "left")
+        .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), "body", "component")
         .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
     )

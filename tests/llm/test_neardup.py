@@ -20,23 +20,34 @@ def shingles(text, k):
     return {tuple(words[i: i + k]) for i in range(len(words) - k + 1)} or ({tuple(words)} if words else set())
 
 
-def brute(rows, k, percent):
-    sets = {i: shingles(t, k) for i, t in rows if i is not None}
-    group = {i: i for i in sets}
+def roots(rows, k, percent):
+    """A number of each row's component; None for rows that are linked with nothing."""
+    sets = [shingles(t, k) if i is not None else set() for i, t in rows]
+    group = list(range(len(rows)))
+
+    def root(x):
+        while group[x] != x:
+            x = group[x]
+        return x
+
+    for x, left in enumerate(sets):
+        for y in range(x + 1, len(sets)):
+            both = len(left & sets[y])
+            if left and sets[y] and 100 * both >= percent * (len(left) + len(sets[y]) - both):
+                group[root(y)] = root(x)
+    return [root(x) if own else None for x, own in enumerate(sets)]
 
-    def root(i):
-        while group[i] != i:
-            i = group[i]
-        return i
 
-    ids = sorted(sets)
-    for x, i in enumerate(ids):
-        for j in ids[x + 1:]:
-            both = len(sets[i] & sets[j])
-            if sets[i] and sets[j] and 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
-                a, b = sorted((root(i), root(j)))
-                group[b] = a
-    return [(i, len(shingles(t, k)), i if i is None else root(i), i is None or root(i) == i) for i, t in rows]
+def brute(rows, k, percent):
+    """Rows are documents; a component's number is its smallest id."""
+    found, least = roots(rows, k, percent), {}
+    for (i, _), r in zip(rows, found):
+        least[r] = i if r is None else min(i, least.get(r, i))
+    out = []
+    for (i, t), r in zip(rows, found):
+        c = i if r is None else least[r]
+        out.append((i, len(shingles(t, k)), c, i == c))
+    return out
 
 
 def family(rnd, first, size, words, edits):
@@ -90,3 +101,17 @@ def test_chance_to_miss_a_pair_at_the_threshold(similarity, stated):
     left_out = sum(math.comb(n.REGISTERS, k) * similarity**k * (1 - similarity) ** (n.REGISTERS - k) for k in dropped.tolist())
     unbanded = (1 - similarity**n.ROWS) ** n.BANDS
     assert left_out < unbanded and left_out + unbanded < stated
+
+
+def test_texts_under_one_id_are_linked_each_by_itself(spark):
+    """Document 5 has two texts, 9 is a near copy of the second, 3 of the first; 20 has 30 texts, each near another document."""
+    rnd = random.Random(4)
+    pair = lambda: list(t for _, t in family(rnd, 0, 2, 120, 2))
+    one, two = pair(), pair()
+    rows = [(5, one[0]), (5, two[0]), (9, two[1]), (3, one[1]), (5, two[0])]
+    for i in range(30):
+        a, b = pair()
+        rows += [(20, a), (100 + i, b)] if i % 2 else [(20, a), (10 + i // 4, b)]
+    rows += [(None, one[0]), (5, ""), (5, None)]
+    docs = ready(spark).createDataFrame(rows, "doc_id long, text string")
+    assert sorted(collected(n.near_duplicates(docs, 5, 80)), key=repr) == sorted(brute(rows, 5, 80), key=repr)

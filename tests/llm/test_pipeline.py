@@ -50,12 +50,13 @@ def test_stages_equal_brute_force(spark, tmp_path):
         if name == "toxicity":
             state = [r | {"text": r["text"] or ""} for r in state if model.score(r["text"] or "") < 0.5]
         elif name == "near_duplicates":
-            kept = {i for i, _, _, k in test_neardup.brute([(r["doc_id"], r["text"]) for r in state], 5, 80) if k}
+            rows = [(r["doc_id"], r["text"]) for r in state]
             first = {}
-            for r in sorted(state, key=lambda r: r["text"]):
-                if r["doc_id"] in kept and r["doc_id"] is not None:
-                    first.setdefault(r["doc_id"], r)
-            state = [*first.values(), *(r for r in state if r["doc_id"] is None)]
+            for r, (i, _, _, kept), root in sorted(
+                    zip(state, test_neardup.brute(rows, 5, 80), test_neardup.roots(rows, 5, 80)), key=lambda x: x[0]["text"]):
+                if kept:
+                    first.setdefault((i, root) if root is not None else len(first), r)
+            state = list(first.values())
         elif name == "repeats":
             left = []
             for r, (_, _, gone, _, _) in zip(state, test_repeats.brute([(r["doc_id"], r["text"]) for r in state])):
