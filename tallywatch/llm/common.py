@@ -34,9 +34,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where none is set, as in tests."""
+    """The folder that driver and executors share; a temporary one only where none is set and all run on one machine, as in tests."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="checkpoint-")
         spark.sparkContext.setCheckpointDir(found)
     return found
