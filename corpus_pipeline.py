@@ -3,7 +3,8 @@
 Toxic documents go, one document of each near-duplicate group stays, byte strings that an earlier document holds are cut
 out, personal data is replaced by its kind, and what is left is packed. All stages but the last return the columns of
 documents, n_chars counted anew where the text changes. Null texts count as empty and stay. Rows without an id are no
-near-duplicates of others. Of rows that share an id, the one with the smallest text stays. Empty tables pass through.
+near-duplicates of others. Rows that share an id are documents of their own; of those among them that are near-duplicates of
+each other the one with the smallest text stays. Texts without words are near-duplicates of none and stay. Empty tables pass through.
 """
 
 from __future__ import annotations
@@ -28,12 +29,14 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group linked by five-word shingles at a similarity of 0.8."""
     ready(spark)
-    kept = neardup.near_duplicates(docs, k=5, percent=80)
-    kept = kept.where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    first = Window.partitionBy("doc_id").orderBy("text", F.to_json("row"))
-    rows = rowed(docs)
-    stays = rows.join(kept, "doc_id", "left_semi").withColumn("place", F.row_number().over(first)).where("place = 1")
-    return unrowed(stays.select("row", "text").union(rows.where("doc_id IS NULL").select("row", "text")), docs)
+    kept = neardup.grouped(docs, k=5, percent=80).where("kept").select("doc_id", "body", "component").distinct()
+    rows = rowed(docs).withColumn("body", F.xxhash64("text"))
+    alone = rows.where("doc_id IS NULL").select("row", "text")
+    stays = rows.join(kept, ["doc_id", "body"])
+    first = Window.partitionBy("doc_id", "component").orderBy("text", F.to_json("row"))
+    linked = stays.where("component IS NOT NULL").withColumn("place", F.row_number().over(first)).where("place = 1")
+    without_words = stays.where("component IS NULL").select("row", "text")
+    return unrowed(linked.select("row", "text").union(without_words).union(alone), docs)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
