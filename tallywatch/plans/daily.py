@@ -22,7 +22,7 @@ from tallywatch.operators.rules import DEFAULT_RULES
 from tallywatch.plans import curated, incremental, scoring, states
 from tallywatch.plans.history import split_for
 from tallywatch.session import prepare
-from tallywatch.sources.files import read_csv, rejected_csv, typed
+from tallywatch.sources.files import read_csv, rejected_csv, typed, write_csv
 from tallywatch.sources.tables import DATE, Tables
 
 LOAD, RUN = "load_date", "run_date"
@@ -42,6 +42,7 @@ class Settings:
     scope: str = LOAD_ONLY
     snapshot_runs: int = states.SNAPSHOT_RUNS
     id_index: known_ids.IdIndex = known_ids.IdIndex()
+    csv_folder: str | None = None  # where a run also leaves its issues, clean rows and scores as CSV
 
 
 @dataclass(frozen=True)
@@ -111,6 +112,12 @@ def run_day(tables: Tables, rows: DataFrame, run_date: dt.date, now: dt.datetime
     rescored += tables.values("fraud_scores", RUN, run_date, DATE)
     tables.write(report.alerts(issues).selectExpr("*", f"{at} AS run_ts"), "dq_alerts", RUN, run_date)
     refresh_curated(tables, issues, run_date, sorted(set(rescored)))
+    if settings.csv_folder:
+        none = tables.spark.createDataFrame([], schemas.FRAUD_SCORES)
+        written = {"dq_issues": issues.select(*schemas.DQ_ISSUES.fieldNames()), "transactions_clean": clean.select(*schemas.FIELDS),
+                   "fraud_scores": (none if scores is None else scores).drop("ingest_seq", DATE)}
+        for name, df in written.items():
+            write_csv(df, f"{settings.csv_folder}/{run_date.isoformat()}/{name}")
     return Outcome(gate.all_critical_passed, gate.next_step, issues, clean, scores)
 
 

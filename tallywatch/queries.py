@@ -6,7 +6,6 @@ import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tallywatch.config import HotKeyPolicy, RuleLimits, ScoringPolicy
 from tallywatch.functions import moments
@@ -17,7 +16,7 @@ from tallywatch.plans.history import split_for
 from tallywatch.plans.hot import Split
 from tallywatch.schemas import FIELDS
 from tallywatch.session import prepare
-from tallywatch.sources import events, injection, synth
+from tallywatch.sources import events, injection
 from tallywatch.sources.events import NOW
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -106,8 +105,7 @@ def _failing_merchants(tx: DataFrame) -> DataFrame:
     """Flags each failed transaction at a merchant where over a fifth fail."""
     rates = report.aggregate(tx, ["merchant"], "count_if(status = 'failed') AS f", "count(*) AS n")
     bad = rates.where("f * 5 > n").select("merchant")
-    # The adapter knows ten merchants, so the list may be broadcast.
-    return tx.where("status = 'failed'").join(F.broadcast(bad), "merchant", "left_semi").selectExpr(
+    return tx.where("status = 'failed'").join(bad, "merchant", "left_semi").selectExpr(
         "ingest_seq", "concat('failed at ', merchant) AS reason")
 
 
@@ -170,12 +168,6 @@ def _pattern_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
         **patterns, "any_medium_or_high": ("risk_bucket <> 'Low'", "pattern IS NOT NULL")})
 
 
-def _synth(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As many synthetic transactions as there are events."""
-    numbers = events.events(prepare(spark), sf_dir).selectExpr("event_id + 1 AS n")
-    return synth.transactions(numbers, events.AS_OF)
-
-
 def _velocity(count: str) -> Query:
     return _rule_rows((rules.VELOCITY,), f"{count} > {LIMITS.velocity_over}", "event_id", "transaction_id", f"{count} AS n")
 
@@ -257,7 +249,4 @@ def queries() -> dict[str, Query]:
         "gated_scores": _gated_scores,
         "label_eval": _label_eval,
         "pattern_eval": _pattern_eval,
-        "synth_transactions": lambda spark, sf_dir: _synth(spark, sf_dir).selectExpr(*_shown(*FIELDS)),
-        "synth_defects": lambda spark, sf_dir: synth.with_defects(_synth(spark, sf_dir), events.AS_OF).selectExpr(
-            *_shown(*FIELDS)),
     }

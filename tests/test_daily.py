@@ -8,11 +8,11 @@ from dataclasses import replace
 
 import pytest
 
+import synth
 from helpers import NOW
 from tallywatch import schemas
 from tallywatch.operators.checks import DEFAULT_CHECKS, with_thresholds
 from tallywatch.plans import curated, daily, scoring
-from tallywatch.sources import synth
 from tallywatch.sources.files import load_path, read_csv, read_parquet, rejected_csv, typed, write_csv
 from tallywatch.sources.tables import Tables
 
@@ -293,3 +293,21 @@ def test_a_lost_write_leaves_the_former_rows(spark, tmp_path):
     assert tables.write(tables.read("numbers").where("id < 2"), "numbers").count() == 2
     kept = sorted(p.name for p in (tmp_path / "numbers").iterdir() if p.is_dir())
     assert kept == ["v=1", "v=2"]
+
+
+def test_a_run_leaves_csv(spark, tmp_path):
+    """Issues, clean rows and scores as CSV; a failed run of the same date leaves no scores."""
+    tables, settings = Tables(spark, str(tmp_path / "t")), replace(LOOSE, csv_folder=str(tmp_path / "csv"))
+    whole, bad = _synthetic(spark, 80)
+    first = daily.run_day(tables, whole.select(*schemas.FIELDS), DAY, NOW, settings)
+
+    def read(name):
+        return spark.read.option("header", True).csv(f"{tmp_path}/csv/{DAY.isoformat()}/{name}")
+
+    assert read("dq_issues").count() == 7 and read("transactions_clean").count() == first.clean.count() == 80
+    scores = read("fraud_scores")
+    assert scores.columns == ["transaction_id", "customer_id", "amount", "fraud_risk_score", "risk_bucket", "triggered_rules", "reasons", "run_ts"]
+    assert {r.transaction_id: int(r.fraud_risk_score) for r in scores.collect()} == {r.transaction_id: r.fraud_risk_score for r in first.scores.collect()}
+    assert read_csv(spark, f"{tmp_path}/csv/{DAY.isoformat()}/transactions_clean").count() == 80
+    daily.run_day(tables, bad.select(*schemas.FIELDS), DAY, NOW, replace(settings, checks=DEFAULT_CHECKS))
+    assert read("fraud_scores").count() == 0

@@ -9,6 +9,7 @@ from dataclasses import replace
 
 import pytest
 
+import synth
 from helpers import NOW
 from tallywatch import schemas
 from tallywatch.config import HOT_IDS
@@ -17,7 +18,6 @@ from tallywatch.operators.checks import DEFAULT_CHECKS
 from tallywatch.operators.duplicates import mark
 from tallywatch.operators.heavy import heavy_keys
 from tallywatch.plans import daily
-from tallywatch.sources import synth
 from tallywatch.sources.tables import Tables
 
 DAY = dt.date(2025, 3, 1)
