@@ -2,10 +2,11 @@
 
 Base spans are the matches of four patterns that pass a check each (email, ip, card, phone). Loose generators of high
 recall propose further spans, which may overlap. Boosted trees score these by format and context; they learn from
-proposals on base matches, good where the match passed its check and bad where it failed, on a bounded sample of
-documents. The threshold is calibrated on a fifth of the sample to a precision of PRECISION. A proposal is added if it
-reaches the threshold and touches no base match that passed, none of its own kind that failed, and no number of a card's
-length that failed. Without both labels in the sample nothing is added.
+proposals on base matches, good where the match passed its check and bad where it failed, of all documents: of four
+fifths the trees, of the fifth that they don't learn from the threshold, for a precision of PRECISION. Proposals with equal features are
+one row with their number; more such rows than COLLECTED stay on the executors, which add them up for each level of a tree.
+A proposal is added if it reaches the threshold and touches no base match that passed, none of its own kind that failed, and no
+number of a card's length that failed. Without both labels nothing is added.
 
 Offsets are code points, ends exclusive. Null texts count as empty. Rows that repeat get the same result each.
 
@@ -19,7 +20,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallywatch.llm.common import rowed, unrowed
@@ -62,8 +63,10 @@ FEATURES = {
     "joined": "if(right(c.before, 1) rlike '[A-Za-z0-9=\"/]', 1, 0)",
     "followed": "if(c.after rlike '[A-Za-z0-9%\"/]', 1, 0)",
 }
-#: Documents that the trees learn from, at most about; trees, depth, step and the precision asked for.
-SAMPLE, TREES, DEPTH, STEP, PRECISION = 20_000, 20, 3, 0.3, 0.95
+#: Trees, depth, step and the precision asked for.
+TREES, DEPTH, STEP, PRECISION = 20, 3, 0.3, 0.95
+#: Rows of different features that the driver fits by itself, at most.
+COLLECTED = 100_000
 
 #: Code points before a match that are its context.
 BEFORE = 24
@@ -197,24 +200,95 @@ class Trees:
         return model
 
 
-def fit(docs: DataFrame, sample: int = SAMPLE) -> Trees:
-    """The trees, from a share of the documents that a hash of the id selects: all, or about `sample`."""
-    n = docs.count()
+def _learned(docs: DataFrame) -> DataFrame:
+    """The features of proposals on base matches of all documents, whether the match passed (good), whether only the threshold sees them (held), and their count."""
     docs = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
-    if n > sample:
-        docs = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) < int((1 << 40) * sample / n))
-    names = list(FEATURES)
-    rows = (
+    return (
         _proposals(docs).withColumn("good", F.expr(f"transform(proposed, c -> {_own('base')})"))
         .withColumn("tried", F.expr(f"transform(proposed, c -> {_own('tried')})"))
         .select("doc_id", F.explode(F.expr("arrays_zip(proposed, good, tried)")).alias("c")).where("c.tried")
-        .select(*(F.col(f"c.proposed.{x}").alias(x) for x in names), F.col("c.good").cast("int").alias("good"),
-                (F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 0).alias("held"))
-        .groupBy(*names, "good", "held").count().orderBy(F.desc("count"), *names, "good", "held").limit(sample).collect()
+        .select(*(F.col(f"c.proposed.{x}").alias(x) for x in FEATURES), F.col("c.good").cast("int").alias("good"),
+                F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 0, F.lit(False)).alias("held"))
+        .groupBy(*FEATURES, "good", "held").count()
     )
-    x = np.array([[r[c] for c in names] for r in rows], np.int64).reshape(-1, len(names))
-    y, weight, held = (np.array([r[c] for r in rows], float) for c in ("good", "count", "held"))
-    return Trees.fit(x, y, weight, names, held > 0)
+
+
+def fit(docs: DataFrame, collected: int = COLLECTED) -> Trees:
+    """The trees and their threshold, from all documents."""
+    names = list(FEATURES)
+    rows = _learned(docs).persist()
+    try:
+        if rows.count() > collected:
+            return _fit_apart(rows, names)
+        table = rows.orderBy(F.desc("count"), *names, "good", "held").toArrow()
+    finally:
+        rows.unpersist()
+    x = np.stack([table[c].to_numpy() for c in names], 1).astype(np.int64)
+    y, weight = (table[c].to_numpy().astype(float) for c in ("good", "count"))
+    return Trees.fit(x, y, weight, names, table["held"].to_numpy())
+
+
+def _fit_apart(rows: DataFrame, names: list[str]) -> Trees:
+    """Trees.fit where the rows stay on the executors; the driver gets the best cut of each node."""
+    rows = rows.select(F.struct(*names).alias("c"), "good", "held", "count")
+    learn = rows.where("NOT held")
+    every, good = learn.agg(F.sum("count"), F.sum(F.col("count") * F.col("good"))).first()
+    if not every or good in (0, every):
+        return Trees([], 0.0, math.inf)
+    model = Trees([], math.log(good / (every - good)), math.inf)
+    for _ in range(TREES):
+        model.trees.append(_tree_apart(learn, model, names))
+
+    held = rows.where("held")
+    scored = (held if not held.isEmpty() else learn).groupBy(F.expr(model.sql("c")).alias("margin")).agg(
+        F.sum(F.col("count") * F.col("good")).alias("good"), F.sum("count").alias("every"))
+    # The running sums from the highest margin down: of bands of margins first, then within each band.
+    scored = scored.withColumn("band", F.signum("margin") * F.floor(F.log1p(F.abs("margin")) * 1000))
+    above, within = Window.orderBy(F.desc("band")), Window.partitionBy("band").orderBy(F.desc("margin"))
+    sums = {"good": F.sum("good"), "every": F.sum("every")}
+    bands = scored.groupBy("band").agg(*(x.alias(c) for c, x in sums.items()))
+    bands = bands.select("band", *((x.over(above) - F.col(c)).alias(f"{c}_above") for c, x in sums.items()))
+    upto = scored.join(bands, "band").select("margin", *((x.over(within) + F.col(f"{c}_above")).alias(c) for c, x in sums.items()))
+    threshold = upto.where(F.col("good") / F.col("every") >= PRECISION).agg(F.min("margin")).first()[0]
+    model.threshold = math.inf if threshold is None else threshold
+    return model
+
+
+def _tree_apart(learn: DataFrame, model: Trees, names: list[str]):
+    """The next tree of the model; node n splits into 2n and 2n + 1."""
+    splits, leaves = {}, {}
+
+    def place(node: int) -> str:
+        if node not in splits:
+            return str(node)
+        f, cut = splits[node]
+        return f"if(c.{f} < {cut}, {place(2 * node)}, {place(2 * node + 1)})"
+
+    def built(node: int):
+        return (*splits[node], built(2 * node), built(2 * node + 1)) if node in splits else leaves[node]
+
+    values = F.explode(F.array(*(F.struct(F.lit(i).alias("f"), F.col(f"c.{name}").alias("value")) for i, name in enumerate(names))))
+    whole = Window.partitionBy("node", "f")
+    upto = whole.orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    slopes = learn.withColumn("p", F.expr(f"1 / (1 + exp(-({model.sql('c')})))")).select(
+        "c", F.expr("count * (good - p)").alias("slope"), F.expr("count * p * (1 - p)").alias("curve"))
+    for level in range(DEPTH):
+        best = (
+            slopes.select(F.expr(place(1)).alias("node"), "slope", "curve", values.alias("v")).where(f"node >= {1 << level}")
+            .groupBy("node", F.col("v.f").alias("f"), F.col("v.value").alias("value")).agg(F.sum("slope").alias("slope"), F.sum("curve").alias("curve"))
+            .select("node", "f", "value", F.lead("value").over(whole.orderBy("value")).alias("cut"), F.sum("slope").over(upto).alias("g"),
+                    F.sum("curve").over(upto).alias("h"), F.sum("slope").over(whole).alias("total"), F.sum("curve").over(whole).alias("heavy"))
+            .withColumn("gain", F.when(F.col("cut").isNotNull(), F.expr("g * g / (h + 1) + (total - g) * (total - g) / (heavy - h + 1) - total * total / (heavy + 1)")))
+            .groupBy("node").agg(F.max(F.struct("gain", (-F.col("f")).alias("f"), (-F.col("value")).alias("value"), "cut", "g", "h", "total", "heavy")).alias("best"))
+            .select("node", "best.*").collect()
+        )
+        for r in best:
+            leaves[r.node] = STEP * r.total / (r.heavy + 1)
+            if r.gain is not None and r.gain > 1e-6:
+                splits[r.node] = names[-r.f], r.cut
+                leaves[2 * r.node] = STEP * r.g / (r.h + 1)
+                leaves[2 * r.node + 1] = STEP * (r.total - r.g) / (r.heavy - r.h + 1)
+    return built(1)
 
 
 def find(docs: DataFrame, model: Trees | None = None) -> DataFrame:

@@ -156,3 +156,42 @@ def test_added_spans_of_planted_spellings(spark):
         any(d == i and a < e and s < b for d, a, b in added) for i, s, e in hits) / len(hits)
     print("added", len(added), "precision", right / max(1, len(added)), "recall", recall)
     assert not added or right / len(added) >= 0.9
+
+
+def _scored(model, rows, names):
+    """Margins of rows of features."""
+    def margin(row, node):
+        while isinstance(node, tuple):
+            node = node[2] if row[names.index(node[0])] < node[1] else node[3]
+        return node
+
+    return np.array([model.bias + sum(margin(r, t) for t in model.trees) for r in rows])
+
+
+def _many(spark, n):
+    """Short texts with an address or number each; of the addresses more and more fail with the id."""
+    rnd = random.Random(9)
+    makers = [lambda i: f"host 10.0.{rnd.randrange(256)}.{rnd.randrange(200, 270 + 200 * i // n)}", lambda i: f"mail a{i}@mail.example.com",
+              lambda i: f"pay by card {card(rnd, rnd.random() < 0.5)}", lambda i: f"call +1 (504) 555-{i:04d} {rnd.choice(['', '1234'])}"]
+    rows = [(None if i % 97 == 0 else i, rnd.choice(makers)(i)) for i in range(n)]
+    return ready(spark).createDataFrame(rows, "doc_id long, text string").repartition(4)
+
+
+def test_trees_learn_from_every_document(spark, monkeypatch):
+    """Each proposal on a base match of 24,000 documents counts; sums on the executors fit the same trees."""
+    docs, names, seen = _many(spark, 24_000), list(p.FEATURES), []
+    fit = p.Trees.fit
+    monkeypatch.setattr(p.Trees, "fit", lambda x, y, weight, *rest: seen.append((x, weight)) or fit(x, y, weight, *rest))
+    model = p.fit(docs)
+    ((x, weight),) = seen
+    for kind in ("email", "ip"):
+        tried = sum(len(re.findall(PATTERNS[kind], r.text)) for r in docs.where(f"text rlike '{'@' if kind == 'email' else '^host'}'").collect())
+        assert weight[x[:, names.index("kind")] == p.KINDS.index(kind)].sum() == tried > 5000
+    apart = p.fit(docs, collected=0)
+    assert len(seen) == 1 and math.isfinite(model.threshold) and abs(model.threshold - apart.threshold) < 1e-6
+    assert np.allclose(_scored(model, x, names), _scored(apart, x, names), atol=1e-6)
+
+
+def test_trees_on_executors_without_both_labels(spark):
+    docs = ready(spark).createDataFrame([(1, "mail a@b.cc"), (2, None)], "doc_id long, text string")
+    assert all(math.isinf(p.fit(d, collected=-1).threshold) for d in (docs, empty_docs(spark), docs.where("doc_id = 2")))
