@@ -37,7 +37,8 @@ def record(tables: Tables, clean: DataFrame, run: dt.date) -> None:
 def before(tables: Tables, run: dt.date, since: dt.date, snapshot_runs: int = SNAPSHOT_RUNS) -> DataFrame:
     """The states before a date, as a run and those before it make them; now and then kept as a snapshot."""
     snapshot, reach = None, dt.date.min
-    for taken in reversed([d for d in tables.days(SNAPSHOTS, RUN) if d < run]):
+    earlier = [d for d in tables.days(SNAPSHOTS, RUN) if d < run]
+    for taken in reversed(earlier):
         reaches = tables.values(SNAPSHOTS, RUN, taken, AS_OF)
         if reaches and reaches[0] <= since:
             snapshot, reach = taken, reaches[0]
@@ -48,7 +49,8 @@ def before(tables: Tables, run: dt.date, since: dt.date, snapshot_runs: int = SN
         newer = days.where(f"{RUN} > DATE'{snapshot}' OR {DATE} >= DATE'{reach}'")
         parts = tables.read(SNAPSHOTS, RUN, snapshot).select("customer_id", *state.STATE).unionByName(newer.select("customer_id", *state.STATE))
     found = state.together(parts)
-    open_runs = [d for d in tables.days(DAYS, RUN) if d <= run and (snapshot is None or d > snapshot)]
+    # Runs since the last snapshot, also one that is empty or reaches too far: late rows don't bring one more in each run.
+    open_runs = [d for d in tables.days(DAYS, RUN) if d <= run and (not earlier or d > max(earlier))]
     if len(open_runs) < snapshot_runs:
         return found
     kept = tables.write(found.selectExpr("*", f"DATE'{since}' AS {AS_OF}"), SNAPSHOTS, RUN, run, by=(AS_OF,))
